@@ -21,7 +21,7 @@ def confidence_bucket(confidence: Column) -> Column:
     """Name of the confidence band; NULL and low values share the lowest band."""
     branches = None
     for bound, name in CONFIDENCE_BUCKETS:
-        branches = (branches or F).when(confidence >= bound, name)
+        branches = (F if branches is None else branches).when(confidence >= bound, name)
     return branches.otherwise(LOWEST_BUCKET)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeline.functions.expressions import both_directions, path_text
-from edgeline.operators.views import downstream
+from edgeline.operators.views import walk_hops
 from edgeline.runtime import BROADCAST_ROWS, broadcast_if_small, materialize
 from edgeline.schema import Graph
 
@@ -252,16 +252,20 @@ def subgraph_edges(df: DataFrame, entity: str, k: int | None = None) -> DataFram
 
 
 def connects(graph: Graph, a: str, b: str, k: int = 3, n: int = 5) -> DataFrame:
-    """Shortest directed walks from a to b; if there is none, from b to a."""
+    """Shortest directed walks from a to b; if there is none, from b to a.
 
-    def walks(start, end, direction):
-        return (
-            downstream(graph, k, start)
-            .filter(F.col("reached_id") == end)
-            .withColumn("direction", F.lit(direction))
-            .orderBy("hop", "path", *(["predicates"] if graph.cols.label else []))
-            .limit(n)
-        )
-
-    found, seen = materialize(walks(a, b, "forward"))
-    return found if seen["rows"] else walks(b, a, "reverse")
+    Hops are built one at a time and stop once n walks are found: a longer walk can't
+    come before them.
+    """
+    order = ["hop", "path", *(["predicates"] if graph.cols.label else [])]
+    for start, end, direction in ((a, b, "forward"), (b, a, "reverse")):
+        found = None
+        for hop in walk_hops(graph, k, start):
+            hit = hop.filter(F.col("reached_id") == end).withColumn("direction", F.lit(direction))
+            best = hit if found is None else found.unionByName(hit)
+            found, seen = materialize(best.orderBy(*order).limit(n))
+            if seen["rows"] == n:
+                break
+        if seen["rows"]:
+            break
+    return found.orderBy(*order)
