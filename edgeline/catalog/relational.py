@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +19,7 @@ from edgeline.catalog.graphs import (
 from edgeline.functions.expressions import confidence_bucket, edge_property, edge_weight, path_text
 from edgeline.operators import filters, lookups, results, statistics, traversal, views
 from edgeline.operators.vertices import index_graph
-from edgeline.runtime import ensure_checkpoint_dir
+from edgeline.runtime import scratch_path
 from edgeline.schema import Graph, GraphColumns, conform_registry, conform_triplets, empty_results
 from edgeline.sources import registry as reg
 from edgeline.sources.tables import append_triplets, load_graph, write_result
@@ -33,11 +31,6 @@ NOW = "2030-01-01 00:00:00"
 SINCE = "2024-01-15 00:00:00"
 
 
-def scratch(spark, name: str) -> str:
-    """A fresh folder on the shared checkpoint storage."""
-    return f"{ensure_checkpoint_dir(spark)}/edgeline-{name}-{uuid.uuid4().hex}"
-
-
 def rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 6) for name in names})
 
@@ -166,7 +159,7 @@ def _(spark, sf):
 
 @query("s7_write_result", f"WITH {FOREST} SELECT entity_id, community_id, community_size FROM communities")
 def _(spark, sf):
-    target = scratch(spark, "result")
+    target = scratch_path(spark, "result")
     communities = results.components_as_communities(index_graph(forest(spark, sf)))
     write_result(communities.select("entity_id"), target)
     write_result(communities, target)
@@ -179,7 +172,7 @@ def _(spark, sf):
 UNION ALL SELECT subject_id, predicate, object_id, object_type FROM forest WHERE predicate = 'IN_NATION'""",
 )
 def _(spark, sf):
-    target = scratch(spark, "triplets")
+    target = scratch_path(spark, "triplets")
     rows = forest(spark, sf)
     append_triplets(rows.filter("predicate = 'IN_REGION'"), target)
     append_triplets(rows.filter("predicate = 'IN_NATION'"), target)
@@ -875,7 +868,7 @@ def _(spark, sf):
 strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at FROM moves""",
 )
 def _(spark, sf):
-    source, target, state = (scratch(spark, name) for name in ("arriving", "streamed", "stream-state"))
+    source, target, state = (scratch_path(spark, name) for name in ("arriving", "streamed", "stream-state"))
     rows = moves(spark, sf)
     write_result(rows.unionByName(rows), source)
     stream = incremental.stream_triplets(spark, source, target, state)

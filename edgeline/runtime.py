@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -49,17 +49,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def scratch_path(spark: SparkSession, name: str = "table") -> str:
+    """A fresh path in the shared checkpoint folder, under this application's own subfolder."""
+    app = spark.sparkContext.applicationId
+    return f"{ensure_checkpoint_dir(spark)}/edgeline-{app}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
-    """Write `df` once to the checkpoint folder, cutting its lineage.
+    """Write `df` once as a table in the checkpoint folder, cutting its lineage.
 
-    Returns the written DataFrame and the metrics observed during that same
-    job; `rows` is always among them.
+    Returns the written table and the metrics observed during that same job; `rows`
+    is always among them. A table rather than an RDD checkpoint, because its size is
+    then known to the planner and no constraints of the old plan are carried along,
+    which would slow planning down more with every round.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    path = scratch_path(spark)
     seen = Observation()
     columns = [F.count(F.lit(1)).alias("rows")] + [c.alias(name) for name, c in metrics.items()]
-    written = df.observe(seen, *columns).checkpoint(eager=True)
-    return written, seen.get
+    df.observe(seen, *columns).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get
 
 
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
