@@ -12,6 +12,7 @@ from edgeline.operators import communities as louvain
 from edgeline.operators import components, filters, lookups, results, shortest_paths, statistics
 from edgeline.operators.pagerank import pagerank
 from edgeline.operators.vertices import index_graph
+from edgeline.runtime import materialize
 
 
 def _structural(spark, sf, with_score=False):
@@ -149,7 +150,7 @@ def _(spark, sf):
     """What must hold for any Louvain result: full cover, no community across components, better than trivial."""
     rows = forest(spark, sf)
     graph = index_graph(rows)
-    table = results.entity_communities(rows, graph=graph).persist()
+    table, _ = materialize(results.entity_communities(rows, graph=graph))
     edges = filters.simple_edges(rows)
 
     def q(column):
