@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from edgeline.catalog import query
-from edgeline.catalog.graphs import FOREST, STRUCTURAL, fk, forest, moves
+from edgeline.catalog.graphs import FOREST, STRUCTURAL, fk, forest, moves, saved
 from edgeline.catalog.relational import rounded
 from edgeline.operators import betweenness as bt
 from edgeline.operators import communities as louvain
 from edgeline.operators import components, filters, lookups, results, shortest_paths, statistics
 from edgeline.operators.pagerank import pagerank
 from edgeline.operators.vertices import index_graph
-from edgeline.runtime import materialize
 
 
 def _structural(spark, sf, with_score=False):
@@ -150,7 +149,7 @@ def _(spark, sf):
     """What must hold for any Louvain result: full cover, no community across components, better than trivial."""
     rows = forest(spark, sf)
     graph = index_graph(rows)
-    table, _ = materialize(results.entity_communities(rows, graph=graph))
+    table = saved(results.entity_communities(rows, graph=graph))
     edges = filters.simple_edges(rows)
 
     def q(column):
@@ -257,7 +256,7 @@ def _(spark, sf):
 FROM communities""",
 )
 def _(spark, sf):
-    rows = results.entity_communities(forest(spark, sf)).persist()
+    rows = saved(results.entity_communities(forest(spark, sf)))
     in_component = rows.groupBy("component_id").agg(F.count(F.lit(1)).alias("n"))
     return rows.join(in_component, "component_id").select(
         "entity_id",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from edgeline.catalog import query
-from edgeline.catalog.graphs import FOREST, MOVES, forest, moves, table
+from edgeline.catalog.graphs import FOREST, MOVES, forest, moves, saved, table
 from edgeline.catalog.relational import rounded
 from edgeline.operators import extraction, profiling, results, validation
 from edgeline.operators.extraction import ForeignKey
@@ -115,7 +115,7 @@ def _(spark, sf):
 @query("k3_foreign_keys", _foreign_key_sql())
 def _(spark, sf):
     tables = _tables(spark, sf)
-    keys = profiling.entity_keys(profiling.profile(tables)).filter("id_like")
+    keys = saved(profiling.entity_keys(profiling.profile(tables)).filter("id_like"))
     return rounded(profiling.foreign_keys(tables, keys), "containment")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from edgeline.operators.extraction import make_triplets
+from edgeline.runtime import materialize
 from edgeline.schema import Graph, conform_triplets
 
 AGENT_OF_EVENT = {
@@ -70,6 +71,11 @@ def moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """The graph written once, for queries that read it in several passes."""
+    return materialize(df)[0]
+
+
 MOVES = """
 moves AS (
   SELECT 'U' || user_id AS subject_id, 'User' AS subject_type, upper(event_type) AS predicate,

@@ -248,7 +248,8 @@ def _(spark, sf):
         rejected = False
     except ValueError:
         rejected = True
-    return filters.require_edges(rows).agg(F.count(F.lit(1)).alias("n_edges")).withColumn(
+    kept, _ = filters.require_edges(rows)
+    return kept.agg(F.count(F.lit(1)).alias("n_edges")).withColumn(
         "empty_rejected", F.lit(rejected)
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from edgeline.catalog import query
 from edgeline.catalog.algorithms import CENTRALITY
-from edgeline.catalog.graphs import FOREST, MOVES, forest, moves, orders_graph
+from edgeline.catalog.graphs import FOREST, MOVES, forest, moves, orders_graph, saved
 from edgeline.catalog.relational import (
     ISOLATED,
     LARGEST,
@@ -25,7 +25,7 @@ from edgeline.schema import Graph
 
 
 def _call(spark, statement, triplets, centrality=None, communities=None):
-    register_functions(spark, triplets, centrality, communities)
+    register_functions(spark, saved(triplets), centrality, communities)
     return spark.sql(statement)
 
 
@@ -62,7 +62,7 @@ def _(spark, sf):
     f"WITH {FOREST} SELECT entity_id, community_id FROM communities WHERE entity_type = 'Supplier'",
 )
 def _(spark, sf):
-    communities = _communities(spark, sf)
+    communities = saved(_communities(spark, sf))
     register_functions(spark, forest(spark, sf), None, communities)
     return spark.sql(
         "SELECT s.entity_id, cluster_of(s.entity_id) AS community_id FROM kg_communities s WHERE s.entity_type = 'Supplier'"
@@ -113,7 +113,7 @@ CASE WHEN a.community_id = b.community_id THEN a.community_size END AS community
 FROM communities a, communities b WHERE b.entity_id = 'R0' AND a.entity_type = 'Nation'""",
 )
 def _(spark, sf):
-    communities = _communities(spark, sf).persist()
+    communities = saved(_communities(spark, sf))
     nations = spark.read.parquet(f"{sf}/nation.parquet").select("n_nationkey").collect()
     # Nations are a fixed handful; one call of the function per nation.
     calls = " UNION ALL ".join(f"SELECT * FROM shared_community('N{n[0]}', 'R0')" for n in nations)
@@ -134,13 +134,13 @@ def _(spark, sf):
     + "SELECT reached_id, hop, array_to_string(path, ' -> ') AS path FROM walks",
 )
 def _(spark, sf):
-    walks = analyst.reachable_from(Graph(moves(spark, sf)), "U7", 2)
+    walks = analyst.reachable_from(Graph(saved(moves(spark, sf))), "U7", 2)
     return walks.withColumn("path", F.array_join("path", " -> "))
 
 
 @query("x3_what_connects", connects_sql("U1", "U2", 3))
 def _(spark, sf):
-    found = analyst.what_connects(Graph(moves(spark, sf)), "U1", "U2")
+    found = analyst.what_connects(Graph(saved(moves(spark, sf))), "U1", "U2")
     return found.select(
         "start_id",
         "reached_id",

@@ -12,9 +12,10 @@ from edgeline.runtime import dense_index, lookup, materialize
 def smallest_member(graph: IndexedGraph) -> DataFrame:
     """(vid, label): the smallest vid of each vertex's component.
 
-    Every round a vertex, and the vertex it points at, adopt the smallest pointer
-    seen among the neighbours; then pointers are followed one step. Both shrink
-    distances geometrically, so rounds grow with the logarithm of the diameter.
+    Every round each vertex looks one pointer ahead, and takes the smallest pointer so
+    seen among its neighbours both for itself and for the vertex it points at. Distances
+    shrink geometrically, so rounds grow with the logarithm of the diameter. When a round
+    changes nothing, neighbours agree, hence so does every component.
     """
     edges = graph.edges.select(
         F.inline(
@@ -25,40 +26,30 @@ def smallest_member(graph: IndexedGraph) -> DataFrame:
         )
     )
     adjacency = Adjacency(edges, 2 * graph.n_edges, "src", "dst")
-    n = graph.n_vertices
     pointers = graph.vertices.select("vid", F.col("vid").alias("label"))
     while True:
+        step = pointers.select(F.col("vid").alias("label"), F.col("label").alias("next"))
+        ahead = lookup(pointers, "label", step, by=F.col("vid"), rows=graph.n_vertices, how="inner")
         offered = (
-            adjacency.meet(pointers.select(F.col("vid").alias("src"), "label"))
+            adjacency.meet(ahead.select(F.col("vid").alias("src"), "next"))
             .groupBy(F.col("dst").alias("vid"))
-            .agg(F.min("label").alias("offer"))
+            .agg(F.min("next").alias("offer"))
         )
-        # Both the vertex and the vertex it points at take the offer.
+        best = F.least("next", "offer")
         proposals = (
-            pointers.join(offered, "vid", "left")
+            ahead.join(offered, "vid", "left")
             .select(
-                F.col("label").alias("old"),
-                "vid",
                 F.inline(
                     F.array(
-                        F.struct(F.col("vid").alias("target"), F.least("label", "offer").alias("proposed")),
-                        F.struct(F.col("label").alias("target"), F.least("label", "offer").alias("proposed")),
+                        F.struct(F.col("vid").alias("target"), best.alias("best"), F.col("label").alias("old")),
+                        F.struct(F.col("label").alias("target"), best.alias("best"), F.lit(None).alias("old")),
                     )
-                ),
+                )
             )
             .groupBy(F.col("target").alias("vid"))
-            .agg(
-                F.min("proposed").alias("label"),
-                F.max(F.when(F.col("vid") == F.col("target"), F.col("old"))).alias("old"),
-            )
-        )
-        hooked, _ = materialize(proposals)
-        followed = lookup(hooked, "label", hooked.select(F.col("vid").alias("label"), F.col("label").alias("next")),
-                          by=F.col("vid"), rows=n)
-        pointers, seen = materialize(
-            followed.select("vid", F.col("next").alias("label"), "old"),
-            changed=F.count_if(F.col("label") != F.col("old")),
+            .agg(F.min("best").alias("label"), F.max("old").alias("old"))
         )
+        pointers, seen = materialize(proposals, changed=F.count_if(F.col("label") != F.col("old")))
         if seen["changed"] == 0:
             break
         pointers = pointers.select("vid", "label")
@@ -68,7 +59,7 @@ def smallest_member(graph: IndexedGraph) -> DataFrame:
 
 def number_groups(labelled: DataFrame, name: str) -> DataFrame:
     """(vid, name): groups numbered 0, 1, 2, ... by their label."""
-    numbers = dense_index(labelled.select("label").distinct(), "label", name)
+    numbers, _ = dense_index(labelled.select("label").distinct(), "label", name)
     return lookup(labelled, "label", numbers, by=F.col("vid"), how="inner").select("vid", name)
 
 

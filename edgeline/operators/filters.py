@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeline.functions.expressions import both_directions
+from edgeline.runtime import materialize
 
 # Agents whose rows link entities to annotations rather than to each other.
 ANNOTATING_AGENTS = ("graph_topology", "ml_clustering", "statistical_analysis")
@@ -45,10 +46,12 @@ def structural_edges(
     return kept.select(*columns)
 
 
-def require_edges(df: DataFrame) -> DataFrame:
-    if df.isEmpty():
+def require_edges(df: DataFrame) -> tuple[DataFrame, int]:
+    """Write the edges once for the passes to come; an empty graph is an error. Also returns the row count."""
+    written, seen = materialize(df)
+    if not seen["rows"]:
         raise ValueError("the structural graph has no edges: build or load triplets first")
-    return df
+    return written, seen["rows"]
 
 
 def simple_edges(df: DataFrame) -> DataFrame:

@@ -12,29 +12,47 @@ ID_LIKE = "(?i)(id|key)$"
 
 
 def _profile_table(name: str, df: DataFrame, exact: bool) -> DataFrame:
-    distinct = F.count_distinct if exact else F.approx_count_distinct
+    columns = [F.col(f"`{field.name}`") for field in df.schema]
     measures = []
-    for i, field in enumerate(df.schema):
-        column = F.col(f"`{field.name}`")
+    for i, column in enumerate(columns):
         measures += [
             F.count(column).alias(f"filled{i}"),
-            distinct(column).alias(f"distinct{i}"),
             F.min(column).cast("string").alias(f"min{i}"),
             F.max(column).cast("string").alias(f"max{i}"),
         ]
+        if not exact:
+            measures.append(F.approx_count_distinct(column).alias(f"distinct{i}"))
     measured = df.agg(F.count(F.lit(1)).alias("n_rows"), *measures)
     rows = [
         F.struct(
+            F.lit(i).alias("position"),
             F.lit(field.name).alias("column_name"),
             F.lit(field.dataType.simpleString()).alias("data_type"),
             (F.col("n_rows") - F.col(f"filled{i}")).alias("n_nulls"),
-            F.col(f"distinct{i}").alias("n_distinct"),
             F.col(f"min{i}").alias("min_value"),
             F.col(f"max{i}").alias("max_value"),
+            *([] if exact else [F.col(f"distinct{i}").alias("n_distinct")]),
         )
         for i, field in enumerate(df.schema)
     ]
-    return measured.select(F.lit(name).alias("table_name"), "n_rows", F.inline(F.array(*rows)))
+    profiled = measured.select(F.lit(name).alias("table_name"), "n_rows", F.inline(F.array(*rows)))
+    if exact:
+        # Narrow (column, value) rows, reduced before and after the shuffle.
+        values = df.select(
+            F.inline(
+                F.array(
+                    *[F.struct(F.lit(i).alias("position"), c.cast("string").alias("value")) for i, c in enumerate(columns)]
+                )
+            )
+        ).distinct()
+        counted = values.groupBy("position").agg(F.count("value").alias("n_distinct"))
+        # One row per column of the table.
+        profiled = profiled.join(F.broadcast(counted), "position", "left").withColumn(
+            "n_distinct", F.coalesce("n_distinct", F.lit(0))
+        )
+    return profiled.select(
+        "table_name", "n_rows", "column_name", "data_type", "n_nulls", "n_distinct", "min_value", "max_value"
+    )
 
 
 def profile(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:

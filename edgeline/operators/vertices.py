@@ -40,7 +40,7 @@ class IndexedGraph:
 
 def index_graph(df: DataFrame, weighted: bool = False) -> IndexedGraph:
     """Index a structural edge table. With `weighted`, parallel edges add up their weights."""
-    require_edges(df)
+    df, _ = require_edges(df)
     if weighted:
         edges = (
             df.filter(F.col("subject_id") != F.col("object_id"))
@@ -53,7 +53,7 @@ def index_graph(df: DataFrame, weighted: bool = False) -> IndexedGraph:
 
 
 def index_vertices_edges(vertices: DataFrame, edges: DataFrame) -> IndexedGraph:
-    vertices, counted = materialize(dense_index(vertices.select("id", "entity_type"), "id", "vid"))
+    vertices, n_vertices = dense_index(vertices.select("id", "entity_type"), "id", "vid")
     ids = vertices.select("id", "vid")
     edges, pairs = materialize(edges.select("src", "dst", "weight"))
     named = lookup(edges, "src", ids.toDF("src", "src_vid"), by=F.col("dst"), rows=pairs["rows"], how="inner")
@@ -61,7 +61,7 @@ def index_vertices_edges(vertices: DataFrame, edges: DataFrame) -> IndexedGraph:
     edges, pairs = materialize(
         numbered.select(F.col("src_vid").alias("src"), F.col("dst_vid").alias("dst"), "weight")
     )
-    return IndexedGraph(vertices, edges, counted["rows"], pairs["rows"])
+    return IndexedGraph(vertices, edges, n_vertices, pairs["rows"])
 
 
 class Adjacency:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # few ids and numbers per row, so the bound keeps a broadcast near 100 MB at most.
 BROADCAST_ROWS = 1_000_000
 # A key with more rows than this is spread over several slices.
-SLICE_ROWS = 1_000_000
+SLICE_ROWS = 4_000_000
 # At most this many keys are treated as hot; a key outside the list has at most
 # max(SLICE_ROWS, total rows / MAX_HOT_KEYS) rows.
 MAX_HOT_KEYS = 10_000
@@ -117,15 +117,15 @@ def lookup(df: DataFrame, key: str, table: DataFrame, by: Column, rows: int | No
     return left.join(right, [key, "slice"], how).drop("slice")
 
 
-def dense_index(df: DataFrame, order_by: str, name: str) -> DataFrame:
+def dense_index(df: DataFrame, order_by: str, name: str) -> tuple[DataFrame, int]:
     """Add `name` = 0, 1, 2, ... in the order of a unique column, without a one-task window.
 
     The sorted rows are written once; the row number inside a partition is the low
     part of the monotonic id, and the partition offsets are a prefix sum over one
-    row per partition.
+    row per partition. Also returns the number of rows.
     """
     in_partition_bits = 33
-    ordered, _ = materialize(
+    ordered, seen = materialize(
         df.orderBy(order_by).withColumn("__mid", F.monotonically_increasing_id())
     )
     part = F.shiftright("__mid", in_partition_bits)
@@ -151,9 +151,10 @@ def dense_index(df: DataFrame, order_by: str, name: str) -> DataFrame:
         .select("o.__part", "o.__offset")
     )
     low = F.col("__mid").bitwiseAND(F.lit((1 << in_partition_bits) - 1))
-    return (
+    numbered = (
         ordered.withColumn("__part", part)
         .join(F.broadcast(offsets), "__part")
         .withColumn(name, F.col("__offset") + low)
         .drop("__mid", "__part", "__offset")
     )
+    return numbered, seen["rows"]
