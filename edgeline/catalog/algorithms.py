@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from edgeline.catalog import query
-from edgeline.catalog.graphs import FOREST, STRUCTURAL, fk, forest, moves, saved
+from edgeline.catalog.graphs import FK, FOREST, STRUCTURAL, fk, forest, moves, saved
 from edgeline.catalog.relational import rounded
 from edgeline.operators import betweenness as bt
 from edgeline.operators import communities as louvain
@@ -284,13 +284,41 @@ def _(spark, sf):
     return rounded(lookups.nearest(distances), "distance")
 
 
-@query("g8_pagerank_fk")
+# The larger foreign-key graph, whose vertex and pair tables stand in for those of `structural`.
+FK_TABLES = (
+    FK
+    + """,
+v AS MATERIALIZED (SELECT DISTINCT id FROM (SELECT subject_id AS id FROM fk UNION ALL SELECT object_id FROM fk)),
+e AS MATERIALIZED (SELECT DISTINCT subject_id AS src, object_id AS dst FROM fk WHERE subject_id <> object_id),
+und AS MATERIALIZED (SELECT src, dst FROM e UNION SELECT dst, src FROM e)"""
+)
+
+
+def component_ctes(rounds: int) -> str:
+    """Smallest label per component by passing labels to neighbours; `rounds` must reach the diameter."""
+    steps = ["l0 AS MATERIALIZED (SELECT id, id AS label FROM v)"]
+    for i in range(1, rounds + 1):
+        steps.append(
+            f"""l{i} AS MATERIALIZED (SELECT p.id, least(p.label, min(q.label)) AS label
+FROM l{i - 1} p JOIN und ON und.dst = p.id JOIN l{i - 1} q ON q.id = und.src GROUP BY p.id, p.label)"""
+        )
+    return ",\n".join(steps)
+
+
+@query(
+    "g8_pagerank_fk",
+    f"WITH {FK_TABLES}, {pagerank_ctes()} SELECT id, round(pagerank, 9) AS pagerank FROM pr",
+)
 def _(spark, sf):
     graph = index_graph(fk(spark, sf))
-    return rounded(graph.name(pagerank(graph)), "pagerank")
+    return graph.name(pagerank(graph)).withColumn("pagerank", F.round("pagerank", 9))
 
 
-@query("g9_connected_components_fk")
+@query(
+    "g9_connected_components_fk",
+    f"""WITH {FK_TABLES}, {component_ctes(12)}
+SELECT id, CAST(dense_rank() OVER (ORDER BY label) - 1 AS BIGINT) AS component_id FROM l12""",
+)
 def _(spark, sf):
     graph = index_graph(fk(spark, sf))
     return graph.name(components.connected_components(graph))
