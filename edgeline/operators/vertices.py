@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from edgeline.functions.expressions import edge_weight
-from edgeline.operators.filters import require_edges, simple_edges
+from edgeline.operators.filters import require_edges
 from edgeline.operators.statistics import entity_types
 from edgeline.runtime import (
     SLICE_ROWS,
@@ -40,28 +40,31 @@ class IndexedGraph:
 
 def index_graph(df: DataFrame, weighted: bool = False) -> IndexedGraph:
     """Index a structural edge table. With `weighted`, parallel edges add up their weights."""
-    df, _ = require_edges(df)
-    if weighted:
-        edges = (
-            df.filter(F.col("subject_id") != F.col("object_id"))
-            .groupBy(F.col("subject_id").alias("src"), F.col("object_id").alias("dst"))
-            .agg(F.sum(edge_weight(F.col("confidence"))).alias("weight"))
-        )
-    else:
-        edges = simple_edges(df).withColumn("weight", F.lit(1.0))
-    return index_vertices_edges(entity_types(df), edges)
+    df, rows = require_edges(df)
+    weight = edge_weight(F.col("confidence")) if weighted else F.lit(1.0)
+    edges = df.select(F.col("subject_id").alias("src"), F.col("object_id").alias("dst"), weight.alias("weight"))
+    return index_vertices_edges(entity_types(df), edges, rows, add_up=weighted)
+
 
+def index_vertices_edges(
+    vertices: DataFrame, edges: DataFrame, rows: int | None = None, add_up: bool = False
+) -> IndexedGraph:
+    """Index a vertex table (id, entity_type) and edges (src, dst, weight) by id.
 
-def index_vertices_edges(vertices: DataFrame, edges: DataFrame) -> IndexedGraph:
+    Self-loops go and parallel edges become one, with the sum or the largest of their
+    weights. Ids are replaced first, so that step already works on numbers. `rows` is
+    the number of edges if known.
+    """
     vertices, n_vertices = dense_index(vertices.select("id", "entity_type"), "id", "vid")
     ids = vertices.select("id", "vid")
-    edges, pairs = materialize(edges.select("src", "dst", "weight"))
-    named = lookup(edges, "src", ids.toDF("src", "src_vid"), by=F.col("dst"), rows=pairs["rows"], how="inner")
-    numbered = lookup(named, "dst", ids.toDF("dst", "dst_vid"), by=F.col("src"), rows=pairs["rows"], how="inner")
-    edges, pairs = materialize(
-        numbered.select(F.col("src_vid").alias("src"), F.col("dst_vid").alias("dst"), "weight")
+    pairs = edges.filter(F.col("src") != F.col("dst"))
+    named = lookup(pairs, "src", ids.toDF("src", "src_vid"), by=F.col("dst"), rows=rows, how="inner")
+    numbered = lookup(named, "dst", ids.toDF("dst", "dst_vid"), by=F.col("src"), rows=rows, how="inner")
+    combined = (F.sum if add_up else F.max)("weight").alias("weight")
+    edges, seen = materialize(
+        numbered.groupBy(F.col("src_vid").alias("src"), F.col("dst_vid").alias("dst")).agg(combined)
     )
-    return IndexedGraph(vertices, edges, n_vertices, pairs["rows"])
+    return IndexedGraph(vertices, edges, n_vertices, seen["rows"])
 
 
 class Adjacency:
