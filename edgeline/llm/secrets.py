@@ -1,0 +1,140 @@
+"""Secret scans: known shapes, and strings that a vocabulary needs unusually many tokens for."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from edgeline.llm import tokenizer
+
+# The shapes of the base scan.
+ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = r"AKIA[A-Z0-9]+"
+HEX = r"[0-9a-f]+"
+KINDS = ("assign", "access", "hex", "random")
+
+CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# Hexadecimal digests of the usual hash functions have these many digits.
+DIGEST_DIGITS = frozenset({32, 40, 56, 64, 96, 128})
+UUID = r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
+
+_assign = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
+_access = re.compile(ACCESS)
+_hex = re.compile(HEX[:-1] + "{16,}")
+_candidate = re.compile(CANDIDATE)
+_uuid = re.compile(UUID)
+_hexadecimal = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+_part = re.compile(r"[+/_=-]+")
+_plain_part = re.compile(r"[A-Za-z]?[a-z]*[0-9]{0,4}|[A-Z]+[0-9]{0,4}|[0-9]+")
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, index in KINDS, end) of the base scan, in order of start, then kind.
+
+    Each kind's matches are leftmost and do not overlap; an assignment whose value has
+    under 12 characters, an access key under 18 and a hexadecimal run under 16 are dropped.
+    """
+    found = [(m.start(), 0, m.end()) for m in _assign.finditer(text) if m.end(2) - m.start(2) >= 12]
+    found += [(m.start(), 1, m.end()) for m in _access.finditer(text) if m.end() - m.start() >= 18]
+    found += [(m.start(), 2, m.end()) for m in _hex.finditer(text)]
+    return sorted(found)
+
+
+def is_known(string: str) -> bool:
+    """Digests, UUIDs and identifiers put together from words and numbers are no secrets by themselves."""
+    if _hexadecimal.fullmatch(string) and len(string) in DIGEST_DIGITS:
+        return True
+    return bool(_uuid.fullmatch(string)) or all(_plain_part.fullmatch(p) for p in _part.split(string))
+
+
+def inefficient_spans(text: str, encoder, max_ratio: float) -> list[tuple[int, int, int]]:
+    """Long strings with at most `max_ratio` characters per token that are no known digest or identifier."""
+    found = []
+    for m in _candidate.finditer(text):
+        string = m.group()
+        if not is_known(string) and len(string) <= max_ratio * len(encoder.encode_ordinary(string)):
+            found.append((m.start(), 3, m.end()))
+    return found
+
+
+def spans_text(spans: list[tuple[int, int, int]]) -> str:
+    return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
+
+
+SCHEMA = (
+    "doc_id long, n_assign long, n_access long, n_hex long, n_random long, base_spans string, spans string, "
+    "redacted string"
+)
+
+
+def find_secrets(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    ranks: str = tokenizer.BYTE_BPE_RANKS,
+    max_ratio: float = 2.0,
+    redact: bool = False,
+) -> DataFrame:
+    """One row per row of `docs`: counts, spans `kind:start:end` in code points, and the redacted text.
+
+    `spans` holds the base scan's spans and, as `random`, strings of 20 characters or more
+    that cost a token for every `max_ratio` characters or fewer. A random string may lie
+    inside a base span; base spans always stay. With `redact`, every covered stretch is
+    replaced by `[SECRET]`, else `redacted` is null. A null text is an empty one: no spans.
+    Rows with a null or repeated id each give a row; other columns are ignored. Every row
+    is scanned alone in the task that reads it, so nothing is shuffled.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = tokenizer.rank_encoder(ranks)
+        for batch in batches:
+            counts, base_text, all_text, clean = [[], [], [], []], [], [], []
+            for text in batch.column(1).to_pylist():
+                text = text or ""
+                base = base_spans(text)
+                spans = sorted(base + inefficient_spans(text, encoder, max_ratio))
+                for kind, column in enumerate(counts):
+                    column.append(sum(s[1] == kind for s in spans))
+                base_text.append(spans_text(base))
+                all_text.append(spans_text(spans))
+                clean.append(cover(text, spans) if redact else None)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    *(pa.array(c, pa.int64()) for c in counts),
+                    pa.array(base_text, pa.string()),
+                    pa.array(all_text, pa.string()),
+                    pa.array(clean, pa.string()),
+                ],
+                names=["doc_id", "n_assign", "n_access", "n_hex", "n_random", "base_spans", "spans", "redacted"],
+            )
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(scan, SCHEMA)
+
+
+def cover(text: str, spans: list[tuple[int, int, int]], mark: str = "[SECRET]") -> str:
+    """The text with each stretch that spans cover, overlapping ones together, replaced by `mark`."""
+    out, at, open_until = [], 0, -1
+    for start, _, end in spans:
+        if start >= open_until:
+            out.append(text[at:start])
+            out.append(mark)
+        at = open_until = max(open_until, end)
+    return "".join(out) + text[at:]
+
+
+def scan_digest(docs: DataFrame) -> DataFrame:
+    """The digest columns of the registered query."""
+    found = find_secrets(docs)
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_random"
+    )
+
+
+def sha256_text(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
