@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeline.llm import secrets, token_counts
+from edgeline.llm import best_fit, bin_slack, lexicon, line_dedup, quality, secret_scan, similarity_join, token_counts
+from edgeline.llm.shared_files import ship_code
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,17 +16,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_code(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_code(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "removed_lines", "removed_words", "text")
+
+
+def op4_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.packed_matrices(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan_digest(table(spark, sf_dir, "documents"))
+    return secret_scan.scan_digest(table(spark, sf_dir, "documents"))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_join.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bin_slack.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.encode_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
-    "op5_secret_scans": op5_secret_scans,
-    "op6_token_counts": op6_token_counts,
+    query.__name__: with_code(query)
+    for query in (
+        op1_line_dedup,
+        op4_token_matrices,
+        op5_secret_scans,
+        op6_token_counts,
+        op7_near_dedup,
+        op8_quality_rules,
+        op9_best_fit_packing,
+        op10_bpe_codec,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_quality_rules": quality.ORACLE}

@@ -18,7 +18,7 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 # Hexadecimal digests of the usual hash functions have these many digits.
 DIGEST_DIGITS = frozenset({32, 40, 56, 64, 96, 128})
 UUID = r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
