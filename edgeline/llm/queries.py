@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeline.llm import best_fit, bin_slack, lexicon, line_dedup, quality, secret_scan, similarity_join, token_counts
+from edgeline.llm import (
+    best_fit,
+    bin_slack,
+    lexicon,
+    line_dedup,
+    posting_lists,
+    quality,
+    quotes,
+    secret_scan,
+    similarity_join,
+    token_counts,
+)
 from edgeline.llm.shared_files import ship_code
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +40,15 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "removed_lines", "removed_words", "text")
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return posting_lists.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op4_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.packed_matrices(table(spark, sf_dir, "documents"))
 
@@ -61,6 +81,8 @@ QUERIES: dict[str, Query] = {
     query.__name__: with_code(query)
     for query in (
         op1_line_dedup,
+        op2_nearest_neighbours,
+        op3_quotation_linking,
         op4_token_matrices,
         op5_secret_scans,
         op6_token_counts,
@@ -71,4 +93,4 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLES: dict[str, str] = {"op8_quality_rules": quality.ORACLE}
+ORACLES: dict[str, str] = {"op3_quotation_linking": quotes.ORACLE, "op8_quality_rules": quality.ORACLE}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -128,13 +127,25 @@ def cover(text: str, spans: list[tuple[int, int, int]], mark: str = "[SECRET]")
     return "".join(out) + text[at:]
 
 
+def redact_secrets(
+    docs: DataFrame, text_col: str = "text", ranks: str = tokenizer.BYTE_BPE_RANKS, max_ratio: float = 2.0
+) -> DataFrame:
+    """The rows of `docs`, all columns as they are but for secrets in the text, which become `[SECRET]`; nulls stay."""
+
+    def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = tokenizer.rank_encoder(ranks)
+        for batch in batches:
+            texts = batch.column(text_col).to_pylist()
+            clean = [t and cover(t, sorted(base_spans(t) + inefficient_spans(t, encoder, max_ratio))) for t in texts]
+            at = batch.schema.get_field_index(text_col)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(clean, batch.schema.field(at).type))
+
+    return docs.mapInArrow(redact, docs.schema)
+
+
 def scan_digest(docs: DataFrame) -> DataFrame:
     """The digest columns of the registered query."""
     found = find_secrets(docs)
     return found.select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_random"
     )
-
-
-def sha256_text(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
