@@ -175,7 +175,9 @@ def clean(
     judged = judged.withColumn("__left", F.when(F.col("common").isNull(), F.col("__text")).otherwise(left))
     removed = F.col("n_words") - F.size(words_of(F.col("__left")))
     judged = judged.withColumn("removed_words", F.when(F.col("common").isNull(), 0).otherwise(removed).cast("long"))
-    kept = judged.filter(~base_failed() & ~depleted())
+    # The row number keeps the filter above the counts, which would else be worked out inside its condition.
+    judged = judged.withColumn("__number", F.monotonically_increasing_id())
+    kept = judged.filter(~base_failed() & ~depleted() & (F.col("__number") >= 0))
     return kept.select(*((F.col("__left") if c == text_col else F.col("__row")[c]).alias(c) for c in docs.columns))
 
 

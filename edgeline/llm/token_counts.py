@@ -49,7 +49,9 @@ class PrefixCounter:
                 self.token[bytes(as_byte[c] for c in string)] = token
         self.longest = max(map(len, self.token))
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, bytes | np.ndarray] = {}
+        # The counts of a word, one byte each; None for those of over 255 tokens, which are in `long`.
+        self.words: dict[str, bytes | None] = {}
+        self.long: dict[str, np.ndarray] = {}
         self.split = regex.compile(tokenizer.PATTERN).findall
         self.gaps = regex.compile(r"\s{2,}(?=\S)")
         self.marks = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
@@ -112,6 +114,7 @@ class PrefixCounter:
         """Remember the counts of words; in sorted order each goes on from what it shares with the one before."""
         if len(self.words) > WORDS_KEPT:
             self.words.clear()
+            self.long.clear()
         if len(self.pairs) > PAIRS_KEPT:
             self.pairs.clear()
         previous, last, count = b"", [-1], [0]
@@ -131,7 +134,11 @@ class PrefixCounter:
                 counts = [count[i] for i in range(1, len(data) + 1) if i == len(data) or data[i] & 0xC0 != 0x80]
             if word in ENDINGS:
                 counts[1] = 2
-            self.words[word] = bytes(counts) if max(counts) < 256 else np.array(counts, np.int32)
+            if max(counts) < 256:
+                self.words[word] = bytes(counts)
+            else:
+                self.words[word] = None
+                self.long[word] = np.array(counts, np.int32)
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         """Counts at 1 .. len(text) of texts in which special strings are ordinary text; none is empty."""
@@ -151,12 +158,12 @@ class PrefixCounter:
                 flat = np.frombuffer(b"".join(parts), np.uint8).astype(np.int32)
                 sizes = np.fromiter(map(len, parts), np.int64, len(parts))
             except TypeError:  # some word has over 255 tokens
-                arrays = [np.frombuffer(p, np.uint8).astype(np.int32) if isinstance(p, bytes) else p for p in parts]
+                arrays = [self.long[w] if p is None else np.frombuffer(p, np.uint8).astype(np.int32) for w, p in zip(words, parts)]
                 flat, sizes = np.concatenate(arrays), np.array([len(a) for a in arrays])
             totals = flat[np.cumsum(sizes) - 1]
             flat += np.repeat(np.cumsum(totals, dtype=np.int32) - totals, sizes)
             for start, end, run in found:
-                flat[end - 1] = (flat[start - 1] if start else 0) + int(known(run)[-1])
+                flat[end - 1] = (flat[start - 1] if start else 0) + int((self.long[run] if known(run) is None else known(run))[-1])
             out.append(flat)
         return out
 

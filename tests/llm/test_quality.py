@@ -16,7 +16,7 @@ ROWS = [
     *((100 + i, f"home about contact\n{words(3, 100 * i)}\n{BOILER}", "shop") for i in range(3)),
     *((200 + i, words(60), "copies") for i in range(40)),
     (300, "of the end of " * 20, "shop"),
-    (301, f"{words(30)}\n{words(5)}\n{words(5)}\n \n#*$ %&|<> x", "other"),
+    (301, f"{words(30)}\n{words(3)}\n{words(3)}\n \n#*$ %&|<> x", "other"),
     (302, BOILER, "other"),
 ]
 

