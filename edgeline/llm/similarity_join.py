@@ -153,74 +153,194 @@ def tree_of(n: int, left: np.ndarray, right: np.ndarray, score: np.ndarray) -> l
     return kept
 
 
-def compare_nodes(leaves: DataFrame, threshold: float, all_pairs: bool) -> DataFrame:
-    """Candidate pairs (a, b) of the nodes in `leaves`: node, rep, label, size, sketch; at most SMALL_NODE rows a node.
+def by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[int], list[int]]]:
+    """Tables of whole nodes out of rows that come sorted by node, with the first row and the end of each node."""
+    held: pa.Table | None = None
 
-    Every pair of a node is compared by its sketches. Of each node come pairs that connect
-    all its candidates, or with `all_pairs` all candidates with different labels.
-    """
+    def bounded(table: pa.Table) -> tuple[pa.Table, list[int], list[int]]:
+        node = table["node"].to_numpy()
+        cuts = (np.flatnonzero(node[1:] != node[:-1]) + 1).tolist()
+        return table, [0, *cuts], [*cuts, len(node)]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]) if held is not None else table
+        node = table["node"].to_numpy()
+        last = int(np.flatnonzero(node != node[-1])[-1]) + 1 if node[0] != node[-1] else 0
+        held = table.slice(last)  # the last node may go on in the next batch
+        if last:
+            yield bounded(table.slice(0, last))
+    if held is not None:
+        yield bounded(held)
+
+
+def columns_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SLOTS)
+    return *(table[c].to_numpy() for c in ("rep", "label", "size")), sketches
+
+
+def dealt_by_node(leaves: DataFrame, *columns: str) -> DataFrame:
+    return leaves.select("node", *columns).repartition("node").sortWithinPartitions("node")
 
-    def pairs_of(reps, labels, sizes, sketches) -> list[tuple[int, int]]:
-        left, right, score = agreeing(sketches, sizes, threshold)
-        if not len(left):
-            return []
-        if all_pairs:
-            differ = labels[left] != labels[right]
-            pairs = zip(left[differ].tolist(), right[differ].tolist())
-        else:
-            pairs = tree_of(len(reps), left, right, score)
-        return [(int(min(reps[i], reps[j])), int(max(reps[i], reps[j]))) for i, j in pairs if reps[i] != reps[j]]
+
+LEAF = ("rep", "label", "size", "sketch")
+
+
+def connecting_pairs(leaves: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs (a, b) that connect what the candidates of each node connect.
+
+    `leaves` has node, rep, label, size and sketch, at most SMALL_NODE rows a node. Every
+    pair of a node is compared by its sketches.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-
-        def found(table: pa.Table) -> pa.RecordBatch:
-            node = table["node"].to_numpy()
-            columns = [table[c].to_numpy() for c in ("rep", "label", "size")]
-            sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SLOTS)
-            ends = np.append(np.flatnonzero(node[1:] != node[:-1]) + 1, len(node))
-            starts = np.append(0, ends[:-1])
-            out: list[tuple[int, int]] = []
+        for table, starts, ends in by_node(batches):
+            reps, _, sizes, sketches = columns_of(table)
+            out: set[tuple[int, int]] = set()
             # Nodes of two are the bulk; they are compared together.
-            two = starts[ends - starts == 2]
-            reps, labels, sizes = columns
+            two = np.array([s for s, e in zip(starts, ends) if e - s == 2], np.int64)
             low, high = np.minimum(sizes[two], sizes[two + 1]), np.maximum(sizes[two], sizes[two + 1])
-            fits = (sketches[two] == sketches[two + 1]).sum(axis=1) >= LEAST_AGREEING
-            fits &= (low >= threshold * high - 1e-9) & (reps[two] != reps[two + 1])
-            fits &= (labels[two] != labels[two + 1]) | (not all_pairs)
-            two = two[fits]
+            two = two[
+                ((sketches[two] == sketches[two + 1]).sum(axis=1) >= LEAST_AGREEING)
+                & (low >= threshold * high - 1e-9)
+                & (reps[two] != reps[two + 1])
+            ]
             low, high = np.minimum(reps[two], reps[two + 1]), np.maximum(reps[two], reps[two + 1])
-            out += zip(low.tolist(), high.tolist())
-            for start, end in zip(starts.tolist(), ends.tolist()):
+            out.update(zip(low.tolist(), high.tolist()))
+            for start, end in zip(starts, ends):
                 if end - start > 2:
                     # In order of rep, so that different nodes choose the same pairs.
                     order = start + np.argsort(reps[start:end], kind="stable")
-                    out += pairs_of(reps[order], labels[order], sizes[order], sketches[order])
-            out = list(set(out))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"]
+                    left, right, score = agreeing(sketches[order], sizes[order], threshold)
+                    if len(left):
+                        own = reps[order].tolist()
+                        out.update((own[i], own[j]) for i, j in tree_of(len(own), left, right, score) if own[i] != own[j])
+            pairs = list(out)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], names=["a", "b"]
             )
 
+    return dealt_by_node(leaves, *LEAF).mapInArrow(compare, "a long, b long").groupBy("a", "b").agg(F.lit(1)).select("a", "b")
+
+
+def unsettled(leaves: DataFrame, threshold: float) -> DataFrame:
+    """The rows of `leaves` that still have a candidate with another label in their node, with its number there.
+
+    Rows of a node that candidates connect share a `cluster`.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts, ends in by_node(batches):
+            reps, labels, sizes, sketches = columns_of(table)
+            keep, clusters = [], []
+            for start, end in zip(starts, ends):
+                part = slice(start, end)
+                if (labels[part] == labels[start]).all():
+                    continue
+                left, right, score = agreeing(sketches[part], sizes[part], threshold)
+                differ = labels[part][left] != labels[part][right]
+                left, right = left[differ], right[differ]
+                parent = {i: i for i in np.union1d(left, right).tolist()}
+                for i, j in tree_of(end - start, left, right, score[differ]):
+                    while parent[i] != i:
+                        i = parent[i]
+                    while parent[j] != j:
+                        j = parent[j]
+                    parent[max(i, j)] = min(i, j)
+                for i in sorted(parent):
+                    top = i
+                    while parent[top] != top:
+                        top = parent[top]
+                    keep.append(start + i)
+                    clusters.append(top)
+            chosen = table.take(pa.array(keep, pa.int64())).select(["node", "rep", "label"])
+            chosen = chosen.append_column("cluster", pa.array(clusters, pa.int32())).combine_chunks()
+            yield from chosen.to_batches()
+
+    return dealt_by_node(leaves, *LEAF).mapInArrow(compare, "node long, rep long, label long, cluster int")
+
+
+def links_among(sets: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of sets that reach the threshold and connect different labels: one for each two labels that they join.
+
+    All sizes of intersections come from products of 0/1 matrices over the elements that
+    at least two of the sets have.
+    """
+    n = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    _, element, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), sizes)
+    shared = count >= 2
+    column = np.cumsum(shared) - 1
+    row, element = row[shared[element]], column[element[shared[element]]]
+    order = np.argsort(element, kind="stable")
+    row, element = row[order], element[order]
+    both = np.zeros((n, n), np.float32)
+    for at in range(0, int(shared.sum()), 2048):
+        part = slice(*np.searchsorted(element, [at, at + 2048]))
+        block = np.zeros((n, 2048), np.float32)
+        block[row[part], element[part] - at] = 1
+        both += block @ block.T
+    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both) - 1e-3
+    left, right = np.nonzero(np.triu(linked & (labels[:, None] != labels[None, :]), 1))
+    found, parent = [], {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            x = up
+        return x
+
+    for i, j in zip(left.tolist(), right.tolist()):
+        a, b = root(int(labels[i])), root(int(labels[j]))
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            found.append((i, j))
+    return found
+
+
+def remaining_links(rows: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    """Links (a, b) between different labels inside the clusters of `unsettled` rows, by whole sets.
+
+    Each cluster meets in one task, at most SMALL_NODE sets; only links come out.
+    """
+    percent = round(100 * threshold)
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if held and held[-1].num_rows and table.num_rows:
-                table = pa.concat_tables([held.pop(), table])
-            node = table["node"].to_numpy()
-            if not len(node):
-                continue
-            last = int(np.searchsorted(node, node[-1]))  # the last node may go on in the next batch
-            held = [table.slice(last)]
-            if last:
-                yield found(table.slice(0, last))
-        if held:
-            yield found(held[0])
-
-    dealt = leaves.select("node", "rep", "label", "size", "sketch").repartition("node").sortWithinPartitions("node")
-    return dealt.mapInArrow(compare, "a long, b long").groupBy("a", "b").agg(F.lit(1).alias("one")).drop("one")
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float) -> DataFrame:
-    """The pairs whose whole shingle sets reach the threshold; texts move only for documents in pairs."""
+            sets = [shingle_set(t, size).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "shingles"])
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts, ends in by_node(batches):
+            reps, labels, clusters = (table[c].to_numpy() for c in ("rep", "label", "cluster"))
+            out = []
+            for start, end in zip(starts, ends):
+                for cluster in np.unique(clusters[start:end]):
+                    some = start + np.flatnonzero(clusters[start:end] == cluster)
+                    sets = [np.frombuffer(table["shingles"][int(i)].as_py(), np.uint64) for i in some]
+                    out += [(int(reps[some[i]]), int(reps[some[j]])) for i, j in links_among(sets, labels[some], percent)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"]
+            )
+
+    wanted = rows.select(F.col("rep").alias("id")).distinct()
+    sets, _ = materialize(texts.join(wanted, "id", "left_semi").mapInArrow(shingled, "rep long, shingles binary"))
+    dealt = dealt_by_node(rows.join(sets, "rep"), "rep", "label", "cluster", "shingles")
+    return dealt.mapInArrow(link, "a long, b long").distinct()
+
+
+def texts_of(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text) of the documents in pairs, written once."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    # Ends and pairs grow with the input, so none of them is broadcast, however small it is here.
+    return materialize(texts.join(ends.hint("merge"), "id", "left_semi"))[0]
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    """The pairs whose whole shingle sets reach the threshold."""
     percent = round(100 * threshold)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,11 +359,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, siz
                 [pa.array(ids, pa.int64()).filter(mask), pa.array(others, pa.int64()).filter(mask)], names=["a", "b"]
             )
 
-    texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("__id")).distinct()
-    texts, _ = materialize(texts.join(ends, "__id", "left_semi"))
-    joined = pairs.join(texts.select(F.col("__id").alias("a"), F.col("__text").alias("text_a")), "a")
-    joined = joined.join(texts.select(F.col("__id").alias("b"), F.col("__text").alias("text_b")), "b")
+    joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
+    joined = joined.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
@@ -264,7 +381,7 @@ def near_duplicates(
     similarity 0.8 a tree does so with a chance of about 0.63 after one level and 0.47 after
     two, so 14 trees miss fewer than one pair in a thousand, and components close over
     what is missed. Candidates that connect each node are confirmed on whole sets first;
-    then all candidates that are still between different components.
+    then, inside each node, all candidates that are still between different components.
 
     A null or empty text has no shingles and is linked with nothing. Rows with a null id
     take no part: component_id is null and kept true. Rows that repeat an id are each
@@ -303,19 +420,18 @@ def near_duplicates(
         small = small.unionByName(members.filter(F.col("members") <= SMALL_NODE))
 
     leaves, _ = materialize(small.select("node", "rep").join(sketches, "rep"))
-    pairs = compare_nodes(leaves.withColumn("label", F.col("rep")), threshold, all_pairs=False)
+    pairs = connecting_pairs(leaves.withColumn("label", F.col("rep")), threshold)
     if stars is not None:
         pairs = pairs.unionByName(stars).distinct()
-    first, _ = materialize(pairs)
-    links, _ = materialize(confirmed(first, docs, id_col, text_col, shingle_words, threshold))
+    pairs, _ = materialize(pairs)
+    texts = texts_of(pairs, docs, id_col, text_col)
+    links, _ = materialize(confirmed(pairs, texts, shingle_words, threshold))
     labels = min_labels(links)
 
     labelled = leaves.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    second, seen = materialize(
-        compare_nodes(labelled, threshold, all_pairs=True).join(first, ["a", "b"], "left_anti")
-    )
+    open_rows, seen = materialize(unsettled(labelled, threshold))
     if seen["rows"]:
-        more, seen = materialize(confirmed(second, docs, id_col, text_col, shingle_words, threshold))
+        more, seen = materialize(remaining_links(open_rows, texts, shingle_words, threshold))
         if seen["rows"]:
             labels = min_labels(links.unionByName(more))
 
