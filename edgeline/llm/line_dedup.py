@@ -184,7 +184,8 @@ def dedup_lines(
     doc, version = row_key(id_col, text_col)
     rows = docs.select(*(F.col(f"`{c}`") for c in names), doc.alias("__doc"), version.alias("__version"))
     runs = runs.select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), F.col("runs").alias("__runs"))
-    joined = rows.join(runs, ["__doc", "__version"], "left")
+    # Texts and runs both grow with the input, so neither is broadcast, however small it is here.
+    joined = rows.join(runs.hint("merge"), ["__doc", "__version"], "left")
     added = [T.StructField(c, T.LongType()) for c in ADDED] + [T.StructField(KEPT, T.StringType())]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
