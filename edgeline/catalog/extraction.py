@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from edgeline.catalog import query
+from edgeline.catalog.algorithms import CENTRALITY
 from edgeline.catalog.graphs import FOREST, MOVES, forest, moves, saved, table
 from edgeline.catalog.relational import rounded
 from edgeline.operators import extraction, profiling, results, validation
@@ -52,15 +53,21 @@ TABLES = {
         "l_linestatus": "string",
         "l_shipdate": "timestamp_ntz",
     },
+    "events": {
+        "event_id": "bigint",
+        "ts": "timestamp_ntz",
+        "user_id": "bigint",
+        "event_type": "string",
+        "value": "double",
+        "props": "string",
+    },
+    "documents": {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"},
+    "embeddings": {"vec_id": "bigint", "label": "int"},
+    "pages": {"page_id": "bigint", "url": "string", "html": "string"},
+    "benchmark": {"item_id": "bigint", "text": "string"},
+    "labels": {"doc_id": "bigint", "quality": "int", "toxic": "int"},
+    "conversations": {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"},
 }
-KEY_COLUMNS = [
-    ("region", "r_regionkey"),
-    ("nation", "n_nationkey"),
-    ("customer", "c_custkey"),
-    ("supplier", "s_suppkey"),
-    ("part", "p_partkey"),
-    ("orders", "o_orderkey"),
-]
 TRIPLET_TEXT = "subject_id, subject_type, predicate, object_id, object_type, confidence, source_agent, source_method"
 TRIPLET_NAMES = TRIPLET_TEXT.split(", ")
 
@@ -77,21 +84,25 @@ CAST(min({column}) AS VARCHAR) AS min_value, CAST(max({column}) AS VARCHAR) AS m
 
 
 def _foreign_key_sql() -> str:
-    ids = [(t, c) for t, columns in TABLES.items() for c in columns if c.endswith("key")]
-    parts = [
-        f"""SELECT '{ct}' AS child_table, '{cc}' AS child_column, '{pt}' AS parent_table, '{pc}' AS parent_column,
-count(DISTINCT {cc}) AS n_values, count(DISTINCT {cc}) FILTER (WHERE {cc} IN (SELECT {pc} FROM {pt})) AS n_matched
-FROM {ct}"""
-        for ct, cc in ids
-        for pt, pc in KEY_COLUMNS
-        if ct != pt
-    ]
-    return f"""SELECT *, round(n_matched / n_values, 6) AS containment FROM ({' UNION ALL '.join(parts)})
-WHERE n_matched / n_values >= 0.95"""
+    """Distinct values of all integer and text columns, met with those of columns that identify their rows."""
+    kinds = {"int": "integer", "bigint": "integer", "string": "string"}
+    columns = [(t, c, kinds[k]) for t, own in TABLES.items() for c, k in own.items() if k in kinds]
+    values = " UNION ALL ".join(
+        f"""SELECT DISTINCT '{t}' AS t, '{c}' AS c, '{kind}' AS kind, CAST({c} AS VARCHAR) AS v,
+(SELECT count(*) = count(DISTINCT {c}) AND count(*) = count({c}) FROM {t}) AS is_key FROM {t} WHERE {c} IS NOT NULL"""
+        for t, c, kind in columns
+    )
+    return f"""WITH vals AS MATERIALIZED ({values}),
+sizes AS (SELECT t, c, count(*) AS n_values FROM vals GROUP BY ALL),
+met AS (SELECT x.t AS child_table, x.c AS child_column, y.t AS parent_table, y.c AS parent_column, count(*) AS n_matched
+FROM vals x JOIN vals y ON y.is_key AND x.kind = y.kind AND x.v = y.v AND x.t <> y.t GROUP BY ALL)
+SELECT met.*, n_values, round(n_matched / n_values, 6) AS containment
+FROM met JOIN sizes ON sizes.t = child_table AND sizes.c = child_column WHERE n_matched / n_values >= 0.95"""
 
 
 def _tables(spark, sf):
-    return {name: table(spark, sf, name) for name in TABLES}
+    """The vectors are left out: a mean or a largest vector says nothing."""
+    return {name: table(spark, sf, name).select(*columns) for name, columns in TABLES.items()}
 
 
 def _triplets(df):
@@ -115,7 +126,7 @@ def _(spark, sf):
 @query("k3_foreign_keys", _foreign_key_sql())
 def _(spark, sf):
     tables = _tables(spark, sf)
-    keys = saved(profiling.entity_keys(profiling.profile(tables)).filter("id_like"))
+    keys = saved(profiling.entity_keys(profiling.profile(tables)))
     return rounded(profiling.foreign_keys(tables, keys), "containment")
 
 
@@ -124,12 +135,11 @@ def _(spark, sf):
     """SELECT DISTINCT 'O' || l_orderkey AS subject_id, 'Order' AS subject_type, 'CONTAINS' AS predicate,
 'P' || l_partkey AS object_id, 'Part' AS object_type, CAST(1 AS DOUBLE) AS confidence,
 'relationship' AS source_agent, 'fk_join' AS source_method FROM lineitem
-WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size < 25)""",
+WHERE l_partkey IN (SELECT p_partkey FROM part)""",
 )
 def _(spark, sf):
     spec = ForeignKey("l_orderkey", "Order", "l_partkey", "p_partkey", "Part", "CONTAINS", "O", "P")
-    small = table(spark, sf, "part").filter("p_size < 25")
-    return _triplets(extraction.fk_triplets(table(spark, sf, "lineitem"), small, spec))
+    return _triplets(extraction.fk_triplets(table(spark, sf, "lineitem"), table(spark, sf, "part"), spec))
 
 
 @query(
@@ -260,22 +270,37 @@ UNION ALL SELECT entity_id, entity_type, 'MEMBER_OF', 'COMMUNITY:' || community_
 )
 def _(spark, sf):
     graph = index_graph(forest(spark, sf))
-    # Betweenness is left out here (NULL), so only hubs and memberships appear.
-    centrality = results.entity_centrality(None, graph=graph, pagerank_rounds=0, max_betweenness_vertices=0)
+    # No pivots, so no bridges: those are in k10_bridges.
+    centrality = results.entity_centrality(None, graph=graph, pagerank_rounds=0, pivots=0)
     communities = results.components_as_communities(graph)
     return _triplets(extraction.topology_triplets(centrality, communities))
 
 
+@query(
+    "k10_bridges",
+    f"""WITH {CENTRALITY},
+top AS (SELECT entity_id, entity_type, betweenness FROM centrality WHERE betweenness > 0
+ORDER BY betweenness DESC, entity_id LIMIT 10)
+SELECT entity_id AS subject_id, entity_type AS subject_type, 'IS_BRIDGE' AS predicate, 'ROLE:bridge' AS object_id,
+'Role' AS object_type, round(betweenness / (SELECT max(betweenness) FROM top), 6) AS confidence,
+'graph_topology' AS source_agent, 'betweenness' AS source_method FROM top""",
+)
+def _(spark, sf):
+    centrality = rounded(results.entity_centrality(moves(spark, sf), pagerank_rounds=0), "betweenness")
+    nobody = results.components_as_communities(index_graph(forest(spark, sf))).limit(0)
+    return _triplets(extraction.topology_triplets(centrality, nobody)).filter("predicate = 'IS_BRIDGE'")
+
+
 @query(
     "k11_validate_triplets",
     f"""WITH {MOVES}, raw AS (
 SELECT subject_id, predicate, object_id, subject_type, object_type, confidence, source_agent, source_method FROM moves
 UNION ALL SELECT subject_id, predicate, object_id, subject_type, object_type, confidence / 2, 'second_agent',
 source_method FROM moves WHERE predicate IN ('CLICK', 'PURCHASE')),
-g AS (SELECT subject_id, predicate, object_id, max(subject_type) AS subject_type, max(object_type) AS object_type,
-max(confidence) AS c, count(DISTINCT source_agent) AS n_agents, min(source_agent) AS source_agent,
-min(source_method) AS source_method FROM raw GROUP BY 1, 2, 3),
-s AS (SELECT *, 1 - (1 - c) / pow(2, greatest(n_agents - 1, 0)) AS confidence FROM g)
+g AS (SELECT *, count(DISTINCT source_agent) OVER same AS n_agents, row_number() OVER (same ORDER BY
+confidence DESC NULLS LAST, source_agent DESC NULLS LAST, source_method DESC NULLS LAST) AS place
+FROM raw WINDOW same AS (PARTITION BY subject_id, predicate, object_id)),
+s AS (SELECT * REPLACE (1 - (1 - confidence) / pow(2, greatest(n_agents - 1, 0)) AS confidence) FROM g WHERE place = 1)
 SELECT subject_id, subject_type, predicate, object_id, object_type, round(confidence, 6) AS confidence, source_agent,
 source_method FROM s WHERE confidence IS NULL OR confidence >= 0.3""",
 )

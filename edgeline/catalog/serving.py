@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from edgeline.catalog import query
 from edgeline.catalog.algorithms import CENTRALITY
-from edgeline.catalog.graphs import FOREST, MOVES, forest, moves, orders_graph, saved
+from edgeline.catalog.graphs import FK, FOREST, MOVES, fk, forest, moves, orders_graph, saved
 from edgeline.catalog.relational import (
     ISOLATED,
     LARGEST,
@@ -16,7 +16,15 @@ from edgeline.catalog.relational import (
     TOP_HUBS,
     rounded,
 )
-from edgeline.catalog.traversal import connects_sql, khop_sql, neighbors_sql, paths_sql, subgraph_sql, walks_sql
+from edgeline.catalog.traversal import (
+    connects_sql,
+    khop_sql,
+    neighbors_sql,
+    paths_sql,
+    subgraph_sql,
+    walks_sql,
+    walks_text,
+)
 from edgeline.functions.sql_functions import register_functions
 from edgeline.operators import lookups, results
 from edgeline.operators.vertices import index_graph
@@ -47,9 +55,9 @@ def _(spark, sf):
     return _call(spark, "SELECT * FROM khop('U5', 2)", moves(spark, sf))
 
 
-@query("t3_connection_path", paths_sql(FOREST, "forest", "C2", "S2"))
+@query("t3_connection_path", paths_sql(FK, "fk", "C2", "S2"))
 def _(spark, sf):
-    return _call(spark, "SELECT * FROM connection_path('C2', 'S2')", forest(spark, sf))
+    return _call(spark, "SELECT * FROM connection_path('C2', 'S2')", fk(spark, sf))
 
 
 @query("t4_subgraph_edges", subgraph_sql("U5", 2))
@@ -81,8 +89,7 @@ def _(spark, sf):
     return lookups.cluster_of_many(_communities(spark, sf), ids)
 
 
-MEMBERS = f"""WITH {FOREST} SELECT entity_id, entity_type, community_size FROM communities WHERE community_id = %s
-ORDER BY entity_id LIMIT 1000"""
+MEMBERS = f"""WITH {FOREST} SELECT entity_id, entity_type, community_size FROM communities WHERE community_id = %s"""
 
 
 @query("t6_members_of_cluster", MEMBERS % 0)
@@ -102,7 +109,7 @@ def _(spark, sf):
 
 @query("w1_top_central", TOP_CENTRAL % 1000)
 def _(spark, sf):
-    return lookups.top_central_entities(_centrality(spark, sf), None)
+    return lookups.top_central_entities(_centrality(spark, sf), 1000)
 
 
 @query(
@@ -114,10 +121,58 @@ FROM communities a, communities b WHERE b.entity_id = 'R0' AND a.entity_type = '
 )
 def _(spark, sf):
     communities = saved(_communities(spark, sf))
-    nations = spark.read.parquet(f"{sf}/nation.parquet").select("n_nationkey").collect()
-    # Nations are a fixed handful; one call of the function per nation.
-    calls = " UNION ALL ".join(f"SELECT * FROM shared_community('N{n[0]}', 'R0')" for n in nations)
-    return _call(spark, calls, forest(spark, sf), None, communities)
+    statement = """SELECT s.* FROM kg_communities c, LATERAL shared_community(c.entity_id, 'R0') s
+WHERE c.entity_type = 'Nation'"""
+    return _call(spark, statement, forest(spark, sf), None, communities)
+
+
+@query(
+    "t1_neighbors_lateral",
+    f"""WITH {FOREST}, nb AS (SELECT subject_id AS id, predicate, object_id AS neighbor_id, object_type AS neighbor_type,
+'out' AS direction FROM forest UNION ALL SELECT object_id, predicate, subject_id, subject_type, 'in' FROM forest)
+SELECT nb.* FROM nb JOIN member USING (id) WHERE entity_type = 'Nation'""",
+)
+def _(spark, sf):
+    statement = """SELECT c.entity_id AS id, n.predicate, n.neighbor_id, n.neighbor_type, n.direction
+FROM kg_communities c, LATERAL neighbors(c.entity_id) n WHERE c.entity_type = 'Nation'"""
+    return _call(spark, statement, forest(spark, sf), None, saved(_communities(spark, sf)))
+
+
+@query(
+    "t6_members_of_own_cluster",
+    f"""WITH {FOREST} SELECT s.entity_id AS asked, m.entity_id, m.entity_type FROM communities s
+JOIN communities m USING (community_id) WHERE s.entity_type = 'Nation'""",
+)
+def _(spark, sf):
+    statement = """SELECT c.entity_id AS asked, m.entity_id, m.entity_type
+FROM kg_communities c, LATERAL members_of_cluster(c.community_id) m WHERE c.entity_type = 'Nation'"""
+    return _call(spark, statement, forest(spark, sf), None, saved(_communities(spark, sf)))
+
+
+@query(
+    "t9_downstream",
+    walks_sql("subject_id", "object_id", "U5", 3)
+    + """SELECT start_id, reached_id, hop, array_to_string(path, ' -> ') AS path, array_to_string(predicates, ',') AS predicates
+FROM walks WHERE hop > 0""",
+)
+def _(spark, sf):
+    return walks_text(_call(spark, "SELECT * FROM downstream('U5')", moves(spark, sf)))
+
+
+@query("t9_hubs_by_view", TOP_HUBS)
+def _(spark, sf):
+    statement = """SELECT id, in_degree, out_degree, total_degree FROM kg_node_degree
+ORDER BY total_degree DESC, id LIMIT 10"""
+    return _call(spark, statement, moves(spark, sf))
+
+
+@query(
+    "t9_edges_by_view",
+    f"""WITH {FOREST} SELECT f.subject_id, s.entity_type AS source_type, f.object_id, d.entity_type AS dest_type
+FROM forest f JOIN member s ON s.id = f.subject_id JOIN member d ON d.id = f.object_id""",
+)
+def _(spark, sf):
+    return _call(spark, "SELECT subject_id, source_type, object_id, dest_type FROM kg_edges_enriched", forest(spark, sf))
 
 
 # --- analyst questions -------------------------------------------------------------------------
@@ -130,11 +185,11 @@ def _(spark, sf):
 
 @query(
     "x2_reachable_from",
-    walks_sql("subject_id", "object_id", "U7", 2)
-    + "SELECT reached_id, hop, array_to_string(path, ' -> ') AS path FROM walks",
+    walks_sql("subject_id", "object_id", "U7", 3)
+    + "SELECT reached_id, hop, array_to_string(path, ' -> ') AS path FROM walks WHERE hop > 0",
 )
 def _(spark, sf):
-    walks = analyst.reachable_from(Graph(saved(moves(spark, sf))), "U7", 2)
+    walks = analyst.reachable_from(Graph(saved(moves(spark, sf))), "U7")
     return walks.withColumn("path", F.array_join("path", " -> "))
 
 
@@ -184,7 +239,7 @@ def _(spark, sf):
 @query(
     "x10_same_cluster",
     f"""WITH {FOREST} SELECT entity_id, entity_type, community_size FROM communities
-WHERE community_id = (SELECT community_id FROM communities WHERE entity_id = 'S1') ORDER BY entity_id LIMIT 1000""",
+WHERE community_id = (SELECT community_id FROM communities WHERE entity_id = 'S1')""",
 )
 def _(spark, sf):
     return analyst.same_cluster(_communities(spark, sf), "S1")

@@ -1,14 +1,19 @@
 """The traversal and lookup operators as SQL functions over temporary views.
 
-Bodies are plain SQL, so Spark inlines each call into the caller's plan and the
-functions also work under LATERAL joins.
+Bodies are plain SQL, so Spark inlines each call into the caller's plan. `neighbors`,
+`cluster_of`, `members_of_cluster` and `shared_community` also take columns under LATERAL
+and plan as equality joins; `khop`, `connection_path` and `subgraph_edges` take constants,
+and for many anchors there are `khop_of`, `connection_paths_of` and `subgraph_edges_of`.
+Results are whole: add a LIMIT where a few rows are enough. A depth that a function does
+not have is an error.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeline.schema import conform_triplets, empty_results
+from edgeline.operators.views import derive_nodes, enriched_edges, node_degree
+from edgeline.schema import Graph, conform_triplets, empty_results
 
 FUNCTION_NAMES = (
     "neighbors",
@@ -19,21 +24,19 @@ FUNCTION_NAMES = (
     "members_of_cluster",
     "top_central_entities",
     "shared_community",
+    "downstream",
+    "upstream",
 )
 
 NEIGHBORS = """
 neighbors(entity_id STRING)
 RETURNS TABLE (predicate STRING, neighbor_id STRING, neighbor_type STRING, direction STRING, confidence DOUBLE)
 RETURN
-  SELECT predicate, side.neighbor_id, side.neighbor_type, side.direction, confidence
-  FROM {triplets}
-  LATERAL VIEW inline(array(
-    named_struct('own', subject_id, 'neighbor_id', object_id, 'neighbor_type', object_type, 'direction', 'out'),
-    named_struct('own', object_id, 'neighbor_id', subject_id, 'neighbor_type', subject_type, 'direction', 'in')
-  )) side
-  WHERE (subject_id = neighbors.entity_id OR object_id = neighbors.entity_id) AND side.own = neighbors.entity_id
-  ORDER BY confidence DESC NULLS LAST, predicate, neighbor_id, direction, neighbor_type
-  LIMIT 500
+  SELECT predicate, object_id, object_type, 'out', confidence
+  FROM {triplets} WHERE subject_id = neighbors.entity_id
+  UNION ALL
+  SELECT predicate, subject_id, subject_type, 'in', confidence
+  FROM {triplets} WHERE object_id = neighbors.entity_id
 """
 
 # Each level keeps distinct nodes only, so walks are never spelled out.
@@ -52,15 +55,14 @@ RETURN
   ring3 AS (SELECT DISTINCT pair.dst AS node FROM pair JOIN ring2 ON pair.src = ring2.node),
   reached AS (
     SELECT node, 1 AS hops FROM ring1
-    UNION ALL SELECT node, 2 AS hops FROM ring2 WHERE least(khop.k, 3) >= 2
-    UNION ALL SELECT node, 3 AS hops FROM ring3 WHERE least(khop.k, 3) >= 3
+    UNION ALL SELECT node, 2 AS hops FROM ring2 WHERE coalesce(khop.k, 3) >= 2
+    UNION ALL SELECT node, 3 AS hops FROM ring3 WHERE coalesce(khop.k, 3) >= 3
   )
   SELECT node AS neighbor_id, min(hops) AS hops
   FROM reached
-  WHERE node <> khop.entity_id AND least(khop.k, 3) >= 1
+  WHERE node <> khop.entity_id AND coalesce(khop.k, 3) >= 1
+    AND if(khop.k > 3, CAST(raise_error('khop reaches 3 hops at most; use khop_of') AS BOOLEAN), true)
   GROUP BY node
-  ORDER BY hops, neighbor_id
-  LIMIT 5000
 """
 
 # Half-paths of one and two hops from either end meet on their last node.
@@ -97,39 +99,36 @@ RETURN
     SELECT 4 AS hops, array(connection_path.a, half_a.x, half_a.y, half_b.z, connection_path.b) AS nodes
     FROM half_a JOIN half_b ON half_a.y = half_b.y AND half_a.x <> half_b.z
   )
-  SELECT hops, array_join(nodes, ' -> ') AS path FROM found ORDER BY hops, path LIMIT 100
+  SELECT hops, array_join(nodes, ' -> ') AS path FROM found
 """
 
+# Nodes with the hops to them, nearest first; an edge is met one hop after its nearer end.
 SUBGRAPH_EDGES = """
 subgraph_edges(entity_id STRING, k INT)
 RETURNS TABLE (subject_id STRING, subject_type STRING, predicate STRING, object_id STRING, object_type STRING,
                confidence DOUBLE, hop INT)
 RETURN
-  WITH touching AS (
-    SELECT DISTINCT subject_id, subject_type, predicate, object_id, object_type, confidence
-    FROM {triplets}
-    WHERE subject_id = subgraph_edges.entity_id OR object_id = subgraph_edges.entity_id
-  ),
-  ring AS (
-    SELECT DISTINCT if(subject_id = subgraph_edges.entity_id, object_id, subject_id) AS node FROM touching
+  WITH start AS (SELECT subgraph_edges.entity_id AS node),
+  next AS (
+    SELECT object_id AS node FROM {triplets} WHERE subject_id = subgraph_edges.entity_id
+    UNION
+    SELECT subject_id AS node FROM {triplets} WHERE object_id = subgraph_edges.entity_id
   ),
-  outside AS (
-    SELECT subject_id, subject_type, predicate, object_id, object_type, confidence
-    FROM {triplets}
-    WHERE subject_id <> subgraph_edges.entity_id AND object_id <> subgraph_edges.entity_id
-      AND least(subgraph_edges.k, 2) >= 2
+  reach AS (
+    SELECT node, 0 AS away FROM start
+    UNION ALL
+    SELECT node, 1 AS away FROM next
+    WHERE node <> subgraph_edges.entity_id AND coalesce(subgraph_edges.k, 2) >= 2
+      AND if(subgraph_edges.k > 2, CAST(raise_error('subgraph_edges goes 2 hops at most; use subgraph_edges_of') AS BOOLEAN), true)
   ),
-  further AS (
-    SELECT outside.* FROM outside LEFT SEMI JOIN ring ON outside.subject_id = ring.node
-    UNION
-    SELECT outside.* FROM outside LEFT SEMI JOIN ring ON outside.object_id = ring.node
+  met AS (
+    SELECT t.*, reach.away FROM {triplets} t JOIN reach ON t.subject_id = reach.node
+    UNION ALL
+    SELECT t.*, reach.away FROM {triplets} t JOIN reach ON t.object_id = reach.node
   )
-  SELECT *, 1 AS hop FROM touching
-  UNION ALL
-  SELECT *, 2 AS hop FROM further
-  ORDER BY hop, subject_id, object_id, predicate NULLS LAST, confidence NULLS LAST,
-           subject_type NULLS LAST, object_type NULLS LAST
-  LIMIT 1000
+  SELECT subject_id, subject_type, predicate, object_id, object_type, confidence, min(away) + 1 AS hop
+  FROM met
+  GROUP BY subject_id, subject_type, predicate, object_id, object_type, confidence
 """
 
 CLUSTER_OF = """
@@ -145,23 +144,19 @@ RETURN
   SELECT m.entity_id, m.entity_type, m.community_size
   FROM {communities} m
   WHERE m.community_id = members_of_cluster.community_id
-  ORDER BY entity_id
-  LIMIT 1000
 """
 
+# Each task keeps its own n best rows before the last comparison.
 TOP_CENTRAL_ENTITIES = """
 top_central_entities(n INT)
 RETURNS TABLE (entity_id STRING, entity_type STRING, pagerank DOUBLE, degree BIGINT, betweenness DOUBLE)
 RETURN
-  WITH leading AS (
-    SELECT entity_id, entity_type, pagerank, degree, betweenness
-    FROM {centrality} ORDER BY pagerank DESC NULLS LAST, entity_id LIMIT 1000
-  ),
-  placed AS (
-    SELECT *, row_number() OVER (ORDER BY pagerank DESC NULLS LAST, entity_id) AS place FROM leading
+  SELECT entry.entity_id, entry.entity_type, entry.pagerank, entry.degree, entry.betweenness
+  FROM (
+    SELECT struct(c.*) AS entry, rank() OVER (ORDER BY c.pagerank DESC NULLS LAST, c.entity_id) AS standing
+    FROM {centrality} c
   )
-  SELECT entity_id, entity_type, pagerank, degree, betweenness
-  FROM placed WHERE place <= least(top_central_entities.n, 1000)
+  WHERE standing <= top_central_entities.n
 """
 
 SHARED_COMMUNITY = """
@@ -169,20 +164,39 @@ shared_community(a STRING, b STRING)
 RETURNS TABLE (entity_a STRING, entity_b STRING, community_a BIGINT, community_b BIGINT,
                same_community BOOLEAN, community_size BIGINT)
 RETURN
-  WITH hit AS (
-    SELECT if(entity_id = shared_community.a, community_id, NULL) AS of_a,
-           if(entity_id = shared_community.b, community_id, NULL) AS of_b,
-           if(entity_id = shared_community.a, community_size, NULL) AS size
-    FROM {communities}
-    WHERE entity_id IN (shared_community.a, shared_community.b)
+  SELECT asked.a, asked.b, x.community_id, y.community_id,
+         (x.community_id IS NOT NULL AND x.community_id = y.community_id),
+         if(x.community_id = y.community_id, x.community_size, NULL)
+  FROM (SELECT shared_community.a AS a, shared_community.b AS b) asked
+  LEFT JOIN {communities} x ON x.entity_id = asked.a
+  LEFT JOIN {communities} y ON y.entity_id = asked.b
+"""
+
+WALKS = """
+{{name}}(start_id STRING)
+RETURNS TABLE (start_id STRING, reached_id STRING, hop INT, path ARRAY<STRING>, predicates ARRAY<STRING>)
+RETURN
+  WITH one AS (
+    SELECT {{far}} AS tip, array({{near}}, {{far}}) AS path, array(predicate) AS labels
+    FROM {triplets} WHERE {{near}} = {{name}}.start_id AND {{far}} <> {{near}}
+  ),
+  two AS (
+    SELECT t.{{far}} AS tip, array_append(path, t.{{far}}) AS path, array_append(labels, t.predicate) AS labels
+    FROM one JOIN {triplets} t ON t.{{near}} = one.tip WHERE NOT array_contains(path, t.{{far}})
   ),
-  looked_up AS (SELECT max(of_a) AS community_a, max(of_b) AS community_b, max(size) AS size_a FROM hit)
-  SELECT shared_community.a AS entity_a, shared_community.b AS entity_b, community_a, community_b,
-         (community_a IS NOT NULL AND community_a = community_b) AS same_community,
-         if(community_a = community_b, size_a, NULL) AS community_size
-  FROM looked_up
+  three AS (
+    SELECT t.{{far}} AS tip, array_append(path, t.{{far}}) AS path, array_append(labels, t.predicate) AS labels
+    FROM two JOIN {triplets} t ON t.{{near}} = two.tip WHERE NOT array_contains(path, t.{{far}})
+  )
+  SELECT path[0], tip, CAST(size(labels) AS INT), path, labels
+  FROM (SELECT * FROM one UNION ALL SELECT * FROM two UNION ALL SELECT * FROM three)
 """
 
+
+def _walks(name: str, near: str, far: str) -> str:
+    return WALKS.replace("{{name}}", name).replace("{{near}}", near).replace("{{far}}", far)
+
+
 BODIES = (
     NEIGHBORS,
     KHOP,
@@ -192,6 +206,8 @@ BODIES = (
     MEMBERS_OF_CLUSTER,
     TOP_CENTRAL_ENTITIES,
     SHARED_COMMUNITY,
+    _walks("downstream", "subject_id", "object_id"),
+    _walks("upstream", "object_id", "subject_id"),
 )
 
 
@@ -202,9 +218,11 @@ def register_functions(
     communities: DataFrame | None = None,
     prefix: str = "kg_",
 ) -> tuple[str, ...]:
-    """Create the eight functions over temporary views named with `prefix`.
+    """Create the functions over temporary views named with `prefix`.
 
-    Result tables not given yet are registered empty, so lookups answer with no rows.
+    The views are triplets, centrality and communities, and nodes, node_degree and
+    edges_enriched derived from the triplets. Result tables not given yet are registered
+    empty, so lookups answer with no rows.
     """
     no_centrality, no_communities = empty_results(spark)
     views = {
@@ -212,7 +230,9 @@ def register_functions(
         "centrality": no_centrality if centrality is None else centrality,
         "communities": no_communities if communities is None else communities,
     }
-    for name, df in views.items():
+    graph = Graph(views["triplets"])
+    derived = {"nodes": derive_nodes(graph), "node_degree": node_degree(graph), "edges_enriched": enriched_edges(graph)}
+    for name, df in {**views, **derived}.items():
         df.createOrReplaceTempView(prefix + name)
     _create(spark, {name: prefix + name for name in views}, "TEMPORARY ")
     return FUNCTION_NAMES

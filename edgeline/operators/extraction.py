@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -280,34 +281,44 @@ def cluster_triplets(
 
 
 def group_centres(df: DataFrame, group: str, vector: str) -> DataFrame:
-    """(group, centre): the mean vector per group, aggregated per dimension."""
-    return (
-        df.select(group, F.posexplode(F.col(vector)).alias("dim", "x"))
-        .groupBy(group, "dim")
-        .agg(F.avg("x").alias("x"))
-        .groupBy(group)
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "x"))), lambda p: p["x"]).alias("centre"))
-    )
+    """(group, centre): the mean vector per group."""
+    features = array_to_vector(F.col(vector).cast("array<double>"))
+    means = df.filter(F.col(vector).isNotNull()).groupBy(group).agg(Summarizer.mean(features).alias("mean"))
+    return means.select(group, vector_to_array("mean").alias("centre"))
+
+
+def _unit(vector: Column) -> Column:
+    length = _norm(vector)
+    return F.when(length > 0, F.transform(vector, lambda x: x / length))
+
+
+CENTRES_PER_BLOCK = 200
 
 
 def cosine_triplets(
-    df: DataFrame, id: Column, id_type: str, vector: str, group: str, threshold: float, max_groups: int = 10_000
+    df: DataFrame, id: Column, id_type: str, vector: str, group: str, threshold: float
 ) -> DataFrame:
     """Each entity linked to every group whose mean vector is within the cosine threshold.
 
     Comparing with group centres rather than with every other entity keeps the work
-    at entities x groups. The centres are counted before they are broadcast.
+    at entities x groups. Both sides are scaled to unit length once. The centres are met in
+    blocks, which are broadcast only if they are small together.
     """
-    centres, seen = materialize(group_centres(df, group, vector))
-    if seen["rows"] > max_groups:
-        raise ValueError(f"{seen['rows']} groups exceed max_groups={max_groups}: choose a coarser grouping")
-    packed = centres.agg(F.collect_list(F.struct(F.col(group).alias("group"), "centre")).alias("centres"))
-    rows = df.select(id.cast("string").alias("entity"), F.col(vector).cast("array<double>").alias("v"))
+    centres, seen = materialize(
+        group_centres(df, group, vector).select(F.col(group).alias("group"), _unit(F.col("centre")).alias("centre"))
+    )
+    n_blocks = max(1, -(-seen["rows"] // CENTRES_PER_BLOCK))
+    block = F.pmod(F.xxhash64("group"), F.lit(n_blocks)).cast("int")
+    packed = centres.groupBy(block.alias("block")).agg(F.collect_list(F.struct("group", "centre")).alias("centres"))
+    rows = df.select(id.cast("string").alias("entity"), F.col(vector).cast("array<double>").alias("raw"))
+    rows = rows.withColumn("length", _norm(F.col("raw"))).filter(F.col("length") > 0)
+    rows = rows.withColumn("v", F.transform("raw", lambda x: x / F.col("length"))).select("entity", "v")
+    met = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    dot = F.aggregate(F.zip_with("v", "centre", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
     similar = (
-        rows.withColumn("one", F.lit(1))
-        .join(broadcast_if_small(packed.withColumn("one", F.lit(1)), 1), "one")
+        met.join(broadcast_if_small(packed, seen["bytes"]), "block")
         .select("entity", "v", F.inline("centres"))
-        .withColumn("cosine", cosine(F.col("v"), F.col("centre")))
+        .withColumn("cosine", dot)
         .filter(F.col("cosine") >= threshold)
     )
     return make_triplets(

@@ -5,18 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row limits of the lookups.
-MAX_MEMBERS = 1000
-MAX_CENTRAL = 1000
 
-
-def top_central_entities(centrality: DataFrame, n: int | None) -> DataFrame:
-    """The n entities of highest PageRank, at most 1000; no n means the maximum."""
-    size = MAX_CENTRAL if n is None else max(0, min(n, MAX_CENTRAL))
+def top_central_entities(centrality: DataFrame, n: int) -> DataFrame:
+    """The n entities of highest PageRank."""
     return (
         centrality.select("entity_id", "entity_type", "pagerank", "degree", "betweenness")
         .orderBy(F.desc_nulls_last("pagerank"), "entity_id")
-        .limit(size)
+        .limit(max(0, n))
     )
 
 
@@ -59,7 +54,6 @@ def members_of_cluster(communities: DataFrame, community_id: int) -> DataFrame:
         communities.filter(F.col("community_id") == community_id)
         .select("entity_id", "entity_type", "community_size")
         .orderBy("entity_id")
-        .limit(MAX_MEMBERS)
     )
 
 

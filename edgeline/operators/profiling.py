@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from edgeline.runtime import materialize
+
 ID_LIKE = "(?i)(id|key)$"
 
 
+def _short(column: Column) -> Column:
+    """A value as text, long ones by their 128-bit digest."""
+    text = column.cast("string")
+    return F.when(F.octet_length(text) > 32, F.md5(text)).otherwise(text)
+
+
 def _profile_table(name: str, df: DataFrame, exact: bool) -> DataFrame:
     columns = [F.col(f"`{field.name}`") for field in df.schema]
     measures = []
@@ -41,7 +49,7 @@ def _profile_table(name: str, df: DataFrame, exact: bool) -> DataFrame:
         values = df.select(
             F.inline(
                 F.array(
-                    *[F.struct(F.lit(i).alias("position"), c.cast("string").alias("value")) for i, c in enumerate(columns)]
+                    *[F.struct(F.lit(i).alias("position"), _short(c).alias("value")) for i, c in enumerate(columns)]
                 )
             )
         ).distinct()
@@ -78,11 +86,11 @@ def _kind(data_type: T.DataType) -> str | None:
 
 
 def foreign_keys(
-    tables: dict[str, DataFrame], keys: DataFrame, min_containment: float = 0.95, id_like_only: bool = True
+    tables: dict[str, DataFrame], keys: DataFrame, min_containment: float = 0.95
 ) -> DataFrame:
     """Column pairs where the child's values (nearly) all occur in a key column of another table.
 
-    All candidate columns are reduced to distinct (column, value) rows; meeting on the
+    All integer and text columns take part, whatever their names. They are reduced to distinct (column, value) rows; meeting on the
     value then costs one shuffle, and a value occurs at most once per column.
     """
     values = []
@@ -90,7 +98,7 @@ def foreign_keys(
         candidates = [
             (f.name, _kind(f.dataType))
             for f in df.schema
-            if _kind(f.dataType) and (not id_like_only or f.name.lower().endswith(("id", "key")))
+            if _kind(f.dataType)
         ]
         if candidates:
             values.append(
@@ -102,7 +110,7 @@ def foreign_keys(
                                     F.lit(name).alias("table_name"),
                                     F.lit(column).alias("column_name"),
                                     F.lit(kind).alias("kind"),
-                                    F.col(f"`{column}`").cast("string").alias("value"),
+                                    _short(F.col(f"`{column}`")).alias("value"),
                                 )
                                 for column, kind in candidates
                             ]
@@ -112,7 +120,7 @@ def foreign_keys(
                 .filter(F.col("value").isNotNull())
                 .distinct()
             )
-    values = reduce(DataFrame.unionByName, values)
+    values, _ = materialize(reduce(DataFrame.unionByName, values))
     # One row per key column of the schema.
     key_values = values.join(F.broadcast(keys.select("table_name", "column_name")), ["table_name", "column_name"])
     parent = key_values.select(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeline.operators.betweenness import MAX_VERTICES, PIVOTS, betweenness
+from edgeline.operators.betweenness import PIVOTS, betweenness
 from edgeline.operators.communities import louvain
 from edgeline.operators.components import connected_components
 from edgeline.operators.filters import ANNOTATING_AGENTS, structural_edges
@@ -52,7 +52,6 @@ def entity_centrality(
     excluded: Sequence[str] = ANNOTATING_AGENTS,
     pagerank_rounds: int = ROUNDS,
     pivots: int = PIVOTS,
-    max_betweenness_vertices: int = MAX_VERTICES,
     weighted: bool = False,
     graph: IndexedGraph | None = None,
 ) -> DataFrame:
@@ -63,7 +62,7 @@ def entity_centrality(
         graph.vertices,
         pagerank(graph, rounds=pagerank_rounds),
         degrees,
-        betweenness(graph, pivots, max_betweenness_vertices),
+        betweenness(graph, pivots),
     )
 
 

@@ -29,7 +29,7 @@ def bfs(edges: DataFrame, seed: str) -> DataFrame:
     levels = [level]
     while seen["rows"]:
         reached = (
-            edges.join(broadcast_if_small(level.select(F.col("id").alias("src")), seen["rows"]), "src")
+            edges.join(broadcast_if_small(level.select(F.col("id").alias("src")), seen["bytes"]), "src")
             .select(F.col("dst").alias("id"))
             .distinct()
         )
@@ -60,7 +60,7 @@ def sssp(df: DataFrame, seed: str, cost: Column | None = None) -> DataFrame:
     while improved:
         frontier = known.filter("better").select(F.col("id").alias("src"), "distance")
         offers = (
-            edges.join(broadcast_if_small(frontier, improved), "src")
+            edges.join(broadcast_if_small(frontier, seen["bytes"]), "src")
             .groupBy(F.col("dst").alias("id"))
             .agg(F.min(F.col("distance") + F.col("cost")).alias("offer"))
         )

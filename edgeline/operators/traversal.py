@@ -2,7 +2,8 @@
 
 Each multi-hop operator writes its frontier once per hop. The next hop then reads
 the edge table in a single scan that yields both directions, and joins it with a
-frontier whose row count is known: broadcast when small, shuffled otherwise.
+frontier whose size is known: broadcast when small, shuffled otherwise. Results are
+whole; a `limit` keeps the first rows of the stated order.
 """
 
 from __future__ import annotations
@@ -14,18 +15,9 @@ from pyspark.sql import functions as F
 
 from edgeline.functions.expressions import both_directions, path_text
 from edgeline.operators.views import walk_hops
-from edgeline.runtime import BROADCAST_ROWS, broadcast_if_small, materialize
+from edgeline.runtime import BROADCAST_BYTES, broadcast_if_small, materialize
 from edgeline.schema import Graph
 
-# Hop caps and row limits of the lookups.
-MAX_NEIGHBORS = 500
-MAX_KHOP = 3
-MAX_KHOP_ROWS = 5000
-MAX_PATH_HOPS = 4
-MAX_PATHS = 100
-MAX_SUBGRAPH_HOPS = 2
-MAX_SUBGRAPH_ROWS = 1000
-
 EDGE_COLUMNS = ("subject_id", "subject_type", "predicate", "object_id", "object_type", "confidence")
 
 
@@ -55,59 +47,57 @@ def _typed_neighbors(edges: DataFrame) -> DataFrame:
     ).select("entity_id", "predicate", "neighbor_id", "neighbor_type", "direction", "confidence")
 
 
-def neighbors(df: DataFrame, entity: str) -> DataFrame:
-    """Direct neighbours in both directions, most confident first, at most 500."""
+def _first(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.limit(limit)
+
+
+def _depth(k: int | None) -> float:
+    return float("inf") if k is None else k
+
+
+def neighbors(df: DataFrame, entity: str, limit: int | None = None) -> DataFrame:
+    """Direct neighbours in both directions, most confident first."""
     touching = df.filter((F.col("subject_id") == entity) | (F.col("object_id") == entity))
-    return (
-        _typed_neighbors(touching)
-        .filter(F.col("entity_id") == entity)
-        .drop("entity_id")
-        .orderBy(F.desc_nulls_last("confidence"), "predicate", "neighbor_id", "direction", "neighbor_type")
-        .limit(MAX_NEIGHBORS)
-    )
+    own = _typed_neighbors(touching).filter(F.col("entity_id") == entity).drop("entity_id")
+    order = (F.desc_nulls_last("confidence"), "predicate", "neighbor_id", "direction", "neighbor_type")
+    return _first(own.orderBy(*order), limit)
 
 
 def neighbors_of(df: DataFrame, ids: DataFrame) -> DataFrame:
     """All direct neighbours of a table of ids (column `entity_id`)."""
     anchors, seen = materialize(ids.select("entity_id").distinct())
-    return _typed_neighbors(df).join(broadcast_if_small(anchors, seen["rows"]), "entity_id")
+    return _typed_neighbors(df).join(broadcast_if_small(anchors, seen["bytes"]), "entity_id")
 
 
 def _pairs(df: DataFrame) -> DataFrame:
     return df.select(both_directions(F.col("subject_id"), F.col("object_id")))
 
 
-def _levels(df: DataFrame, first: DataFrame, depth: int) -> list[DataFrame]:
+def _levels(df: DataFrame, first: DataFrame, depth: float) -> list[DataFrame]:
     """Breadth-first levels (anchor, node, hops); `first` holds the distinct pairs one hop away."""
     level, seen = materialize(first.withColumn("hops", F.lit(1)))
     levels = [level]
-    for hop in range(2, depth + 1):
-        if seen["rows"] == 0:
-            break
+    while seen["rows"] and len(levels) < depth:
         # A neighbour of the current level lies one level back, here, or one further on.
         visited = _union(levels[-2:]).select("anchor", "node")
+        frontier = level.select("anchor", F.col("node").alias("src"))
         reached = (
             _pairs(df)
-            .join(broadcast_if_small(level.select("anchor", F.col("node").alias("src")), seen["rows"]), "src")
+            .join(broadcast_if_small(frontier, seen["bytes"]), "src")
             .filter(F.col("dst").isNotNull() & (F.col("dst") != F.col("anchor")))
             .select("anchor", F.col("dst").alias("node"))
             .distinct()
         )
         level, seen = materialize(
-            reached.join(visited, ["anchor", "node"], "left_anti").withColumn("hops", F.lit(hop))
+            reached.join(visited, ["anchor", "node"], "left_anti").withColumn("hops", F.lit(len(levels) + 1))
         )
         levels.append(level)
     return levels
 
 
-def _depth(k: int | None, cap: int) -> int:
-    return cap if k is None else min(k, cap)
-
-
-def khop(df: DataFrame, entity: str, k: int | None = None) -> DataFrame:
-    """Entities within k undirected hops with their smallest hop count; k is capped at 3."""
-    depth = _depth(k, MAX_KHOP)
-    if depth <= 0:
+def khop(df: DataFrame, entity: str, k: int | None = None, limit: int | None = None) -> DataFrame:
+    """Entities within k undirected hops, with no k at any distance, and their smallest hop count; nearest first."""
+    if _depth(k) <= 0:
         return df.sparkSession.createDataFrame([], "neighbor_id string, hops int")
     touching = df.filter((F.col("subject_id") == entity) | (F.col("object_id") == entity))
     first = (
@@ -116,106 +106,110 @@ def khop(df: DataFrame, entity: str, k: int | None = None) -> DataFrame:
         .select(F.col("src").alias("anchor"), F.col("dst").alias("node"))
         .distinct()
     )
-    return (
-        _union(_levels(df, first, depth))
-        .select(F.col("node").alias("neighbor_id"), "hops")
-        .orderBy("hops", "neighbor_id")
-        .limit(MAX_KHOP_ROWS)
-    )
+    found = _union(_levels(df, first, _depth(k))).select(F.col("node").alias("neighbor_id"), "hops")
+    return _first(found.orderBy("hops", "neighbor_id"), limit)
 
 
 def khop_of(df: DataFrame, ids: DataFrame, k: int | None = None) -> DataFrame:
     """(entity_id, neighbor_id, hops) for a table of ids, complete for every anchor."""
-    depth = _depth(k, MAX_KHOP)
-    if depth <= 0:
+    if _depth(k) <= 0:
         return df.sparkSession.createDataFrame([], "entity_id string, neighbor_id string, hops int")
     anchors, seen = materialize(ids.select(F.col("entity_id").alias("src")).distinct())
     first = (
         _pairs(df)
-        .join(broadcast_if_small(anchors, seen["rows"]), "src")
+        .join(broadcast_if_small(anchors, seen["bytes"]), "src")
         .filter(F.col("dst") != F.col("src"))
         .select(F.col("src").alias("anchor"), F.col("dst").alias("node"))
         .distinct()
     )
-    return _union(_levels(df, first, depth)).select(
+    return _union(_levels(df, first, _depth(k))).select(
         F.col("anchor").alias("entity_id"), F.col("node").alias("neighbor_id"), "hops"
     )
 
 
-def connection_paths(df: DataFrame, a: str, b: str, max_hops: int = MAX_PATH_HOPS) -> DataFrame:
-    """Simple undirected paths from a to b, shortest first, at most 100.
+def _half_paths(df: DataFrame, ends: DataFrame, hops: int) -> list[DataFrame]:
+    """Simple half-paths of 1 .. `hops` hops away from one end of each pair, through neither end.
 
-    Half-paths of up to two hops grow from both ends and meet in the middle, so the
-    edge table is read twice whatever the length. Longer paths are only built while
-    the shorter ones do not fill the limit, since they could not be among the rows
-    returned. For a = b the paths are the loops through a.
+    `ends` has pair, near and far. Each result has pair, nodes (the inner nodes, from the
+    end outwards) and last, the node where the other half has to meet it.
     """
-    max_hops = min(max_hops, MAX_PATH_HOPS)
-    ends_ids = [a, b]
+    steps = _pairs(df).filter(F.col("dst").isNotNull() & (F.col("src") != F.col("dst"))).distinct()
+    seen_ends, size = materialize(ends)
+    start = broadcast_if_small(seen_ends.withColumnRenamed("near", "src"), size["bytes"])
+    inner = (F.col("dst") != F.col("near")) & (F.col("dst") != F.col("far"))
+    half = (
+        steps.join(start.withColumn("near", F.col("src")), "src")
+        .filter(inner)
+        .select("pair", "near", "far", F.array("dst").alias("nodes"), F.col("dst").alias("last"))
+    )
+    halves = []
+    for hop in range(1, hops + 1):
+        if hop > 1:
+            frontier = broadcast_if_small(half.withColumnRenamed("last", "src"), size["bytes"])
+            half = (
+                steps.join(frontier, "src")
+                .filter(inner & ~F.array_contains("nodes", F.col("dst")))
+                .select("pair", "near", "far", F.array_append("nodes", F.col("dst")).alias("nodes"), F.col("dst").alias("last"))
+            )
+        half, size = materialize(half)
+        halves.append(half.select("pair", "nodes", "last"))
+    return halves
 
-    def inner(name):
-        return ~F.col(name).isin(ends_ids)
 
-    touching = df.filter(F.col("subject_id").isin(ends_ids) | F.col("object_id").isin(ends_ids))
-    one, seen = materialize(
-        _pairs(touching)
-        .filter(F.col("src").isin(ends_ids) & F.col("dst").isNotNull())
-        .select(F.col("src").alias("anchor"), F.col("dst").alias("x"))
-        .distinct()
-    )
-    from_a = one.filter(F.col("anchor") == a).select("x")
-    from_b = one.filter(F.col("anchor") == b).select("x")
+def _paths(df: DataFrame, pairs: DataFrame, max_hops: int, limit: int | None = None) -> DataFrame:
+    """(pair, hops, path) of the simple undirected paths between the ends a and b of each pair.
 
-    def shape(paths, hops, *nodes):
-        return paths.select(
-            F.lit(hops).alias("hops"), path_text(F.lit(a), *[F.col(n) for n in nodes], F.lit(b)).alias("path")
-        )
+    Halves grow from both ends and meet on their last node, so the edge table is read about
+    once per hop of half the length. With a `limit`, which is for a single pair, longer
+    paths are only built while shorter ones do not fill it.
+    """
+    if max_hops < 1:
+        raise ValueError("a path has at least one hop")
+    direct = _pairs(df).distinct().join(pairs, (F.col("src") == F.col("a")) & (F.col("dst") == F.col("b")))
+    found = direct.select("pair", F.lit(1).alias("hops"), path_text(F.col("a"), F.col("b")).alias("path"))
+    if max_hops == 1:
+        return found
+    one_way = pairs.select("pair", F.col("a").alias("near"), F.col("b").alias("far"))
+    other_way = pairs.select("pair", F.col("b").alias("near"), F.col("a").alias("far"))
+    from_a = _half_paths(df, one_way, (max_hops + 1) // 2)
+    from_b = _half_paths(df, other_way, max_hops // 2)
+    for hops in range(2, max_hops + 1):
+        left, right = from_a[(hops + 1) // 2 - 1], from_b[hops // 2 - 1]
+        met = left.join(right.withColumnRenamed("nodes", "back"), ["pair", "last"])
+        met = met.filter(F.size(F.array_intersect("nodes", "back")) == 1).join(pairs, "pair")
+        inner = F.concat("nodes", F.slice(F.reverse("back"), 2, F.greatest(F.size("back") - 1, F.lit(0))))
+        nodes = F.concat(F.array("a"), inner, F.array("b"))
+        found = found.unionByName(met.select("pair", F.lit(hops).alias("hops"), F.array_join(nodes, " -> ").alias("path")))
+        if limit is not None:
+            found, seen = materialize(found.orderBy("hops", "path").limit(limit))
+            if seen["rows"] == limit:
+                break
+    return found
 
-    def best(levels):
-        return _union(levels).orderBy("hops", "path").limit(MAX_PATHS)
-
-    direct = shape(from_a.filter(F.col("x") == b), 1)
-    if max_hops < 2:
-        return best([direct])
-    from_a, from_b = from_a.filter(inner("x")), from_b.filter(inner("x"))
-    levels = [direct, shape(from_a.join(from_b, "x"), 2, "x")]
-    if max_hops < 3:
-        return best(levels)
-    found, count = materialize(best(levels))
-    if count["rows"] == MAX_PATHS or seen["rows"] == 0:
-        return found.orderBy("hops", "path")
-
-    starts = one.filter(inner("x"))
-    two, _ = materialize(
-        _pairs(df)
-        .join(broadcast_if_small(starts.withColumnRenamed("x", "src"), seen["rows"]), "src")
-        .filter(inner("dst") & (F.col("dst") != F.col("src")))
-        .select("anchor", F.col("src").alias("x"), F.col("dst").alias("y"))
-        .distinct()
+
+def connection_paths(df: DataFrame, a: str, b: str, max_hops: int = 4, limit: int | None = None) -> DataFrame:
+    """Simple undirected paths from a to b, shortest first. For a = b they are the loops through a."""
+    pair = df.sparkSession.range(1).select(F.lit(0).alias("pair"), F.lit(a).alias("a"), F.lit(b).alias("b"))
+    found = _paths(df, pair, max_hops, limit).select("hops", "path").orderBy("hops", "path")
+    return _first(found, limit)
+
+
+def connection_paths_of(df: DataFrame, pairs: DataFrame, max_hops: int = 4) -> DataFrame:
+    """(a, b, hops, path) for a table of pairs a, b: all simple undirected paths of each."""
+    numbered, _ = materialize(
+        pairs.select("a", "b").distinct().withColumn("pair", F.struct("a", "b"))
     )
-    halves_a = two.filter(F.col("anchor") == a).select("x", "y")
-    three = halves_a.join(from_b.select(F.col("x").alias("y")), "y")
-    found, count = materialize(best([found, shape(three, 3, "x", "y")]))
-    if max_hops < 4 or count["rows"] == MAX_PATHS:
-        return found.orderBy("hops", "path")
-    halves_b = two.filter(F.col("anchor") == b).select(F.col("x").alias("z"), "y")
-    four = halves_a.join(halves_b, "y").filter(F.col("x") != F.col("z"))
-    return best([found, shape(four, 4, "x", "y", "z")])
-
-
-def edges_touching(df: DataFrame, ids: DataFrame, rows: int | None = None) -> DataFrame:
-    """Distinct edge rows with an end in `ids` (column `node_id`).
-
-    An either-end join condition would make Spark compare every pair. With a counted,
-    broadcastable id table one scan checks both ends; otherwise each end gets its own
-    semi-join and the two results are merged.
+    return _paths(df, numbered, max_hops).select("pair.a", "pair.b", "hops", "path")
+
+
+def edges_touching(df: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """Distinct edge rows with an end in `ids` (column `node_id`, distinct, of `size` bytes).
+
+    An either-end join condition would make Spark compare every pair. With a broadcastable
+    id table one scan checks both ends; otherwise each end gets its own semi-join and the
+    two results are merged.
     """
-    if rows is None:
-        ids, seen = materialize(ids.select("node_id").distinct())
-        rows = seen["rows"]
-    if rows == 0:
-        return df.limit(0)
-    if rows <= BROADCAST_ROWS:
+    if size <= BROADCAST_BYTES:
         by_subject = F.broadcast(ids.select(F.col("node_id").alias("hit_subject")))
         by_object = F.broadcast(ids.select(F.col("node_id").alias("hit_object")))
         return (
@@ -232,35 +226,65 @@ def edges_touching(df: DataFrame, ids: DataFrame, rows: int | None = None) -> Da
     return hit_subject.unionByName(hit_object).distinct()
 
 
-def subgraph_edges(df: DataFrame, entity: str, k: int | None = None) -> DataFrame:
-    """Edge rows touching the entity (hop 1) and, for k >= 2, those touching its neighbours (hop 2).
+def subgraph_edges(df: DataFrame, entity: str, k: int | None = 2, limit: int | None = None) -> DataFrame:
+    """Edge rows with the hop at which a walk from the entity meets them first, up to k; with no k all it can meet.
 
-    Hop 1 is returned whatever k is. Identical rows collapse, parallel ones that differ stay.
+    Hop 1 are those touching the entity, whatever k is, and hop h those touching a node
+    h - 1 hops away. Identical rows collapse, parallel ones that differ stay.
     """
-    edges = df.select(*EDGE_COLUMNS)
-    anchor_hit = (F.col("subject_id") == entity) | (F.col("object_id") == entity)
-    base = edges.filter(anchor_hit).distinct().withColumn("hop", F.lit(1))
-    if _depth(k, MAX_SUBGRAPH_HOPS) >= 2:
-        base, _ = materialize(base)
-        other = F.when(F.col("subject_id") == entity, F.col("object_id")).otherwise(F.col("subject_id"))
-        frontier, seen = materialize(base.select(other.alias("node_id")).distinct())
-        outside = edges.filter((F.col("subject_id") != entity) & (F.col("object_id") != entity))
-        second = edges_touching(outside, frontier, seen["rows"]).withColumn("hop", F.lit(2))
-        base = base.unionByName(second)
+    ids = df.sparkSession.range(1).select(F.lit(entity).alias("entity_id"))
+    found = subgraph_edges_of(df, ids, k).drop("entity_id")
     tie_break = [F.asc_nulls_last(c) for c in ("predicate", "confidence", "subject_type", "object_type")]
-    return base.orderBy("hop", "subject_id", "object_id", *tie_break).limit(MAX_SUBGRAPH_ROWS)
+    return _first(found.orderBy("hop", "subject_id", "object_id", *tie_break), limit)
+
+
+def subgraph_edges_of(df: DataFrame, ids: DataFrame, k: int | None = 2) -> DataFrame:
+    """The rows of `subgraph_edges` for every id of a table (column `entity_id`)."""
+    edges = df.select(*EDGE_COLUMNS)
+    anchors, _ = materialize(ids.select("entity_id").distinct())
+    reached = [anchors.select("entity_id", F.col("entity_id").alias("node"), F.lit(0).alias("hops"))]
+    depth = max(_depth(k), 1)
+    if depth > 1:
+        near = khop_of(df, anchors, None if k is None else k - 1)
+        reached.append(near.select("entity_id", F.col("neighbor_id").alias("node"), "hops"))
+    nodes, seen = materialize(_union(reached))
+    if seen["bytes"] <= BROADCAST_BYTES:
+        nodes = F.broadcast(nodes)
+    at = nodes.select("entity_id", F.col("node"), (F.col("hops") + 1).alias("hop"))
+    by_subject = edges.join(at, edges["subject_id"] == at["node"])
+    by_object = edges.join(at, edges["object_id"] == at["node"])
+    touched = by_subject.unionByName(by_object).drop("node")
+    return touched.groupBy("entity_id", *EDGE_COLUMNS).agg(F.min("hop").alias("hop"))
+
+
+def _hops_to(graph: Graph, end: str, k: int) -> DataFrame:
+    """(node, left): nodes from which `end` is at most k directed hops away, with the fewest hops."""
+    cols = graph.cols
+    steps = graph.edges.select(F.col(cols.src).alias("node"), F.col(cols.dst).alias("next"))
+    level = graph.edges.sparkSession.range(1).select(F.lit(end).alias("node"), F.lit(0).alias("left"))
+    level, seen = materialize(level)
+    levels = [level]
+    for hop in range(1, k + 1):
+        frontier = broadcast_if_small(level.select(F.col("node").alias("next")), seen["bytes"])
+        before = steps.join(frontier, "next").select("node").filter(F.col("node").isNotNull()).distinct()
+        known = _union(levels).select("node")
+        level, seen = materialize(before.join(known, "node", "left_anti").withColumn("left", F.lit(hop)))
+        if not seen["rows"]:
+            break
+        levels.append(level)
+    return _union(levels)
 
 
 def connects(graph: Graph, a: str, b: str, k: int = 3, n: int = 5) -> DataFrame:
-    """Shortest directed walks from a to b; if there is none, from b to a.
+    """The n shortest directed walks from a to b; if there is none, from b to a.
 
     Hops are built one at a time and stop once n walks are found: a longer walk can't
-    come before them.
+    come before them. Only walks go on whose last node can still reach the end in time.
     """
     order = ["hop", "path", *(["predicates"] if graph.cols.label else [])]
     for start, end, direction in ((a, b, "forward"), (b, a, "reverse")):
         found = None
-        for hop in walk_hops(graph, k, start):
+        for hop in walk_hops(graph, k, start, toward=_hops_to(graph, end, k)):
             hit = hop.filter(F.col("reached_id") == end).withColumn("direction", F.lit(direction))
             best = hit if found is None else found.unionByName(hit)
             found, seen = materialize(best.orderBy(*order).limit(n))

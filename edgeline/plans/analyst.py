@@ -23,7 +23,7 @@ def biggest_hubs(graph: Graph, n: int = 10) -> DataFrame:
 
 def reachable_from(graph: Graph, entity: str, hops: int = 3) -> DataFrame:
     """Every directed walk from the entity, nearest first."""
-    return views.downstream(graph, hops, entity).select("reached_id", "hop", "path").orderBy("hop", "reached_id")
+    return views.downstream(graph, entity, hops).select("reached_id", "hop", "path").orderBy("hop", "reached_id")
 
 
 def what_connects(graph: Graph, a: str, b: str) -> DataFrame:
@@ -62,5 +62,4 @@ def same_cluster(communities: DataFrame, entity: str) -> DataFrame:
         communities.join(F.broadcast(own), "community_id")
         .select("entity_id", "entity_type", "community_size")
         .orderBy("entity_id")
-        .limit(lookups.MAX_MEMBERS)
     )

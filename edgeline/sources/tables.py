@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from edgeline.operators.views import check_triplets
@@ -34,8 +36,29 @@ def _write(df: DataFrame, target: str, mode: str, partition_by) -> None:
 
 
 def write_result(df: DataFrame, target: str, partition_by=()) -> None:
-    """Replace the target; its schema may change."""
-    _write(df, target, "overwrite", partition_by)
+    """Replace the target; its schema may change.
+
+    The rows are written beside the target first and take its place when they are whole,
+    so a failed write leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    fresh = f"{target}_{uuid.uuid4().hex}"
+    _write(df, fresh, "errorifexists", partition_by)
+    if not _is_path(target):
+        old = f"{target}_{uuid.uuid4().hex}"
+        if spark.catalog.tableExists(target):
+            spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {target}")
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        return
+    place, new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (target, fresh, f"{fresh}_old"))
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(place) and not files.rename(place, old):
+        raise OSError(f"{target} can't be replaced")
+    if not files.rename(new, place):
+        files.rename(old, place)
+        raise OSError(f"{target} can't be replaced")
+    files.delete(old, True)
 
 
 def append_triplets(df: DataFrame, target: str, partition_by=()) -> None:

@@ -20,15 +20,30 @@ def high_water_mark(df: DataFrame) -> DataFrame:
 
 
 def stream_triplets(
-    spark: SparkSession, source: str, target: str, checkpoint: str, lateness: str = "1 hour", available_now: bool = True
+    spark: SparkSession, source: str, target: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
     """Append conformed triplets from a folder of Parquet files, dropping repeats.
 
-    A repeat is the same row (every column) arriving again within `lateness` of its
-    write time; the watermark bounds the state kept for that.
+    A repeat is a row equal in every column to one of its batch or of the target, however
+    late it comes; rows without a time are compared like others. Only the target's rows
+    from the batch's span of times are read. A batch that is run again after a failure
+    finds its own rows there and adds none twice.
     """
+
+    def add(batch: DataFrame, _: int) -> None:
+        fresh = batch.distinct()
+        if _exists(spark, target):
+            span = batch.agg(F.min("created_at").alias("low"), F.max("created_at").alias("high")).first()
+            known = spark.read.schema(TRIPLET_SCHEMA).parquet(target)
+            timed = F.col("created_at").between(F.lit(span["low"]), F.lit(span["high"]))
+            fresh = fresh.subtract(known.filter(timed | F.col("created_at").isNull()).select(*batch.columns))
+        fresh.write.mode("append").parquet(target)
+
     arriving = conform_triplets(spark.readStream.schema(TRIPLET_SCHEMA).parquet(source))
-    unique = arriving.withWatermark("created_at", lateness).dropDuplicatesWithinWatermark(arriving.columns)
-    writer = unique.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
-    return writer.outputMode("append").trigger(**trigger).start()
+    return arriving.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

@@ -1,12 +1,16 @@
 """Contracts, sources, registry, streaming and plan shapes."""
 
+import json
+
 import pytest
 from conftest import SF, tuples
 from pyspark.sql import functions as F
 
-from edgeline.operators import traversal, views
+from edgeline.functions.sql_functions import register_functions
+from edgeline.operators import profiling, traversal, views
+from edgeline.operators.validation import validate_triplets
 from edgeline.plans.batch import refresh_results
-from edgeline.runtime import ensure_checkpoint_dir, materialize
+from edgeline.runtime import broadcast_if_small, ensure_checkpoint_dir, lookup, materialize, scratch_path
 from edgeline.schema import TRIPLET_SCHEMA, Graph, GraphColumns, conform_triplets
 from edgeline.sources.registry import enabled_datasets, registry_upsert
 from edgeline.sources.tables import append_triplets, load_graph, write_result
@@ -38,7 +42,7 @@ def test_missing_columns(hand):
         Graph(hand, cols=GraphColumns(src="nope"))
     with pytest.warns(UserWarning):
         graph = Graph(hand.drop("predicate", "subject_type", "object_type"))
-    assert "predicates" not in views.downstream(graph, 2).columns
+    assert "predicates" not in views.downstream(graph, "a", 2).columns
     assert views.derive_nodes(graph).filter("type IS NULL").count() == 8
 
 
@@ -110,8 +114,8 @@ def test_no_pairwise_joins(spark, hand):
     graph = Graph(hand)
     for df in (
         views.enriched_edges(graph),
-        views.downstream(graph, 3),
-        traversal.edges_touching(hand, ids),
+        views.downstream(graph, "a", 3),
+        traversal.edges_touching(hand, ids, 100),
         traversal.khop(hand, "a", 3),
         traversal.connection_paths(hand, "a", "d"),
         traversal.subgraph_edges(hand, "a", 2),
@@ -122,8 +126,90 @@ def test_no_pairwise_joins(spark, hand):
 def test_start_filter_reaches_the_scan(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     cols = GraphColumns(src="o_orderkey", dst="o_custkey", label=None, src_type=None, dst_type=None)
-    walks = views.downstream(Graph(orders, cols=cols), 2).filter("start_id = 5")
-    text = plan(walks)
-    # One filtered scan per hop count, each with the start condition.
-    assert text.count("EqualTo(o_orderkey,5)") >= 2
+    text = plan(views.downstream(Graph(orders, cols=cols), 5, 1))
+    assert "EqualTo(o_orderkey,5)" in text
     assert "o_totalprice" not in text
+
+
+def test_functions_join_by_equality_under_lateral(spark, hand):
+    communities = spark.createDataFrame(
+        [("a", "P", 0, 2, 0), ("b", "P", 0, 2, 0), ("m", "P", 1, 1, 1)],
+        "entity_id string, entity_type string, community_id long, community_size long, component_id long",
+    )
+    register_functions(spark, hand, None, communities)
+    for call in ("neighbors(i.id)", "members_of_cluster(i.c)", "shared_community(i.id, 'b')"):
+        asked = spark.sql(f"SELECT i.id, f.* FROM (SELECT entity_id id, community_id c FROM kg_communities) i, LATERAL {call} f")
+        assert asked.count() > 0
+        assert "NestedLoop" not in plan(asked) and "Cartesian" not in plan(asked), call
+
+
+def test_two_chained_lookups_read_their_input_once(spark):
+    spark.range(100).withColumn("k", F.col("id") % 3).write.mode("overwrite").parquet(path := scratch_path(spark))
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = spark.read.parquet(path).mapInArrow(counted, "id long, k long")
+    table = spark.range(3).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    again = table.toDF("v", "w")
+    joined = lookup(lookup(rows, "k", table, by=F.col("id")), "v", again, by=F.col("id"))
+    assert joined.count() == 100
+    assert reads.value == 100
+
+
+def test_wide_rows_are_not_broadcast(spark):
+    wide = spark.range(4).withColumn("text", F.repeat(F.lit("x"), 1000))
+    _, seen = materialize(wide)
+    assert 4000 < seen["bytes"] < 5000
+    rows = spark.range(10)
+    assert "Broadcast" not in str(rows.join(broadcast_if_small(wide, seen["bytes"], 3000), "id")._jdf.queryExecution().analyzed())
+
+
+def test_late_and_undated_rows_are_streamed(spark, hand, tmp_path):
+    source, target, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    new = hand.withColumn("created_at", F.lit("2024-01-05").cast("timestamp"))
+    old = hand.withColumns({"created_at": F.lit("2024-01-01").cast("timestamp"), "source_method": F.lit("late")})
+    undated = hand.withColumns({"created_at": F.lit(None).cast("timestamp"), "source_method": F.lit("undated")})
+    append_triplets(new, source)
+    stream_triplets(spark, source, target, state).awaitTermination()
+    append_triplets(old.unionByName(undated).unionByName(new), source)
+    stream_triplets(spark, source, target, state).awaitTermination()
+    assert spark.read.parquet(target).count() == 33
+
+
+def test_validation_keeps_whole_rows(spark, hand):
+    rows = hand.limit(1).select("subject_id", "subject_type", "predicate", "object_id", "object_type", "created_at")
+    both = rows.withColumns(
+        {"confidence": F.lit(0.9), "source_agent": F.lit("zeta"), "source_method": F.lit("alpha_method"), "properties": F.lit('{"k": 1}')}
+    ).unionByName(
+        rows.withColumns(
+            {"confidence": F.lit(0.5), "source_agent": F.lit("alpha"), "source_method": F.lit("zz_method"), "properties": F.lit(None).cast("string")}
+        )
+    )
+    row = validate_triplets(both).first()
+    assert (row["source_agent"], row["source_method"]) == ("zeta", "alpha_method")
+    assert json.loads(row["properties"]) == {"k": 1, "n_agents": 2, "n_rows": 2}
+    assert row["confidence"] == pytest.approx(0.95)
+
+
+def test_foreign_keys_need_no_names(spark):
+    tables = {
+        "p": spark.createDataFrame([(f"x{i}",) for i in range(9)], "code string"),
+        "c": spark.createDataFrame([(f"x{i % 4}",) for i in range(20)], "owner string"),
+    }
+    keys = profiling.entity_keys(profiling.profile(tables))
+    found = profiling.foreign_keys(tables, keys).select("child_table", "child_column", "parent_table", "parent_column")
+    assert tuples(found) == [("c", "owner", "p", "code")]
+
+
+def test_a_failed_refresh_leaves_the_old_table(spark, tmp_path):
+    target = str(tmp_path / "table")
+    write_result(spark.range(3), target)
+    with pytest.raises(Exception):
+        write_result(spark.range(3).withColumn("x", F.raise_error(F.lit("stop"))), target)
+    assert spark.read.parquet(target).count() == 3
+    write_result(spark.range(5), target)
+    assert spark.read.parquet(target).count() == 5

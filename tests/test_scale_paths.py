@@ -33,7 +33,7 @@ def hub_graph(spark):
 def tiny_slices(monkeypatch):
     for module in (runtime, vertices):
         monkeypatch.setattr(module, "SLICE_ROWS", 7)
-    monkeypatch.setattr(runtime.hot_keys, "__defaults__", (7, runtime.MAX_HOT_KEYS))
+    monkeypatch.setattr(runtime.hot_keys, "__defaults__", (7,))
     monkeypatch.setattr(vertices.Adjacency.__init__, "__defaults__", (7,))
 
 
@@ -158,12 +158,12 @@ def test_large_frontiers_shuffle_to_the_same_result(spark, hub_graph, monkeypatc
             tuples(traversal.khop(triplets, "v060", 3)),
             tuples(traversal.connection_paths(triplets, "hub", "v070")),
             tuples(traversal.subgraph_edges(triplets, "v061", 2)),
-            sorted(tuples(views.downstream(Graph(triplets), 3, "hub")), key=str),
+            sorted(tuples(views.downstream(Graph(triplets), "hub")), key=str),
         ]
 
     small = run()
     monkeypatch.setattr(runtime.broadcast_if_small, "__defaults__", (-1,))
-    monkeypatch.setattr(traversal, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(traversal, "BROADCAST_BYTES", -1)
     assert run() == small
     khop = dict(small[0])
     assert set(dict(tuples(traversal.khop(triplets, "v060", 2)))) <= set(khop)
