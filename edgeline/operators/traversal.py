@@ -133,7 +133,7 @@ def _half_paths(df: DataFrame, ends: DataFrame, hops: int) -> list[DataFrame]:
     `ends` has pair, near and far. Each result has pair, nodes (the inner nodes, from the
     end outwards) and last, the node where the other half has to meet it.
     """
-    steps = _pairs(df).filter(F.col("dst").isNotNull() & (F.col("src") != F.col("dst"))).distinct()
+    steps = _pairs(df).filter(F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
     seen_ends, size = materialize(ends)
     start = broadcast_if_small(seen_ends.withColumnRenamed("near", "src"), size["bytes"])
     inner = (F.col("dst") != F.col("near")) & (F.col("dst") != F.col("far"))
@@ -151,7 +151,7 @@ def _half_paths(df: DataFrame, ends: DataFrame, hops: int) -> list[DataFrame]:
                 .filter(inner & ~F.array_contains("nodes", F.col("dst")))
                 .select("pair", "near", "far", F.array_append("nodes", F.col("dst")).alias("nodes"), F.col("dst").alias("last"))
             )
-        half, size = materialize(half)
+        half, size = materialize(half.distinct())
         halves.append(half.select("pair", "nodes", "last"))
     return halves
 
@@ -165,8 +165,8 @@ def _paths(df: DataFrame, pairs: DataFrame, max_hops: int, limit: int | None = N
     """
     if max_hops < 1:
         raise ValueError("a path has at least one hop")
-    direct = _pairs(df).distinct().join(pairs, (F.col("src") == F.col("a")) & (F.col("dst") == F.col("b")))
-    found = direct.select("pair", F.lit(1).alias("hops"), path_text(F.col("a"), F.col("b")).alias("path"))
+    direct = _pairs(df).join(pairs, (F.col("src") == F.col("a")) & (F.col("dst") == F.col("b")))
+    found = direct.select("pair", F.lit(1).alias("hops"), path_text(F.col("a"), F.col("b")).alias("path")).distinct()
     if max_hops == 1:
         return found
     one_way = pairs.select("pair", F.col("a").alias("near"), F.col("b").alias("far"))
@@ -190,6 +190,7 @@ def _paths(df: DataFrame, pairs: DataFrame, max_hops: int, limit: int | None = N
 def connection_paths(df: DataFrame, a: str, b: str, max_hops: int = 4, limit: int | None = None) -> DataFrame:
     """Simple undirected paths from a to b, shortest first. For a = b they are the loops through a."""
     pair = df.sparkSession.range(1).select(F.lit(0).alias("pair"), F.lit(a).alias("a"), F.lit(b).alias("b"))
+    pair, _ = materialize(pair)
     found = _paths(df, pair, max_hops, limit).select("hops", "path").orderBy("hops", "path")
     return _first(found, limit)
 
