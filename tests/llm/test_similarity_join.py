@@ -80,3 +80,7 @@ def test_long_chain_of_links(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(900, 950)], "a long, b long")
     got = {r["rep"]: r["label"] for r in components.min_labels(links).collect()}
     assert got == {i: 0 for i in range(301)} | {900: 900, 950: 900}
+    order = list(range(200))
+    random.Random(4).shuffle(order)
+    links = spark.createDataFrame([*zip(order, order[1:]), (order[3], order[3])], "a long, b long")
+    assert {r["label"] for r in components.min_labels(links).collect()} == {0}
