@@ -275,8 +275,25 @@ def search_blocks(stored: DataFrame, asked: DataFrame, dims: int, k: int, block_
     pick = (*keys, "vec_id", "vector")
     met = rows.select(*pick).groupBy(*keys).cogroup(queries.select(*pick).groupBy(*keys))
     found = met.applyInArrow(compare, "query_id long, vec_ids array<long>, scores array<double>")
-    pairs = found.select("query_id", F.explode(F.arrays_zip("vec_ids", "scores")).alias("x"))
-    return pairs.groupBy("query_id", F.col("x.vec_ids").alias("vec_id")).agg(F.max("x.scores").alias("score"))
+    return found.groupBy("query_id").applyInArrow(merged(k), "query_id long, vec_id long, score double")
+
+
+def merged(k: int):
+    """The k best of one query out of what its lists gave, an id once."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        ids = table["vec_ids"].combine_chunks().flatten().to_numpy()
+        scores = table["scores"].combine_chunks().flatten().to_numpy()
+        order = np.lexsort((ids, -scores))
+        _, first = np.unique(ids[order], return_index=True)
+        best = order[np.sort(first)[:k]]
+        query = np.full(len(best), table["query_id"][0].as_py(), np.int64)
+        return pa.Table.from_arrays(
+            [pa.array(query), pa.array(ids[best], pa.int64()), pa.array(scores[best], pa.float64())],
+            names=["query_id", "vec_id", "score"],
+        )
+
+    return merge
 
 
 def nearest(
