@@ -8,23 +8,39 @@ from pyspark.sql import functions as F
 from edgeline.runtime import materialize
 
 
+def _distinct_pairs(pairs: DataFrame) -> DataFrame:
+    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return ordered.filter("a <> b").distinct()
+
+
+def _followed(hooks: DataFrame) -> DataFrame:
+    """(hook, to) with chains of hooks followed to their end, twice as far each round."""
+    while True:
+        onward = hooks.select(F.col("hook").alias("to"), F.col("to").alias("next"))
+        further = hooks.join(onward, "to", "left").select("hook", F.coalesce("next", "to").alias("to"), "next")
+        hooks, seen = materialize(further, moved=F.count_if(F.col("next").isNotNull()))
+        hooks = hooks.select("hook", "to")
+        if not seen["moved"]:
+            return hooks
+
+
 def min_labels(links: DataFrame) -> DataFrame:
     """(rep, label): the smallest id reachable over the links (a, b), for every id in a link.
 
-    Each round takes the smallest label among an id and its neighbours and then the label
-    of that label, which halves the way to the smallest id. Rounds end when no label
-    changes; each is written as a table.
+    Each round hooks every id with a smaller neighbour to the smallest one, follows the
+    hooks to their ends and goes on with the links between those ends. An end has no
+    smaller neighbour, so at most half of the ids are left after a round. Every round is
+    written as a table.
     """
-    ways = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    ways, _ = materialize(ways.distinct())
-    labels, _ = materialize(ways.groupBy(F.col("a").alias("rep")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
-    while True:
-        heard = ways.join(labels.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep"))
-        heard = heard.agg(F.min("label").alias("near"))
-        lowered = labels.join(heard, "rep").select("rep", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        above = labels.select(F.col("rep").alias("label"), F.col("label").alias("above"))
-        jumped = lowered.join(above, "label", "left").select("rep", "old", F.least("label", "above").alias("label"))
-        labels, seen = materialize(jumped, changed=F.count_if(F.col("old") > F.col("label")))
-        labels = labels.select("rep", "label")
-        if not seen["changed"]:
-            return labels
+    pairs, seen = materialize(_distinct_pairs(links))
+    ids = links.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    labels, _ = materialize(ids.withColumn("label", F.col("rep")))
+    while seen["rows"]:
+        hooks, _ = materialize(pairs.groupBy(F.col("b").alias("hook")).agg(F.min("a").alias("to")))
+        hooks = _followed(hooks)
+        moved = labels.join(hooks.withColumnRenamed("hook", "label"), "label", "left")
+        labels, _ = materialize(moved.select("rep", F.coalesce("to", "label").alias("label")))
+        ends = pairs.join(hooks.toDF("a", "to_a"), "a", "left").join(hooks.toDF("b", "to_b"), "b", "left")
+        ends = ends.select(F.coalesce("to_a", "a").alias("a"), F.coalesce("to_b", "b").alias("b"))
+        pairs, seen = materialize(_distinct_pairs(ends))
+    return labels
