@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from edgeline.llm import tokenizer
 from edgeline.llm.shared_files import is_shared, write_shared
 from edgeline.llm.token_counts import blocks
+from edgeline.runtime import materialize
 
 # Fixed value: the vocabulary's own rule for words.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -277,14 +278,25 @@ def encoder(vocabulary: str, lexicon_file: str) -> Encoder:
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", limit: int = LEXICON_WORDS) -> DataFrame:
-    """The `limit` most frequent stretches without white space over all texts, in lower case, with their counts.
+    """The most frequent stretches without white space over all texts, in lower case, with their counts: `limit` at most.
 
-    All rows are counted, first inside each task. The limit bounds the lexicon, not the
-    result: words outside it are merged.
+    All rows are counted, first inside each task. Words are taken by how often they occur,
+    in steps of a sixteenth of a doubling, as long as whole steps fit, so that no task has
+    to send more than its share. The limit bounds the lexicon, not the result: words
+    outside it are merged.
     """
     word = F.explode(F.split(F.lower(F.col(text_col)), r"\s+"))
     counts = docs.select(word.alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter((F.col("n") > 1) & (F.length("word") <= 64)).orderBy(F.desc("n"), "word").limit(limit)
+    step = F.floor(16 * F.log2("n")).cast("int")
+    counts, _ = materialize(counts.filter((F.col("n") > 1) & (F.length("word").between(1, 64))).withColumn("step", step))
+    least, total = 1 << 30, 0
+    # At most 16 steps a doubling of the largest count.
+    for row in counts.groupBy("step").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect():
+        total += row["words"]
+        if total > limit:
+            break
+        least = row["step"]
+    return counts.filter(F.col("step") >= least).select("word", "n")
 
 
 def ship_lexicon(spark: SparkSession, packed: bytes) -> str:
