@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,11 +83,11 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFr
     return rows.mapInArrow(sign, "doc_id long, n_shingles long, set_key binary, slots binary")
 
 
-def branch(rows: DataFrame, threshold: float, roots: int = 0) -> DataFrame:
+def branch(rows: DataFrame, threshold: float, roots: int = 0, first: int = 0) -> DataFrame:
     """(node, rep): each document goes on into the nodes of its chosen tokens, 1 / threshold of them on average.
 
     Rows have rep and slots, and with `roots` = 0 the node they branch from; else each
-    starts in as many roots. A token is chosen by a hash of the node it branches from, so
+    starts in as many roots, numbered from `first` on. A token is chosen by a hash of the node it branches from, so
     all documents of a node that have the token choose alike.
     """
 
@@ -98,7 +99,7 @@ def branch(rows: DataFrame, threshold: float, roots: int = 0) -> DataFrame:
             slots = np.frombuffer(b"".join(batch.column("slots").to_pylist()), np.uint32).reshape(-1, SLOTS)
             tokens = mix(slots.astype(np.uint64) + place)
             if roots:
-                parents = [np.full(len(reps), r + 1, np.uint64) for r in range(roots)]
+                parents = [np.full(len(reps), r + 1, np.uint64) for r in range(first, first + roots)]
             else:
                 parents = [batch.column("node").to_numpy().view(np.uint64)]
             for parent in parents:
@@ -116,6 +117,55 @@ def sized(members: DataFrame) -> DataFrame:
     return members.join(counts, "node")
 
 
+def trees_for(levels: int, miss: float = 0.001) -> int:
+    """Trees that together miss a pair at the threshold with at most the chance `miss`, where nodes have `levels` levels.
+
+    One tree takes such a pair down a further level with one shared node on average, so its
+    chance to meet is 0.63 after one level, 0.47 after two and 0.14 after twelve.
+    """
+    chance = 1.0
+    for _ in range(levels):
+        chance = 1 - math.exp(-chance)
+    return math.ceil(math.log(miss) / math.log1p(-chance))
+
+
+def in_blocks(large: DataFrame) -> DataFrame:
+    """(node, rep, members): large nodes cut into blocks by a hash of rep, each two blocks of a node being a node of their own.
+
+    Every two members of a large node meet, in nodes of about SMALL_NODE members.
+    """
+    blocks = F.ceil(2 * F.col("members") / SMALL_NODE).cast("int")
+    dealt = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other <> block")
+    node = F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other"))
+    return met.select(node.alias("node"), "rep", F.lit(SMALL_NODE).cast("long").alias("members"))
+
+
+def small_nodes(sets: DataFrame, threshold: float, roots: int, first: int = 0) -> tuple[DataFrame, int]:
+    """(node, rep, members) of the nodes that `roots` trees end in, and the number of levels they took.
+
+    Nodes above SMALL_NODE members branch further; after LEVELS levels, which their members
+    share as many random minwise tokens for, they meet block by block.
+    """
+    members, seen = materialize(
+        sized(branch(sets.select("rep", "slots"), threshold, roots, first)),
+        large=F.count_if(F.col("members") > SMALL_NODE),
+    )
+    small = members.filter(F.col("members") <= SMALL_NODE)
+    level = 1
+    while seen["large"]:
+        large = members.filter(F.col("members") > SMALL_NODE)
+        if level == LEVELS:
+            return small.unionByName(in_blocks(large)), level
+        rows = large.select("node", "rep").join(sets.select("rep", "slots"), "rep")
+        members, seen = materialize(
+            sized(branch(rows, threshold)), large=F.count_if(F.col("members") > SMALL_NODE)
+        )
+        small = small.unionByName(members.filter(F.col("members") <= SMALL_NODE))
+        level += 1
+    return small, level
+
+
 def agreeing(sketches: np.ndarray, sizes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All pairs i < j of one node that may be links, with the number of agreeing slots."""
     left, right, score = [], [], []
@@ -380,14 +430,15 @@ def near_duplicates(
     `trees` independent trees bring two linked documents into one small node: at
     similarity 0.8 a tree does so with a chance of about 0.63 after one level and 0.47 after
     two, so 14 trees miss fewer than one pair in a thousand, and components close over
-    what is missed. Candidates that connect each node are confirmed on whole sets first;
+    what is missed. Where large nodes take more levels, trees are added until that holds
+    again. Candidates that connect each node are confirmed on whole sets first;
     then, inside each node, all candidates that are still between different components.
 
     A null or empty text has no shingles and is linked with nothing. Rows with a null id
     take no part: component_id is null and kept true. Rows that repeat an id are each
     judged by their own text. Other columns are ignored. A node above SMALL_NODE members
     branches further; after LEVELS levels its members, which then share as many random
-    minwise tokens, are each paired with its smallest one.
+    minwise tokens, meet in blocks, each with each.
     """
     signed, _ = materialize(signatures(docs, id_col, text_col, shingle_words))
     full = signed.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
@@ -399,30 +450,16 @@ def near_duplicates(
     low_bytes = F.unhex(F.regexp_replace(F.hex("slots"), "(..)......", "$1"))
     sketches = sets.select("rep", "size", low_bytes.alias("sketch"))
 
-    members, seen = materialize(
-        sized(branch(sets.select("rep", "slots"), threshold, trees)),
-        large=F.count_if(F.col("members") > SMALL_NODE),
-    )
-    small = members.filter(F.col("members") <= SMALL_NODE)
-    stars = None
-    for level in range(1, LEVELS + 1):
-        if not seen["large"]:
-            break
-        large = members.filter(F.col("members") > SMALL_NODE)
-        if level == LEVELS:
-            hubs = large.groupBy("node").agg(F.min("rep").alias("a"))
-            stars = large.join(hubs, "node").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-            break
-        rows = large.select("node", "rep").join(sets.select("rep", "slots"), "rep")
-        members, seen = materialize(
-            sized(branch(rows, threshold)), large=F.count_if(F.col("members") > SMALL_NODE)
-        )
-        small = small.unionByName(members.filter(F.col("members") <= SMALL_NODE))
+    small, levels = small_nodes(sets, threshold, trees)
+    grown = trees
+    while trees_for(levels) > grown:
+        # Deeper nodes part more pairs; the trees that this takes may be deeper themselves.
+        more = trees_for(levels)
+        others, deepest = small_nodes(sets, threshold, more - grown, grown)
+        small, grown, levels = small.unionByName(others), more, max(levels, deepest)
 
     leaves, _ = materialize(small.select("node", "rep").join(sketches, "rep"))
     pairs = connecting_pairs(leaves.withColumn("label", F.col("rep")), threshold)
-    if stars is not None:
-        pairs = pairs.unionByName(stars).distinct()
     pairs, _ = materialize(pairs)
     texts = texts_of(pairs, docs, id_col, text_col)
     links, _ = materialize(confirmed(pairs, texts, shingle_words, threshold))

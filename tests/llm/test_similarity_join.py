@@ -60,6 +60,38 @@ def test_large_nodes_branch_and_end_in_stars(spark, monkeypatch):
     assert {tuple(r) for r in got} == slow_components(rows, 2)
 
 
+def test_members_of_a_large_node_meet_without_its_smallest(spark, monkeypatch):
+    monkeypatch.setattr(similarity_join, "SMALL_NODE", 8)
+    monkeypatch.setattr(similarity_join, "LEVELS", 1)
+    rng = random.Random(5)
+    base = [f"x{i}" for i in range(300)]
+
+    def changed(places):
+        return " ".join(f"y{rng.random()}" if i in places else w for i, w in enumerate(base))
+
+    # The smallest id is far from all others, which change one block of 25 words each and link with near ones only.
+    rows = [(0, changed(range(0, 90)))]
+    rows += [(i, changed(range(100 + 5 * i, 125 + 5 * i))) for i in range(1, 31)]
+    got = similarity_join.near_duplicates(documents(spark, rows), shingle_words=2).collect()
+    want = slow_components(rows, 2)
+    assert any(label not in (0, doc) for doc, _, label, _ in want)
+    assert {tuple(r) for r in got} == want
+
+
+def test_every_two_members_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(similarity_join, "SMALL_NODE", 8)
+    large = spark.createDataFrame([(7, rep, 30) for rep in range(30)], "node long, rep long, members long")
+    nodes = {}
+    for r in similarity_join.in_blocks(large).collect():
+        nodes.setdefault(r["node"], set()).add(r["rep"])
+    assert {(a, b) for n in nodes.values() for a in n for b in n} == {(a, b) for a in range(30) for b in range(30)}
+
+
+def test_deeper_nodes_take_more_trees():
+    assert similarity_join.trees_for(1) <= similarity_join.trees_for(2) <= similarity_join.TREES
+    assert similarity_join.trees_for(12) > 3 * similarity_join.TREES
+
+
 def test_copies_and_drop(spark):
     text = " ".join(f"t{i}" for i in range(50))
     rows = [(i, text) for i in range(5, 300)] + [(400, text + " more")]
