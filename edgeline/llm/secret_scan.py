@@ -44,11 +44,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def is_known(string: str) -> bool:
+def is_plain(part: str, encoder, max_ratio: float) -> bool:
+    """Numbers, and words of one case with a short number: a token of the vocabulary, or made of few tokens."""
+    if not _plain_part.fullmatch(part):
+        return False
+    word = part.rstrip("0123456789")
+    tokens = len(encoder.encode_ordinary(word))
+    return tokens <= 1 or len(word) > max_ratio * tokens or len(encoder.encode_ordinary(" " + word)) == 1
+
+
+def is_known(string: str, encoder, max_ratio: float) -> bool:
     """Digests, UUIDs and identifiers put together from words and numbers are no secrets by themselves."""
     if _hexadecimal.fullmatch(string) and len(string) in DIGEST_DIGITS:
         return True
-    return bool(_uuid.fullmatch(string)) or all(_plain_part.fullmatch(p) for p in _part.split(string))
+    return bool(_uuid.fullmatch(string)) or all(is_plain(p, encoder, max_ratio) for p in _part.split(string))
 
 
 def inefficient_spans(text: str, encoder, max_ratio: float) -> list[tuple[int, int, int]]:
@@ -56,7 +65,7 @@ def inefficient_spans(text: str, encoder, max_ratio: float) -> list[tuple[int, i
     found = []
     for m in _candidate.finditer(text):
         string = m.group()
-        if not is_known(string) and len(string) <= max_ratio * len(encoder.encode_ordinary(string)):
+        if len(string) <= max_ratio * len(encoder.encode_ordinary(string)) and not is_known(string, encoder, max_ratio):
             found.append((m.start(), 3, m.end()))
     return found
 

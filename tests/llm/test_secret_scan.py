@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 import pytest
 from helpers import EMPTY, ODD, clashing, documents
@@ -55,6 +57,20 @@ def test_known_strings_are_left_alone():
         assert secret_scan.inefficient_spans(text, encoder, 9) == []
 
 
+@pytest.mark.parametrize(
+    ("letters", "groups"),
+    [(string.ascii_lowercase, [24]), (string.ascii_lowercase, [40]), (string.ascii_uppercase, [32]), (string.ascii_lowercase, [6] * 5)],
+)
+def test_random_strings_of_one_case_are_found(letters, groups):
+    encoder = tokenizer.rank_encoder(tokenizer.BYTE_BPE_RANKS)
+    rng = random.Random(3)
+    found = 0
+    for _ in range(300):
+        key = "-".join("".join(rng.choices(letters, k=n)) for n in groups)
+        found += (4, 3, 4 + len(key)) in secret_scan.inefficient_spans(f"key {key} end", encoder, 2.0)
+    assert found >= 270
+
+
 def test_redaction_joins_overlaps(spark):
     rows = secret_scan.find_secrets(documents(spark, [(1, TEXTS[0]), (2, "clean text")]), redact=True).collect()
     by_id = {r["doc_id"]: r["redacted"] for r in rows}
