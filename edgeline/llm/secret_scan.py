@@ -17,7 +17,8 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+LEAST = 16
+CANDIDATE = rf"[A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}}"
 # Hexadecimal digests of the usual hash functions have these many digits.
 DIGEST_DIGITS = frozenset({32, 40, 56, 64, 96, 128})
 UUID = r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
@@ -29,6 +30,7 @@ _candidate = re.compile(CANDIDATE)
 _uuid = re.compile(UUID)
 _hexadecimal = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _part = re.compile(r"[+/_=-]+")
+_unit = re.compile(rf"(?<![A-Za-z0-9]){UUID}(?![A-Za-z0-9])|[A-Za-z0-9]+")
 _plain_part = re.compile(r"[A-Za-z]?[a-z]*[0-9]{0,4}|[A-Z]+[0-9]{0,4}|[0-9]+")
 
 
@@ -60,12 +62,56 @@ def is_known(string: str, encoder, max_ratio: float) -> bool:
     return bool(_uuid.fullmatch(string)) or all(is_plain(p, encoder, max_ratio) for p in _part.split(string))
 
 
+def costly_stretches(scores: list[float]) -> list[tuple[int, int]]:
+    """(first, end) of the maximal stretches of positive sum: none can gain by growing, by shrinking or by joining another."""
+    held: list[tuple[int, int, float, float]] = []  # first, end, sum before, sum with
+    total = 0.0
+    for i, score in enumerate(scores):
+        before, total = total, total + score
+        if score <= 0:
+            continue
+        first, start = i, before
+        while True:
+            k = len(held) - 1
+            while k >= 0 and held[k][2] >= start:
+                k -= 1
+            if k < 0 or held[k][3] >= total:
+                break
+            first, start = held[k][0], held[k][2]
+            del held[k:]
+        held.append((first, i + 1, start, total))
+    return [(first, end) for first, end, _, _ in held]
+
+
+def costly_parts(string: str, encoder, max_ratio: float) -> list[tuple[int, int]]:
+    """(start, end) of the parts between separators, or neighbouring ones together, that cost too many tokens by themselves."""
+    units = list(_unit.finditer(string))
+    scores = []
+    for m in units:
+        part = m.group()
+        # Numbers, digests and UUIDs hold no secret, so they part what stands beside them.
+        known = part.isdigit() or _uuid.fullmatch(part) or (_hexadecimal.fullmatch(part) and len(part) in DIGEST_DIGITS)
+        scores.append(-len(part) if known else max_ratio * len(encoder.encode_ordinary(part)) - len(part))
+    found = []
+    for first, end in costly_stretches(scores):
+        start, stop = units[first].start(), units[end - 1].end()
+        if stop - start >= LEAST and not is_known(string[start:stop], encoder, max_ratio):
+            found.append((start, len(string) if end == len(units) else stop))
+    return found
+
+
 def inefficient_spans(text: str, encoder, max_ratio: float) -> list[tuple[int, int, int]]:
-    """Long strings with at most `max_ratio` characters per token that are no known digest or identifier."""
+    """Long strings with at most `max_ratio` characters per token that are no known digest or identifier.
+
+    A string is judged as a whole first; if that passes, so that words beside a key could
+    hide it, by its parts.
+    """
     found = []
     for m in _candidate.finditer(text):
         string = m.group()
-        if len(string) <= max_ratio * len(encoder.encode_ordinary(string)) and not is_known(string, encoder, max_ratio):
+        if len(string) > max_ratio * len(encoder.encode_ordinary(string)):
+            found += [(m.start() + a, 3, m.start() + b) for a, b in costly_parts(string, encoder, max_ratio)]
+        elif not is_known(string, encoder, max_ratio):
             found.append((m.start(), 3, m.end()))
     return found
 
@@ -90,8 +136,8 @@ def find_secrets(
 ) -> DataFrame:
     """One row per row of `docs`: counts, spans `kind:start:end` in code points, and the redacted text.
 
-    `spans` holds the base scan's spans and, as `random`, strings of 20 characters or more
-    that cost a token for every `max_ratio` characters or fewer. A random string may lie
+    `spans` holds the base scan's spans and, as `random`, strings of 16 characters or more
+    that cost a token for every `max_ratio` characters or fewer, also as parts of a path or URL. A random string may lie
     inside a base span; base spans always stay. With `redact`, every covered stretch is
     replaced by `[SECRET]`, else `redacted` is null. A null text is an empty one: no spans.
     Rows with a null or repeated id each give a row; other columns are ignored. Every row

@@ -71,6 +71,51 @@ def test_random_strings_of_one_case_are_found(letters, groups):
     assert found >= 270
 
 
+@pytest.mark.parametrize("path", ["", "services/webhooks/incoming/production/", "https/internal/applications/" * 3])
+@pytest.mark.parametrize("length", [16, 19, 24, 40])
+def test_random_parts_behind_words_are_found(path, length):
+    encoder = tokenizer.rank_encoder(tokenizer.BYTE_BPE_RANKS)
+    rng = random.Random(length)
+    found = 0
+    for _ in range(200):
+        key = "".join(rng.choices(string.ascii_letters + string.digits, k=length))
+        spans = secret_scan.inefficient_spans(f"see {path}{key}/events now", encoder, 2.0)
+        at = 4 + len(path)
+        found += any(start <= at and end >= at + length for start, _, end in spans)
+    assert found >= 190
+
+
+@pytest.mark.parametrize("length", [16, 19])
+def test_short_random_strings_alone_are_found(length):
+    encoder = tokenizer.rank_encoder(tokenizer.BYTE_BPE_RANKS)
+    rng = random.Random(length)
+    keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=length)) for _ in range(200)]
+    found = [secret_scan.inefficient_spans(f"see {key} now", encoder, 2.0) == [(4, 3, 4 + length)] for key in keys]
+    assert sum(found) >= 190
+
+
+def test_costly_stretches_leave_no_better_one():
+    rng = random.Random(1)
+    for _ in range(300):
+        scores = [rng.randint(-6, 6) for _ in range(rng.randint(0, 12))]
+        got = secret_scan.costly_stretches(scores)
+        assert all(a[1] <= b[0] for a, b in zip(got, got[1:]))
+        assert all(i in range(*max(got, key=lambda g: g[0] <= i < g[1])) for i, s in enumerate(scores) if s > 0)
+        if got:
+            sums = [sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+            assert max(sum(scores[i:j]) for i, j in got) == max(sums)
+
+
+def test_digests_and_ids_in_paths_stay(spark):
+    encoder = tokenizer.rank_encoder(tokenizer.BYTE_BPE_RANKS)
+    for text in (
+        "services/webhooks/incoming/d41d8cd98f00b204e9800998ecf8427e",
+        "services/webhooks/incoming/123e4567-e89b-12d3-a456-426614174000/events",
+        "services/webhooks/incoming/production/2024/01/31",
+    ):
+        assert secret_scan.inefficient_spans(text, encoder, 2.0) == []
+
+
 def test_redaction_joins_overlaps(spark):
     rows = secret_scan.find_secrets(documents(spark, [(1, TEXTS[0]), (2, "clean text")]), redact=True).collect()
     by_id = {r["doc_id"]: r["redacted"] for r in rows}
