@@ -21,7 +21,7 @@ KEPT = "__kept"
 LEFT_BITS = (1 << 63) - 1
 NO_ID = -(1 << 63)
 
-WINDOW = "struct<key: long, first: int, last: int, left: array<long>, right: array<long>>"
+WINDOW = "struct<key: long, first: int, last: int, left: array<long>, right: array<long>, longer: array<long>>"
 
 
 def line_hashes(text: str) -> tuple[list[int], list[int], list[int]]:
@@ -84,6 +84,15 @@ def context(hashes: list[int], sizes: list[int], at: int, step: int, words: int)
     return out
 
 
+def longer_keys(key: int, right: list[int]) -> list[int]:
+    """Hashes of a window with the first, the first two, ... of the lines after it."""
+    out = []
+    for h in right:
+        key = hash_of([key, h])
+        out.append(key)
+    return out
+
+
 def row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
     """Rows with equal id and text are one document."""
     return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
@@ -102,21 +111,17 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, gram_words: int, m
                     docs_.append(doc)
                     versions.append(version)
                     codes.append(code)
-                    found.append(
-                        [
-                            {
-                                "key": hash_of(hashes[s : ends[s] + 1]),
-                                "first": s,
-                                "last": ends[s],
-                                "left": context(hashes, sizes, s - 1, -1, min_words),
-                                "right": context(hashes, sizes, ends[s] + 1, 1, min_words),
-                            }
-                            for s in starts
-                        ]
-                    )
+                    windows = []
+                    for s in starts:
+                        key = hash_of(hashes[s : ends[s] + 1])
+                        right = context(hashes, sizes, ends[s] + 1, 1, min_words)
+                        left = context(hashes, sizes, s - 1, -1, min_words)
+                        longer = longer_keys(key, right)
+                        windows.append({"key": key, "first": s, "last": ends[s], "left": left, "right": right, "longer": longer})
+                    found.append(windows)
             kind = pa.struct(
                 [("key", pa.int64()), ("first", pa.int32()), ("last", pa.int32()),
-                 ("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64()))]
+                 ("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64())), ("longer", pa.list_(pa.int64()))]
             )
             yield pa.RecordBatch.from_arrays(
                 [pa.array(docs_, pa.int64()), pa.array(versions, pa.int64()), pa.array(codes, pa.int64()), pa.array(found, pa.list_(kind))],
@@ -135,6 +140,18 @@ def shared_lines(a: str, b: str) -> Column:
     return F.when(differ > 0, differ.cast("int") - 1).otherwise(n)
 
 
+def repeated_windows(docs: DataFrame, id_col: str, text_col: str, gram_words: int, min_words: int) -> DataFrame:
+    """The windows of fingerprints that occur more than once, each with the place it has."""
+    found, _ = materialize(fingerprints(docs, id_col, text_col, gram_words, min_words))
+    often = found.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("fingerprint")
+    windows = found.join(often, "fingerprint", "left_semi").select("doc", "version", F.explode("windows").alias("w"))
+    return materialize(windows.select("doc", "version", "w.*").distinct())[0]
+
+
+def by_document(runs: DataFrame) -> DataFrame:
+    return runs.groupBy("doc", "version").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
+
+
 def repeated_runs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram_words: int = GRAM_WORDS, min_words: int = MIN_WORDS
 ) -> DataFrame:
@@ -146,10 +163,11 @@ def repeated_runs(
     line by line while both sides agree; beyond the window that takes under `min_words`
     words on either side, since further lines lie in windows of their own.
     """
-    found, _ = materialize(fingerprints(docs, id_col, text_col, gram_words, min_words))
-    often = found.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("fingerprint")
-    windows = found.join(often, "fingerprint", "left_semi").select("doc", "version", F.explode("windows").alias("w"))
-    windows, _ = materialize(windows.select("doc", "version", "w.*").distinct())
+    return by_document(runs_of_firsts(repeated_windows(docs, id_col, text_col, gram_words, min_words)))
+
+
+def runs_of_firsts(windows: DataFrame) -> DataFrame:
+    """(doc, version, first, last) of what later windows share with the first place of their content."""
     place = F.struct("doc", "version", "first", "last", "left", "right")
     firsts = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "version", "first")).alias("o"))
     firsts = firsts.filter("n > 1").select("key", "o.*")
@@ -163,8 +181,42 @@ def repeated_runs(
     # Inside one text the earlier run itself stays.
     start = F.when(own, F.greatest(start, F.col("o.last") + F.col("down") + 1)).otherwise(start)
     runs = pairs.select("doc", "version", start.alias("first"), (F.col("last") + F.col("down")).alias("last"))
-    runs = runs.filter("first <= last").distinct()
-    return runs.groupBy("doc", "version").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
+    return runs.filter("first <= last").distinct()
+
+
+def runs_elsewhere(windows: DataFrame) -> DataFrame:
+    """(doc, version, first, last) of longer runs that stand earlier, but not at the first place of their window.
+
+    Only windows with three places or more can have such runs. Each is taken with each
+    number of lines after it; what of that has an earlier place goes. Lines before a
+    window belong to windows of their own.
+    """
+    many = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 2").select("key")
+    grown = windows.join(many, "key", "left_semi").select(
+        "doc", "version", "first", "last", F.posexplode("longer").alias("lines", "key")
+    )
+    grown = grown.select("key", "doc", "version", "first", (F.col("last") + F.col("lines") + 1).alias("last"))
+    grown, _ = materialize(grown)
+    firsts = grown.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "version", "first", "last")).alias("o")
+    )
+    pairs = grown.join(firsts.filter("n > 1").select("key", "o"), "key")
+    own = (F.col("doc") == F.col("o.doc")) & (F.col("version") == F.col("o.version"))
+    pairs = pairs.filter(~(own & (F.col("first") == F.col("o.first"))))
+    # Inside one text the earlier run itself stays.
+    start = F.when(own, F.greatest(F.col("first"), F.col("o.last") + 1)).otherwise(F.col("first"))
+    runs = pairs.select("doc", "version", start.alias("first"), "last").filter("first <= last")
+    return runs.groupBy("doc", "version", "first").agg(F.max("last").alias("last"))
+
+
+def all_repeated_runs(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram_words: int = GRAM_WORDS, min_words: int = MIN_WORDS
+) -> DataFrame:
+    """Defined as `repeated_runs`, with the runs that stand at any earlier place of a window, the first or another."""
+    windows = repeated_windows(docs, id_col, text_col, gram_words, min_words)
+    columns = ("doc", "version", "first", "last")
+    runs = runs_of_firsts(windows).select(*columns).unionByName(runs_elsewhere(windows).select(*columns))
+    return by_document(runs)
 
 
 def dedup_lines(
@@ -180,7 +232,7 @@ def dedup_lines(
     before all others. A null text stays null. Other columns stay, but for those named like the added ones.
     """
     names = docs.columns
-    runs, _ = materialize(repeated_runs(docs, id_col, text_col, gram_words, min_words))
+    runs, _ = materialize(all_repeated_runs(docs, id_col, text_col, gram_words, min_words))
     doc, version = row_key(id_col, text_col)
     rows = docs.select(*(F.col(f"`{c}`") for c in names), doc.alias("__doc"), version.alias("__version"))
     runs = runs.select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), F.col("runs").alias("__runs"))

@@ -69,6 +69,54 @@ def test_against_all_windows(spark, seed):
     assert runs(spark, rows) == want
 
 
+def every_run(rows, least):
+    """Deletes every run of `least` words or more that stands earlier, by comparing all runs with all places."""
+    texts = {doc: line_dedup.line_hashes(text or "") for doc, text in rows}
+
+    def runs_of(doc):
+        _, hashes, sizes = texts[doc]
+        for s in range(len(sizes)):
+            for e in range(s, len(sizes)):
+                if sum(sizes[s : e + 1]) >= least:
+                    yield tuple(hashes[s : e + 1]), s, e
+
+    first, out = {}, {}
+    for doc in sorted(texts):
+        for run, s, e in runs_of(doc):
+            first.setdefault(run, (doc, s, e))
+    for doc in sorted(texts):
+        gone = set()
+        for run, s, e in runs_of(doc):
+            other, os, oe = first[run]
+            if (other, os) != (doc, s):
+                gone |= set(range(max(s, oe + 1) if other == doc else s, e + 1))
+        out[doc] = gone
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_against_all_earlier_places(spark, seed):
+    rng = random.Random(100 + seed)
+    pool = [" ".join(f"w{rng.randint(0, 99)}" for _ in range(rng.choice([3, 8, 20, 60]))) for _ in range(12)]
+    passages = [rng.choices(pool, k=rng.randint(2, 8)) for _ in range(6)]
+    rows = []
+    for doc in range(30):
+        body = []
+        for _ in range(rng.randint(1, 4)):
+            body += rng.choice(passages) if rng.random() < 0.6 else rng.choices(pool, k=rng.randint(1, 3))
+        rows.append((doc, "\n".join(body)))
+    want = {doc: gone for doc, gone in every_run(rows, 50).items() if gone}
+    found = line_dedup.all_repeated_runs(documents(spark, rows)).collect()
+    assert {r["doc"]: {i for run in r["runs"] for i in range(run["first"], run["last"] + 1)} for r in found} == want
+
+
+def test_a_longer_run_that_only_a_later_text_has(spark):
+    five = [" ".join(f"{c}{i}" for i in range(10)) for c in "abcde"]
+    rows = [(1, [*five, "one two"]), (2, [*five, "x y z", "two goes on"]), (3, [*five, "x y z", "three too"])]
+    done = line_dedup.dedup_lines(documents(spark, [(i, "\n".join(lines)) for i, lines in rows])).collect()
+    assert {r["doc_id"]: r["text"] for r in done}[3] == "three too"
+
+
 PASSAGE = " ".join(f"p{i}" for i in range(51))
 
 
