@@ -203,14 +203,15 @@ def connection_paths_of(df: DataFrame, pairs: DataFrame, max_hops: int = 4) -> D
     return _paths(df, numbered, max_hops).select("pair.a", "pair.b", "hops", "path")
 
 
-def edges_touching(df: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """Distinct edge rows with an end in `ids` (column `node_id`, distinct, of `size` bytes).
+def edges_touching(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """Distinct edge rows with an end in `ids` (column `node_id`), which are written once and measured.
 
     An either-end join condition would make Spark compare every pair. With a broadcastable
     id table one scan checks both ends; otherwise each end gets its own semi-join and the
     two results are merged.
     """
-    if size <= BROADCAST_BYTES:
+    ids, seen = materialize(ids.select("node_id").distinct())
+    if seen["bytes"] <= BROADCAST_BYTES:
         by_subject = F.broadcast(ids.select(F.col("node_id").alias("hit_subject")))
         by_object = F.broadcast(ids.select(F.col("node_id").alias("hit_object")))
         return (
