@@ -17,6 +17,7 @@ from edgeline.llm import (
     secret_scan,
     similarity_join,
     token_counts,
+    url_rules,
 )
 from edgeline.llm.shared_files import ship_code
 
@@ -77,6 +78,10 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.encode_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_table(spark, url_rules.RULES))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: with_code(query)
     for query in (
@@ -90,7 +95,12 @@ QUERIES: dict[str, Query] = {
         op8_quality_rules,
         op9_best_fit_packing,
         op10_bpe_codec,
+        op11_url_filters,
     )
 }
 
-ORACLES: dict[str, str] = {"op3_quotation_linking": quotes.ORACLE, "op8_quality_rules": quality.ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_quotation_linking": quotes.ORACLE,
+    "op8_quality_rules": quality.ORACLE,
+    "op11_url_filters": url_rules.ORACLE,
+}
