@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from edgeline.llm import (
+    alignment,
     best_fit,
     bin_slack,
     lexicon,
@@ -82,6 +83,10 @@ def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_table(spark, url_rules.RULES))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: with_code(query)
     for query in (
@@ -96,6 +101,7 @@ QUERIES: dict[str, Query] = {
         op9_best_fit_packing,
         op10_bpe_codec,
         op11_url_filters,
+        op13_tokenizer_alignment,
     )
 }
 
