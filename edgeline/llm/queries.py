@@ -10,6 +10,7 @@ from edgeline.llm import (
     alignment,
     best_fit,
     bin_slack,
+    divergence,
     lexicon,
     line_dedup,
     posting_lists,
@@ -83,6 +84,10 @@ def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_table(spark, url_rules.RULES))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_digest(table(spark, sf_dir, "documents"))
 
@@ -101,6 +106,7 @@ QUERIES: dict[str, Query] = {
         op9_best_fit_packing,
         op10_bpe_codec,
         op11_url_filters,
+        op12_source_divergence,
         op13_tokenizer_alignment,
     )
 }
@@ -109,4 +115,5 @@ ORACLES: dict[str, str] = {
     "op3_quotation_linking": quotes.ORACLE,
     "op8_quality_rules": quality.ORACLE,
     "op11_url_filters": url_rules.ORACLE,
+    "op12_source_divergence": divergence.ORACLE,
 }
