@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeline.runtime import materialize
+from edgeline.runtime import BROADCAST_BYTES, lookup, materialize
 
 # White space between words, and the symbols counted.
 SPACE = r"\x20\x09-\x0D"
@@ -63,15 +63,17 @@ def with_text_counts(docs: DataFrame, text: str) -> DataFrame:
     )
 
 
-def common_lines(lines: DataFrame, max_share: float = 0.5, min_docs: int = 20) -> DataFrame:
-    """Per host, the hashes of lines that over `max_share` of its distinct texts and at least `min_docs` have.
+# A line of over so many percent of a host's distinct texts, and of at least so many of them, is common there.
+MAX_PERCENT = 2
+MIN_DOCS = 10
 
-    `lines` has host, text_hash and line_hashes. Such a list holds at most 1 / max_share
-    times the mean number of lines of the host's texts. Exact copies count as one document,
-    so a group of copies does not make its own lines common. Hosts without such lines are
-    left out.
+
+def common_lines(lines: DataFrame, max_percent: int = MAX_PERCENT, min_docs: int = MIN_DOCS) -> tuple[DataFrame, dict]:
+    """(host, line): hashes of lines that over `max_percent` of a host's distinct texts and at least `min_docs` have.
+
+    `lines` has host, text_hash and line_hashes. Exact copies count as one document, so a
+    group of copies does not make its own lines common. Written as a table, with its size.
     """
-    hosts = lines.groupBy("host").agg(F.count_distinct("text_hash").alias("host_docs"))
     single = lines.select("host", "text_hash", F.explode(F.array_distinct("line_hashes")).alias("line"))
     counts = (
         single.groupBy("host", "line", "text_hash")
@@ -80,12 +82,28 @@ def common_lines(lines: DataFrame, max_share: float = 0.5, min_docs: int = 20) -
         .agg(F.count(F.lit(1)).alias("docs"))
         .filter(F.col("docs") >= min_docs)
     )
-    return (
-        counts.join(hosts, "host")
-        .filter(F.col("docs") > F.col("host_docs") * max_share)
-        .groupBy("host")
-        .agg(F.collect_list("line").alias("common"))
-    )
+    counts, seen = materialize(counts)
+    hosts, size = materialize(lines.groupBy("host").agg(F.count_distinct("text_hash").alias("host_docs")))
+    if size["bytes"] <= BROADCAST_BYTES:
+        joined = counts.join(F.broadcast(hosts), "host")
+    else:
+        joined = lookup(counts, "host", hosts, F.col("line"), rows=seen["rows"])
+    return materialize(joined.filter(100 * F.col("docs") > max_percent * F.col("host_docs")).select("host", "line"))
+
+
+def with_common(lines: DataFrame, common: DataFrame, size: dict) -> DataFrame:
+    """The rows of `lines` (host, line and others) whose line is common for the host.
+
+    The table of common lines is broadcast behind its size; beyond it, a line that very
+    many texts have is spread over slices.
+    """
+    if size["bytes"] <= BROADCAST_BYTES:
+        return lines.join(F.broadcast(common), ["host", "line"])
+    keyed = lines.withColumn("key", F.struct("host", "line")).drop("host", "line")
+    known = common.select(F.struct("host", "line").alias("key"))
+    rest = [F.col(c) for c in keyed.columns if c != "key"]
+    found = lookup(keyed, "key", known, F.xxhash64(*rest), how="inner")
+    return found.select("key.host", "key.line", *rest)
 
 
 def hashed_lines(docs: DataFrame, text: str, host: str) -> DataFrame:
@@ -116,8 +134,8 @@ def judge(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
-    max_share: float = 0.5,
-    min_docs: int = 20,
+    max_percent: int = MAX_PERCENT,
+    min_docs: int = MIN_DOCS,
 ) -> DataFrame:
     """One row per row of `docs`: the counts, the words its host's common lines hold, and the verdict.
 
@@ -125,9 +143,10 @@ def judge(
     20 % of its words, or if removing common lines leaves under 10 words or under half of
     them. A null or empty text has no words and fails. A null host counts as the empty
     name. Rows with null or repeated ids are each judged by their own text; other columns
-    are ignored. The texts are read once; counts and line hashes are written as a table,
-    and only hashes are shuffled. One host may hold most rows: hashes are counted by host
-    and line, and the join with a host's list is one that adaptive execution can split.
+    are ignored. The texts are read once; counts and line hashes are written as a table
+    with numbered rows, and only hashes are shuffled. One host may hold most rows: hashes
+    are counted by host and line, lines meet the common ones by both, and what a row loses
+    comes back to it by its number.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -135,15 +154,16 @@ def judge(
         F.col(host_col).alias("__host"),
     )
     counted = hashed_lines(with_text_counts(rows, "__text"), "__text", "__host").drop("__text", "__host")
-    written, _ = materialize(counted)
-    common = common_lines(written.select("host", "text_hash", "line_hashes"), max_share, min_docs)
-    joined = written.join(common, "host", "left")
-    removed = F.aggregate(
-        F.zip_with("line_hashes", "line_words", lambda h, n: F.when(F.array_contains("common", h), n).otherwise(0)),
-        F.lit(0).cast("long"),
-        lambda a, n: a + n,
-    )
-    verdict = joined.withColumn("removed_words", F.when(F.col("common").isNull(), 0).otherwise(removed).cast("long"))
+    written, _ = materialize(counted.withColumn("row", F.monotonically_increasing_id()))
+    common, size = common_lines(written.select("host", "text_hash", "line_hashes"), max_percent, min_docs)
+    verdict = written.drop("host", "text_hash", "line_hashes", "line_words")
+    if size["rows"]:
+        lines = written.select("row", "host", F.inline(F.arrays_zip("line_hashes", "line_words")).alias("line", "words"))
+        removed = with_common(lines, common, size).groupBy("row").agg(F.sum("words").alias("removed_words"))
+        verdict = verdict.join(removed, "row", "left")
+        verdict = verdict.withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
+    else:
+        verdict = verdict.withColumn("removed_words", F.lit(0).cast("long"))
     return verdict.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words",
         base_failed().alias("base_failed"), (~base_failed() & ~depleted()).alias("kept"),
@@ -151,12 +171,18 @@ def judge(
 
 
 def clean(
-    docs: DataFrame, text_col: str = "text", host_col: str = "source", max_share: float = 0.5, min_docs: int = 20
+    docs: DataFrame,
+    text_col: str = "text",
+    host_col: str = "source",
+    max_percent: int = MAX_PERCENT,
+    min_docs: int = MIN_DOCS,
 ) -> DataFrame:
     """The rows of `docs` that the rules keep, with all their columns, without their hosts' common lines.
 
     Defined as `judge`; other lines of a text stay as they are. The texts are read twice,
-    once for the lists of common lines and once to apply them.
+    once for the common lines and once to take them out. Each distinct text of a host has a
+    list of those of its own lines that are common; the lists are broadcast behind their
+    size, and beyond it texts of which there are very many copies are spread over slices.
     """
     rows = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"),
@@ -165,8 +191,16 @@ def clean(
     )
     hashes = hashed_lines(rows.select("__text", "host"), "__text", "host")
     written, _ = materialize(hashes.select("host", "text_hash", "line_hashes"))
-    common, _ = materialize(common_lines(written, max_share, min_docs))
-    judged = with_text_counts(rows, "__text").join(common, "host", "left").withColumn("__own", F.split("__text", "\n"))
+    common, size = common_lines(written, max_percent, min_docs)
+    single = written.select("host", "text_hash", F.explode("line_hashes").alias("line")).distinct()
+    own = with_common(single, common, size).groupBy(F.struct("host", "text_hash").alias("__key"))
+    lists, size = materialize(own.agg(F.collect_list("line").alias("common")))
+    rows = rows.withColumn("__key", F.struct("host", F.xxhash64("__text").alias("text_hash")))
+    if size["bytes"] <= BROADCAST_BYTES:
+        listed = rows.join(F.broadcast(lists), "__key", "left")
+    else:
+        listed = lookup(rows, "__key", lists, F.monotonically_increasing_id())
+    judged = with_text_counts(listed, "__text").withColumn("__own", F.split("__text", "\n"))
 
     def is_common(line: Column) -> Column:
         return F.array_contains("common", F.xxhash64(F.trim(F.regexp_replace(F.lower(line), f"[{SPACE}]+", " "))))
@@ -220,7 +254,7 @@ texts AS (SELECT host, count(DISTINCT text) AS host_docs FROM docs GROUP BY host
 common AS (
   SELECT host, normal FROM worded JOIN docs USING (doc_id, host) JOIN texts USING (host)
   GROUP BY host, normal, host_docs
-  HAVING count(DISTINCT text) >= 20 AND count(DISTINCT text) > host_docs * 0.5
+  HAVING count(DISTINCT text) >= 10 AND 100 * count(DISTINCT text) > 2 * host_docs
 ),
 removed AS (
   SELECT doc_id, CAST(sum(line_words) AS BIGINT) AS removed_words FROM worded SEMI JOIN common USING (host, normal)

@@ -3,6 +3,7 @@ import pytest
 from helpers import EMPTY, ODD, clashing, documents
 from pyspark.sql import functions as F
 
+from edgeline import runtime
 from edgeline.llm import quality
 
 
@@ -38,6 +39,32 @@ def test_against_sql(spark):
     assert not got[300] and got[301] and got[302]
 
 
+def hot_host():
+    """A host with two thirds of all rows; a tenth and 40 % of its texts have lines of their own kind."""
+    rows = []
+    for i in range(300):
+        text = words(30, 100 * i)
+        text += "\nShare this page with friends" if i % 10 == 0 else ""
+        text = ("All rights reserved by us\n" if i % 5 < 2 else "") + text
+        rows.append((i, text, "hot" if i % 3 else f"h{i % 7}"))
+    rows += [(1000 + i, "all  rights reserved by us\na few words", "hot") for i in range(5)]
+    return rows
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+def test_common_lines_of_a_hot_host(spark, monkeypatch, limit):
+    if limit is not None:  # joined by shuffle, with slices
+        monkeypatch.setattr(quality, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(runtime, "SLICE_ROWS", 10)
+    rows = hot_host()
+    got = {r[0]: r for r in same(spark, rows)}
+    assert got[10][6] == 10 and got[1][6] == 5 and got[4][6] == 0
+    assert not any(got[1000 + i][-1] for i in range(5))
+    left = {r["doc_id"]: r["text"] for r in quality.clean(documents(spark, rows)).collect()}
+    assert left[10] == words(30, 1000) and left[1] == words(30, 100) and left[4] == words(30, 400)
+    assert set(left) == {d for d, r in got.items() if r[-1]}
+
+
 def test_clean_removes_common_lines(spark):
     kept = quality.clean(clashing(documents(spark, ROWS)))
     rows = {r["doc_id"]: r for r in kept.collect()}
