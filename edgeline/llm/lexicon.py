@@ -5,9 +5,12 @@ from __future__ import annotations
 import hashlib
 import heapq
 import io
+import re
 import unicodedata
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +26,16 @@ from edgeline.runtime import materialize
 
 # Fixed value: the vocabulary's own rule for words.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The same for ASCII texts in lower case, where the standard library can split faster.
+ASCII_WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+"
 WORD_END = "</w>"
-# Entries of a process's memory of words outside the lexicon; it is emptied when full.
+# Entries of a process's memory of words; when it is full, the older half goes.
 WORDS_KEPT = 300_000
-LEXICON_WORDS = 131_072
+LEXICON_WORDS = 524_288
+# Words that one task compiles into an automaton.
+SHARD_WORDS = 65_536
+# Above every rank and id of a pair.
+NEVER = 1 << 62
 
 
 def normalise(text: str) -> str:
@@ -36,6 +45,12 @@ def normalise(text: str) -> str:
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
+def splitter() -> Callable[[str], list[str]]:
+    """Splits normalised texts into words."""
+    any_words, ascii_words = regex.compile(WORD).findall, re.compile(ASCII_WORD).findall
+    return lambda text: ascii_words(text) if text.isascii() else any_words(text)
+
+
 class Merger:
     """Encodes single words by the vocabulary's merges, lowest rank first and leftmost among equals."""
 
@@ -43,8 +58,9 @@ class Merger:
         self.vocab, merges, self.special = tokenizer.read_bpe(path)
         self.name = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
         self.letter = {b: c for c, b in tokenizer.printable_bytes().items()}
+        # The rank of a pair's merge, then the id that it gives in the low bits.
         self.rank = {
-            (self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(merges)
+            (self.vocab[a], self.vocab[b]): rank << 24 | self.vocab[a + b] for rank, (a, b) in enumerate(merges)
         }
 
     def merge(self, word: bytes) -> list[int]:
@@ -55,23 +71,15 @@ class Merger:
 
     def _short(self, ids: list[int]) -> list[int]:
         get = self.rank.get
-        while len(ids) > 1:
-            best = None
-            for pair in zip(ids, ids[1:]):
-                found = get(pair)
-                if found is not None and (best is None or found < best):
-                    best, chosen = found, pair
-            if best is None:
-                break
-            (a, b), out, i, n = chosen, [], 0, len(ids)
-            while i < n:
-                if i + 1 < n and ids[i] == a and ids[i + 1] == b:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+        ranks = [get(pair, NEVER) for pair in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) != NEVER:
+            i = ranks.index(best)
+            new = ids[i] = best & 0xFFFFFF
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = get((new, ids[i + 1]), NEVER)
+            if i:
+                ranks[i - 1] = get((ids[i - 1], new), NEVER)
         return ids
 
     def _long(self, ids: list[int]) -> list[int]:
@@ -82,7 +90,7 @@ class Merger:
 
         def offer(i: int) -> None:
             if i >= 0 and after[i] < n and (found := self.rank.get((ids[i], ids[after[i]]))):
-                heapq.heappush(heap, (found[0], i, found[1], ids[i], ids[after[i]]))
+                heapq.heappush(heap, (found >> 24, i, found & 0xFFFFFF, ids[i], ids[after[i]]))
 
         for i in range(n - 1):
             offer(i)
@@ -171,11 +179,9 @@ def build_automaton(words: list[bytes]) -> dict[str, np.ndarray]:
 PARTS = (("key", np.int64), ("target", np.int32), ("skip", np.int32), ("final", np.bool_), ("ids", np.int32), ("start", np.int64))
 
 
-def pack_lexicon(words: list[str], merger: Merger) -> bytes:
-    """The automaton and the words' ids in one block: six sizes, then the arrays of PARTS."""
-    coded = sorted({w.encode("utf-8", "surrogatepass") for w in words if w})
-    arrays = build_automaton(coded)
-    ids = [merger.merge(w) for w in coded]
+def pack_shard(words: list[bytes], ids: list[list[int]]) -> bytes:
+    """The automaton of distinct sorted words and their ids in one block: the sizes of the arrays of PARTS, then these."""
+    arrays = build_automaton(words)
     arrays["ids"] = np.array([i for found in ids for i in found], np.int32)
     arrays["start"] = np.concatenate([[0], np.cumsum([len(found) for found in ids], dtype=np.int64)]).astype(np.int64)
     out = io.BytesIO()
@@ -186,11 +192,50 @@ def pack_lexicon(words: list[str], merger: Merger) -> bytes:
     return out.getvalue()
 
 
+def pack_shards(shards: list[bytes]) -> bytes:
+    """How many shards, the size of each, and then the shards."""
+    return np.array([len(shards), *map(len, shards)], np.int64).tobytes() + b"".join(shards)
+
+
+def shard_of(word: bytes, shards: int) -> int:
+    return zlib.crc32(word) % shards
+
+
+def pack_lexicon(words: list[str], merger: Merger, shards: int = 1) -> bytes:
+    """A lexicon of words whose ids the merger gives."""
+    coded = sorted({w.encode("utf-8", "surrogatepass") for w in words if w})
+    dealt = [[w for w in coded if shard_of(w, shards) == k] for k in range(shards)]
+    return pack_shards([pack_shard(own, [merger.merge(w) for w in own]) for own in dealt])
+
+
 class Lexicon:
     """A packed lexicon, mapped into memory; processes of one machine share its pages."""
 
     def __init__(self, path: str):
         data = np.memmap(path, np.uint8, mode="r")
+        count = int(data[:8].view(np.int64)[0])
+        sizes = data[8 : 8 * (count + 1)].view(np.int64)
+        ends = 8 * (count + 1) + np.cumsum(sizes)
+        self.shards = [Shard(data[end - size : end]) for size, end in zip(sizes.tolist(), ends.tolist())]
+
+    def find(self, words: list[bytes]) -> list[list[int] | None]:
+        """The ids of each word, or None where the lexicon lacks it."""
+        if len(self.shards) < 2:
+            return self.shards[0].find(words) if self.shards else [None] * len(words)
+        dealt: list[list[int]] = [[] for _ in self.shards]
+        for i, word in enumerate(words):
+            dealt[shard_of(word, len(dealt))].append(i)
+        out: list[list[int] | None] = [None] * len(words)
+        for shard, own in zip(self.shards, dealt):
+            for i, ids in zip(own, shard.find([words[i] for i in own])):
+                out[i] = ids
+        return out
+
+
+class Shard:
+    """The automaton of one part of the words."""
+
+    def __init__(self, data: np.ndarray):
         sizes = data[: 8 * len(PARTS)].view(np.int64)
         at = 8 * len(PARTS)
         for (name, kind), size in zip(PARTS, sizes):
@@ -229,7 +274,7 @@ class Encoder:
     def __init__(self, vocabulary: str, lexicon: str):
         self.merger = Merger(vocabulary)
         self.lexicon = Lexicon(lexicon)
-        self.split = regex.compile(WORD).findall
+        self.split = splitter()
         special = sorted(self.merger.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.words: dict[str, tuple[int, str, str]] = {}
@@ -257,7 +302,8 @@ class Encoder:
                 split.append(self.split(normalise(text)))
         wanted = set().union(*split)
         if len(self.words) > WORDS_KEPT:
-            self.words.clear()
+            for word in list(islice(self.words, len(self.words) // 2)):
+                del self.words[word]
         wanted -= self.words.keys()
         marks = {w for w in wanted if w[0] == "\0" and w[1:] in self.merger.special}
         self._learn(wanted - marks)
@@ -308,17 +354,44 @@ def ship_lexicon(spark: SparkSession, packed: bytes) -> str:
 
 
 def make_lexicon(
-    docs: DataFrame, text_col: str = "text", vocabulary: str = tokenizer.WORD_BPE, limit: int = LEXICON_WORDS
+    docs: DataFrame,
+    text_col: str = "text",
+    vocabulary: str = tokenizer.WORD_BPE,
+    limit: int = LEXICON_WORDS,
+    shard_words: int = SHARD_WORDS,
 ) -> str:
     """Compile the frequent words of `docs` into a lexicon file on every executor; returns its name.
 
-    The driver holds at most `limit` words of 64 characters.
+    Tasks over the table of counts split and merge each word once, and one task a shard
+    compiles its automaton. The driver joins the shards, of about 40 bytes a word and at most
+    `limit` stretches in all.
     """
-    split = regex.compile(WORD).findall
-    words: set[str] = set()
-    for row in frequent_words(docs, text_col, limit).collect():
-        words.update(w for w in split(normalise(row["word"])))
-    return ship_lexicon(docs.sparkSession, pack_lexicon(sorted(words), Merger(vocabulary)))
+    shards = -(-limit // shard_words)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merger, split = Merger(vocabulary), splitter()
+        for batch in batches:
+            words = {w for text in batch.column(0).to_pylist() for w in split(normalise(text))}
+            coded = [w.encode("utf-8", "surrogatepass") for w in words]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([shard_of(w, shards) for w in coded], pa.int32()),
+                    pa.array(coded, pa.binary()),
+                    pa.array([np.array(merger.merge(w), np.int32).tobytes() for w in coded], pa.binary()),
+                ],
+                names=["shard", "word", "ids"],
+            )
+
+    def compiled(key, table):
+        found = dict(zip(table.column("word").to_pylist(), table.column("ids").to_pylist()))
+        words = sorted(found)
+        packed = pack_shard(words, [np.frombuffer(found[w], np.int32).tolist() for w in words])
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([packed], pa.binary())], ["shard", "packed"])
+
+    words = frequent_words(docs, text_col, limit).select("word").mapInArrow(merged, "shard int, word binary, ids binary")
+    found = {r["shard"]: r["packed"] for r in words.groupBy("shard").applyInArrow(compiled, "shard int, packed binary").collect()}
+    empty = pack_shard([], [])
+    return ship_lexicon(docs.sparkSession, pack_shards([bytes(found.get(k, empty)) for k in range(shards)]))
 
 
 SCHEMA = "doc_id long, n_tokens long, ids {ids}, decoded string, ids_sha256 string, decoded_sha256 string"
@@ -336,7 +409,7 @@ def encode(
 
     The result is the vocabulary library's own, special strings in texts included. The
     words counted over all of `docs` that are most frequent become a lexicon of at most
-    `limit` entries; each task looks its words up there and merges those it lacks.
+    `limit` stretches; each task looks its words up there and merges those it lacks.
     With `digests_only`, ids and decoded are null. A null or empty text has no ids. Rows
     with null or repeated ids each give a row; other columns are ignored. Only word counts
     are shuffled.

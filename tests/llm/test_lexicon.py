@@ -29,12 +29,43 @@ def test_automaton_numbers_words_and_shares_suffixes(merger, tmp_path):
     path = tmp_path / "lexicon"
     path.write_bytes(lexicon.pack_lexicon(words, merger))
     packed = lexicon.Lexicon(str(path))
-    assert isinstance(packed.key, np.memmap)
+    assert isinstance(packed.shards[0].key, np.memmap)
     coded = [w.encode() for w in words]
     assert packed.find(coded) == [merger.merge(w) for w in coded]
     assert packed.find([b"", b"ta", b"tapsx", b"zz"]) == [None] * 4
     trie = {w[:i] for w in coded for i in range(len(w) + 1)}
-    assert len(packed.final) < len(trie)
+    assert len(packed.shards[0].final) < len(trie)
+
+
+def test_shards_hold_all_words(merger, tmp_path):
+    words = [f"w{i}é" for i in range(500)]
+    path = tmp_path / "lexicon"
+    path.write_bytes(lexicon.pack_lexicon(words, merger, shards=7))
+    packed = lexicon.Lexicon(str(path))
+    coded = [w.encode() for w in words] + [b"w1", b"x"]
+    assert packed.find(coded) == [merger.merge(w) for w in coded[:-2]] + [None, None]
+    assert len(packed.shards) == 7
+
+
+def test_ascii_words_are_split_alike():
+    rng = random.Random(8)
+    chars = "".join(map(chr, range(128))).lower() + "'" * 4 + "stredvmll  "
+    both = lexicon.regex.compile(lexicon.WORD).findall
+    for _ in range(3000):
+        text = "".join(rng.choices(chars, k=rng.randint(1, 30)))
+        assert lexicon.splitter()(text) == both(text)
+
+
+def test_memory_lets_its_older_half_go(spark, library, monkeypatch):
+    monkeypatch.setattr(lexicon, "WORDS_KEPT", 20)
+    name = lexicon.make_lexicon(documents(spark, [(1, "the the of of")]), limit=4, shard_words=2)
+    coder = lexicon.Encoder(tokenizer.WORD_BPE, lexicon.SparkFiles.get(name))
+    for i in range(40):
+        text = f"the word{i} and word{i // 2} of <|endoftext|> it"
+        n, ids, decoded = next(coder.encode([text]))
+        want = library.encode(text, add_special_tokens=False).ids
+        assert (n, ids, decoded) == (len(want), " ".join(map(str, want)), library.decode(want, skip_special_tokens=False))
+    assert len(coder.words) < 40
 
 
 def test_empty_lexicon(merger, tmp_path):
