@@ -65,6 +65,58 @@ def _(spark, sf):
     return _call(spark, "SELECT * FROM subgraph_edges('U5', 2)", moves(spark, sf))
 
 
+@query("t2_khop_five", khop_sql(FK, "fk", "S2", 5))
+def _(spark, sf):
+    return _call(spark, "SELECT * FROM khop('S2', 5)", fk(spark, sf))
+
+
+NATIONS_KHOP = f"""WITH RECURSIVE {FOREST},
+und AS (SELECT subject_id AS src, object_id AS dst FROM forest UNION SELECT object_id, subject_id FROM forest),
+near AS (
+  SELECT id AS entity_id, id AS node, 0 AS hops FROM member WHERE entity_type = 'Nation'
+  UNION SELECT entity_id, dst, hops + 1 FROM near JOIN und ON src = node WHERE hops < 3
+)
+"""
+
+
+@query(
+    "t2_khop_lateral",
+    NATIONS_KHOP
+    + """SELECT entity_id, node AS neighbor_id, CAST(min(hops) AS INTEGER) AS hops FROM near
+WHERE node <> entity_id GROUP BY ALL""",
+)
+def _(spark, sf):
+    statement = """SELECT n.id AS entity_id, k.neighbor_id, k.hops
+FROM kg_nodes n, LATERAL khop(n.id, 3) k WHERE n.type = 'Nation'"""
+    return _call(spark, statement, forest(spark, sf))
+
+
+@query(
+    "t3_connection_path_lateral",
+    f"""WITH {FOREST}
+SELECT f.subject_id AS a, g.object_id AS b, CAST(2 AS INTEGER) AS hops,
+f.subject_id || ' -> ' || f.object_id || ' -> ' || g.object_id AS path
+FROM forest f JOIN forest g ON g.subject_id = f.object_id WHERE f.subject_id LIKE 'S%'""",
+)
+def _(spark, sf):
+    statement = """SELECT p.a, p.b, c.hops, c.path
+FROM (SELECT f.subject_id AS a, g.object_id AS b FROM kg_triplets f JOIN kg_triplets g ON g.subject_id = f.object_id
+      WHERE f.subject_id LIKE 'S%') p, LATERAL connection_path(p.a, p.b) c"""
+    return _call(spark, statement, forest(spark, sf))
+
+
+@query(
+    "t4_subgraph_lateral",
+    NATIONS_KHOP
+    + """SELECT entity_id, subject_id, predicate, object_id, CAST(min(hops) + 1 AS INTEGER) AS hop
+FROM near JOIN forest ON node IN (subject_id, object_id) WHERE hops < 2 GROUP BY ALL""",
+)
+def _(spark, sf):
+    statement = """SELECT n.id AS entity_id, e.subject_id, e.predicate, e.object_id, e.hop
+FROM kg_nodes n, LATERAL subgraph_edges(n.id, 2) e WHERE n.type = 'Nation'"""
+    return _call(spark, statement, forest(spark, sf))
+
+
 @query(
     "t5_cluster_of",
     f"WITH {FOREST} SELECT entity_id, community_id FROM communities WHERE entity_type = 'Supplier'",

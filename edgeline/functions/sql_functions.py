@@ -1,18 +1,19 @@
 """The traversal and lookup operators as SQL functions over temporary views.
 
-Bodies are plain SQL, so Spark inlines each call into the caller's plan. `neighbors`,
-`cluster_of`, `members_of_cluster` and `shared_community` also take columns under LATERAL
-and plan as equality joins; `khop`, `connection_path` and `subgraph_edges` take constants,
-and for many anchors there are `khop_of`, `connection_paths_of` and `subgraph_edges_of`.
-Results are whole: add a LIMIT where a few rows are enough. A depth that a function does
-not have is an error.
+Bodies are plain SQL, so Spark inlines each call into the caller's plan. All of them take
+columns under LATERAL as well as constants, and plan as equality joins. Results are whole:
+add a LIMIT where a few rows are enough. Walks are spelled out level by level up to the
+number of hops given when the functions are registered; a call that asks for more is an
+error. A level that a call does not need has no rows to extend.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from edgeline.operators.views import derive_nodes, enriched_edges, node_degree
+from edgeline.runtime import dense_index
 from edgeline.schema import Graph, conform_triplets, empty_results
 
 FUNCTION_NAMES = (
@@ -39,98 +40,123 @@ RETURN
   FROM {triplets} WHERE object_id = neighbors.entity_id
 """
 
-# Each level keeps distinct nodes only, so walks are never spelled out.
-KHOP = """
-khop(entity_id STRING, k INT)
-RETURNS TABLE (neighbor_id STRING, hops INT)
-RETURN
-  WITH pair AS (
-    SELECT p.src, p.dst FROM {triplets}
-    LATERAL VIEW inline(array(
-      named_struct('src', subject_id, 'dst', object_id), named_struct('src', object_id, 'dst', subject_id)
-    )) p
-  ),
-  ring1 AS (SELECT DISTINCT dst AS node FROM pair WHERE src = khop.entity_id),
-  ring2 AS (SELECT DISTINCT pair.dst AS node FROM pair JOIN ring1 ON pair.src = ring1.node),
-  ring3 AS (SELECT DISTINCT pair.dst AS node FROM pair JOIN ring2 ON pair.src = ring2.node),
-  reached AS (
-    SELECT node, 1 AS hops FROM ring1
-    UNION ALL SELECT node, 2 AS hops FROM ring2 WHERE coalesce(khop.k, 3) >= 2
-    UNION ALL SELECT node, 3 AS hops FROM ring3 WHERE coalesce(khop.k, 3) >= 3
-  )
-  SELECT node AS neighbor_id, min(hops) AS hops
-  FROM reached
-  WHERE node <> khop.entity_id AND coalesce(khop.k, 3) >= 1
-    AND if(khop.k > 3, CAST(raise_error('khop reaches 3 hops at most; use khop_of') AS BOOLEAN), true)
-  GROUP BY node
-"""
+# Hops that calls may ask for, unless `register_functions` is told otherwise.
+MAX_HOPS = 6
+MAX_PATH_HOPS = 4
 
-# Half-paths of one and two hops from either end meet on their last node.
-CONNECTION_PATH = """
-connection_path(a STRING, b STRING)
-RETURNS TABLE (hops INT, path STRING)
-RETURN
-  WITH pair AS (
+# Distinct neighbours in either direction.
+PAIRS = """pair AS (
     SELECT DISTINCT p.src, p.dst FROM {triplets}
     LATERAL VIEW inline(array(
       named_struct('src', subject_id, 'dst', object_id), named_struct('src', object_id, 'dst', subject_id)
     )) p
-  ),
-  near_a AS (SELECT dst AS x FROM pair WHERE src = connection_path.a AND dst NOT IN (connection_path.a, connection_path.b)),
-  near_b AS (SELECT dst AS x FROM pair WHERE src = connection_path.b AND dst NOT IN (connection_path.a, connection_path.b)),
-  half_a AS (
-    SELECT near_a.x, pair.dst AS y FROM near_a JOIN pair ON pair.src = near_a.x
-    WHERE pair.dst NOT IN (connection_path.a, connection_path.b) AND pair.dst <> near_a.x
-  ),
-  half_b AS (
-    SELECT near_b.x AS z, pair.dst AS y FROM near_b JOIN pair ON pair.src = near_b.x
-    WHERE pair.dst NOT IN (connection_path.a, connection_path.b) AND pair.dst <> near_b.x
-  ),
-  found AS (
-    SELECT 1 AS hops, array(connection_path.a, connection_path.b) AS nodes
-    FROM pair WHERE src = connection_path.a AND dst = connection_path.b
-    UNION ALL
-    SELECT 2 AS hops, array(connection_path.a, near_a.x, connection_path.b) AS nodes
-    FROM near_a JOIN near_b ON near_a.x = near_b.x
-    UNION ALL
-    SELECT 3 AS hops, array(connection_path.a, half_a.x, half_a.y, connection_path.b) AS nodes
-    FROM half_a JOIN near_b ON half_a.y = near_b.x
-    UNION ALL
-    SELECT 4 AS hops, array(connection_path.a, half_a.x, half_a.y, half_b.z, connection_path.b) AS nodes
-    FROM half_a JOIN half_b ON half_a.y = half_b.y AND half_a.x <> half_b.z
-  )
-  SELECT hops, array_join(nodes, ' -> ') AS path FROM found
+    WHERE p.dst IS NOT NULL
+  )"""
+
+
+def _levels(name: str, hops: int, wanted: str) -> str:
+    """CTEs level0 .. level<hops>: every node within so many hops of the entity, with the fewest.
+
+    Each level is used once, so the text unfolds into a chain: the nodes of the level before,
+    and those next to its outermost ones. `wanted` is the number of hops the call asks for.
+    """
+    ctes = [f"level0 AS (SELECT {name}.entity_id AS node, 0 AS hops)"]
+    for i in range(1, hops + 1):
+        ctes.append(f"""level{i} AS (
+    SELECT n.node, min(n.hops) AS hops
+    FROM (
+      SELECT l.node, l.hops, pair.dst
+      FROM (SELECT node, hops, if(hops = {i - 1}, node, NULL) AS tip, {wanted} >= {i} AS goes_on FROM level{i - 1}) l
+      LEFT JOIN pair ON pair.src = l.tip AND l.goes_on
+    ) LATERAL VIEW inline(array(named_struct('node', node, 'hops', hops), named_struct('node', dst, 'hops', {i}))) n
+    WHERE n.node IS NOT NULL
+    GROUP BY n.node
+  )""")
+    return ",\n  ".join(ctes)
+
+
+def _allowed(name: str, hops: int) -> str:
+    message = f"{name} was registered for {hops} hops; register the functions with a larger max_hops"
+    return f"if({name}.k > {hops}, CAST(raise_error('{message}') AS BOOLEAN), true)"
+
+
+def _khop(hops: int) -> str:
+    return f"""
+khop(entity_id STRING, k INT)
+RETURNS TABLE (neighbor_id STRING, hops INT)
+RETURN
+  WITH {PAIRS},
+  {_levels("khop", hops, "coalesce(khop.k, 3)")}
+  SELECT node AS neighbor_id, hops FROM level{hops} WHERE hops > 0 AND {_allowed("khop", hops)}
 """
 
-# Nodes with the hops to them, nearest first; an edge is met one hop after its nearer end.
-SUBGRAPH_EDGES = """
+
+def _subgraph_edges(hops: int) -> str:
+    """Nodes with the hops to them, nearest first; an edge is met one hop after its nearer end."""
+    columns = "subject_id, subject_type, predicate, object_id, object_type, confidence"
+    return f"""
 subgraph_edges(entity_id STRING, k INT)
 RETURNS TABLE (subject_id STRING, subject_type STRING, predicate STRING, object_id STRING, object_type STRING,
                confidence DOUBLE, hop INT)
 RETURN
-  WITH start AS (SELECT subgraph_edges.entity_id AS node),
-  next AS (
-    SELECT object_id AS node FROM {triplets} WHERE subject_id = subgraph_edges.entity_id
-    UNION
-    SELECT subject_id AS node FROM {triplets} WHERE object_id = subgraph_edges.entity_id
-  ),
-  reach AS (
-    SELECT node, 0 AS away FROM start
-    UNION ALL
-    SELECT node, 1 AS away FROM next
-    WHERE node <> subgraph_edges.entity_id AND coalesce(subgraph_edges.k, 2) >= 2
-      AND if(subgraph_edges.k > 2, CAST(raise_error('subgraph_edges goes 2 hops at most; use subgraph_edges_of') AS BOOLEAN), true)
+  WITH {PAIRS},
+  {_levels("subgraph_edges", hops - 1, "coalesce(subgraph_edges.k, 2) - 1")},
+  touching AS (
+    SELECT e.node AS touched, {columns} FROM {{triplets}}
+    LATERAL VIEW explode(array_distinct(array(subject_id, object_id))) e AS node
   ),
   met AS (
-    SELECT t.*, reach.away FROM {triplets} t JOIN reach ON t.subject_id = reach.node
-    UNION ALL
-    SELECT t.*, reach.away FROM {triplets} t JOIN reach ON t.object_id = reach.node
+    SELECT {columns}, l.hops FROM level{hops - 1} l JOIN touching ON touching.touched = l.node
+    WHERE {_allowed("subgraph_edges", hops)}
   )
-  SELECT subject_id, subject_type, predicate, object_id, object_type, confidence, min(away) + 1 AS hop
-  FROM met
-  GROUP BY subject_id, subject_type, predicate, object_id, object_type, confidence
+  SELECT {columns}, min(hops) + 1 AS hop FROM met GROUP BY {columns}
+"""
+
+
+def _halves(side: str, hops: int) -> str:
+    """CTEs <side>0 .. <side><hops>: half-paths of up to so many hops away from one end, through neither end.
+
+    Rows have both ends, the inner nodes in order, the last node and the number of hops.
+    Side a also has the direct step to b, which ends there.
+    """
+    ctes = [f"{side}0 AS (SELECT a, b, CAST(array() AS ARRAY<STRING>) AS inner, {side} AS tip, 0 AS steps FROM ends)"]
+    for i in range(1, hops + 1):
+        direct = "if(dst = b, b, NULL)" if (side, i) == ("a", 1) else "NULL"
+        ctes.append(f"""{side}{i} AS (
+    SELECT DISTINCT n.a, n.b, n.inner, n.tip, n.steps
+    FROM (
+      SELECT l.*, pair.dst
+      FROM (SELECT *, if(steps = {i - 1} AND (steps = 0 OR tip <> b), tip, NULL) AS onward FROM {side}{i - 1}) l
+      LEFT JOIN pair ON pair.src = l.onward
+    ) LATERAL VIEW inline(array(
+      named_struct('a', a, 'b', b, 'inner', inner, 'tip', tip, 'steps', steps),
+      named_struct('a', a, 'b', b, 'inner', if(dst = b, inner, array_append(inner, dst)),
+        'tip', CASE WHEN dst IN (a, b) THEN {direct} WHEN array_contains(inner, dst) THEN NULL ELSE dst END, 'steps', {i})
+    )) n
+    WHERE n.tip IS NOT NULL
+  )""")
+    return ",\n  ".join(ctes)
+
+
+def _connection_path(hops: int) -> str:
+    """Halves meet on their last node; the one from a is as long as the other or a hop longer."""
+    one, other = (hops + 1) // 2, hops // 2
+    return f"""
+connection_path(a STRING, b STRING)
+RETURNS TABLE (hops INT, path STRING)
+RETURN
+  WITH {PAIRS},
+  ends AS (SELECT connection_path.a AS a, connection_path.b AS b),
+  {_halves("a", one)},
+  {_halves("b", other)}
+  SELECT x.steps + y.steps AS hops,
+         array_join(concat(array(x.a), x.inner, slice(reverse(y.inner), 2, {max(other, 1)}), array(x.b)), ' -> ') AS path
+  FROM a{one} x JOIN b{other} y ON x.tip = y.tip
+  WHERE x.steps > 0 AND x.steps - y.steps IN (0, 1)
+    AND size(array_intersect(x.inner, y.inner)) = if(y.steps = 0, 0, 1)
 """
 
+
 CLUSTER_OF = """
 cluster_of(entity_id STRING)
 RETURNS BIGINT
@@ -146,30 +172,30 @@ RETURN
   WHERE m.community_id = members_of_cluster.community_id
 """
 
-# Each task keeps its own n best rows before the last comparison.
+# The batch run, or registering the views, numbers entities by PageRank once.
 TOP_CENTRAL_ENTITIES = """
 top_central_entities(n INT)
 RETURNS TABLE (entity_id STRING, entity_type STRING, pagerank DOUBLE, degree BIGINT, betweenness DOUBLE)
 RETURN
-  SELECT entry.entity_id, entry.entity_type, entry.pagerank, entry.degree, entry.betweenness
-  FROM (
-    SELECT struct(c.*) AS entry, rank() OVER (ORDER BY c.pagerank DESC NULLS LAST, c.entity_id) AS standing
-    FROM {centrality} c
-  )
-  WHERE standing <= top_central_entities.n
+  SELECT entity_id, entity_type, pagerank, degree, betweenness
+  FROM {standing}
+  WHERE place < top_central_entities.n
 """
 
+# Both ids meet the table in one join; what it has for either is then set side by side.
 SHARED_COMMUNITY = """
 shared_community(a STRING, b STRING)
 RETURNS TABLE (entity_a STRING, entity_b STRING, community_a BIGINT, community_b BIGINT,
                same_community BOOLEAN, community_size BIGINT)
 RETURN
-  SELECT asked.a, asked.b, x.community_id, y.community_id,
-         (x.community_id IS NOT NULL AND x.community_id = y.community_id),
-         if(x.community_id = y.community_id, x.community_size, NULL)
-  FROM (SELECT shared_community.a AS a, shared_community.b AS b) asked
-  LEFT JOIN {communities} x ON x.entity_id = asked.a
-  LEFT JOIN {communities} y ON y.entity_id = asked.b
+  WITH asked AS (SELECT explode(map(1, shared_community.a, 2, shared_community.b)) AS (side, id)),
+  sides AS (
+    SELECT max(if(side = 1, id, NULL)) AS a, max(if(side = 2, id, NULL)) AS b,
+           max(if(side = 1, m.community_id, NULL)) AS ca, max(if(side = 2, m.community_id, NULL)) AS cb,
+           max(if(side = 1, m.community_size, NULL)) AS members
+    FROM asked LEFT JOIN {communities} m ON m.entity_id = id
+  )
+  SELECT a, b, ca, cb, ca IS NOT NULL AND ca = cb, if(ca = cb, members, NULL) FROM sides
 """
 
 WALKS = """
@@ -197,18 +223,26 @@ def _walks(name: str, near: str, far: str) -> str:
     return WALKS.replace("{{name}}", name).replace("{{near}}", near).replace("{{far}}", far)
 
 
-BODIES = (
-    NEIGHBORS,
-    KHOP,
-    CONNECTION_PATH,
-    SUBGRAPH_EDGES,
-    CLUSTER_OF,
-    MEMBERS_OF_CLUSTER,
-    TOP_CENTRAL_ENTITIES,
-    SHARED_COMMUNITY,
-    _walks("downstream", "subject_id", "object_id"),
-    _walks("upstream", "object_id", "subject_id"),
-)
+def _bodies(max_hops: int, max_path_hops: int) -> tuple[str, ...]:
+    return (
+        NEIGHBORS,
+        _khop(max_hops),
+        _connection_path(max_path_hops),
+        _subgraph_edges(max_hops),
+        CLUSTER_OF,
+        MEMBERS_OF_CLUSTER,
+        TOP_CENTRAL_ENTITIES,
+        SHARED_COMMUNITY,
+        _walks("downstream", "subject_id", "object_id"),
+        _walks("upstream", "object_id", "subject_id"),
+    )
+
+
+def standing_of(centrality: DataFrame) -> DataFrame:
+    """The centrality rows with their `place` by PageRank: 0 for the most central, equal ones by id."""
+    order = F.struct((-F.coalesce(F.col("pagerank"), F.lit(float("-inf")))).alias("least"), "entity_id", "entity_type", "degree", "betweenness")
+    numbered, _ = dense_index(centrality.withColumn("order", order), "order", "place")
+    return numbered.drop("order")
 
 
 def register_functions(
@@ -217,35 +251,53 @@ def register_functions(
     centrality: DataFrame | None = None,
     communities: DataFrame | None = None,
     prefix: str = "kg_",
+    max_hops: int = MAX_HOPS,
+    max_path_hops: int = MAX_PATH_HOPS,
 ) -> tuple[str, ...]:
     """Create the functions over temporary views named with `prefix`.
 
-    The views are triplets, centrality and communities, and nodes, node_degree and
-    edges_enriched derived from the triplets. Result tables not given yet are registered
-    empty, so lookups answer with no rows.
+    The views are triplets, centrality, its rows by PageRank (standing) and communities, and
+    nodes, node_degree and edges_enriched derived from the triplets. Result tables not given
+    yet are registered empty, so lookups answer with no rows. `max_hops` bounds the k of
+    `khop` and `subgraph_edges`, `max_path_hops` the length of connecting paths.
     """
     no_centrality, no_communities = empty_results(spark)
     views = {
         "triplets": conform_triplets(triplets),
         "centrality": no_centrality if centrality is None else centrality,
         "communities": no_communities if communities is None else communities,
+        "standing": no_centrality.withColumn("place", F.lit(0)) if centrality is None else standing_of(centrality),
     }
     graph = Graph(views["triplets"])
     derived = {"nodes": derive_nodes(graph), "node_degree": node_degree(graph), "edges_enriched": enriched_edges(graph)}
     for name, df in {**views, **derived}.items():
         df.createOrReplaceTempView(prefix + name)
-    _create(spark, {name: prefix + name for name in views}, "TEMPORARY ")
+    _create(spark, {name: prefix + name for name in views}, "TEMPORARY ", max_hops, max_path_hops)
     return FUNCTION_NAMES
 
 
 def register_persistent_functions(
-    spark: SparkSession, triplets: str, centrality: str, communities: str
+    spark: SparkSession,
+    triplets: str,
+    centrality: str,
+    communities: str,
+    standing: str | None = None,
+    max_hops: int = MAX_HOPS,
+    max_path_hops: int = MAX_PATH_HOPS,
 ) -> tuple[str, ...]:
-    """Create the functions in the current schema over saved tables."""
-    _create(spark, {"triplets": triplets, "centrality": centrality, "communities": communities}, "")
+    """Create the functions in the current schema over saved tables.
+
+    `standing` is the table `refresh_results` writes beside the centrality; without a name it
+    is `<centrality>_standing`, and written now if it is missing.
+    """
+    standing = standing or f"{centrality}_standing"
+    if not spark.catalog.tableExists(standing):
+        standing_of(spark.table(centrality)).write.saveAsTable(standing)
+    tables = {"triplets": triplets, "centrality": centrality, "communities": communities, "standing": standing}
+    _create(spark, tables, "", max_hops, max_path_hops)
     return FUNCTION_NAMES
 
 
-def _create(spark: SparkSession, tables: dict[str, str], scope: str) -> None:
-    for body in BODIES:
+def _create(spark: SparkSession, tables: dict[str, str], scope: str, max_hops: int, max_path_hops: int) -> None:
+    for body in _bodies(max_hops, max_path_hops):
         spark.sql(f"CREATE OR REPLACE {scope}FUNCTION {body.strip().format(**tables)}")

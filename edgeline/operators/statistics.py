@@ -13,17 +13,19 @@ def _count():
     return F.count(F.lit(1))
 
 
+def two_way_adjacency(edges: DataFrame) -> DataFrame:
+    """Distinct (src, dst), every edge in both directions, self-loops dropped."""
+    return edges.select(both_directions(F.col("src"), F.col("dst"))).where("src <> dst").distinct()
+
+
 def undirected_pairs(edges: DataFrame) -> DataFrame:
-    """Distinct unordered pairs (a, b), self-loops dropped."""
-    ordered = F.sort_array(F.array("src", "dst"))
-    pairs = edges.select(ordered[0].alias("a"), ordered[1].alias("b")).dropDuplicates()
-    return pairs.where("a <> b")
+    """Distinct unordered pairs (a, b): the half of the two-way adjacency that goes upwards."""
+    return two_way_adjacency(edges).filter("src < dst").toDF("a", "b")
 
 
 def undirected_degree(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
     """Number of distinct neighbours; with `vertices`, isolated ones count 0."""
-    adjacent = edges.select(both_directions(F.col("src"), F.col("dst"))).where("src <> dst").distinct()
-    degree = adjacent.groupBy(F.col("src").alias("id")).agg(F.count("dst").alias("degree"))
+    degree = two_way_adjacency(edges).groupBy(F.col("src").alias("id")).agg(F.count("dst").alias("degree"))
     if vertices is None:
         return degree
     return vertices.select("id").join(degree, "id", "left").select(

@@ -137,8 +137,9 @@ def test_functions_join_by_equality_under_lateral(spark, hand):
         "entity_id string, entity_type string, community_id long, community_size long, component_id long",
     )
     register_functions(spark, hand, None, communities)
-    for call in ("neighbors(i.id)", "members_of_cluster(i.c)", "shared_community(i.id, i.id)"):
-        asked = spark.sql(f"SELECT i.id, f.* FROM (SELECT entity_id id, community_id c FROM kg_communities) i, LATERAL {call} f")
+    calls = ("neighbors(i.id)", "members_of_cluster(i.c)", "shared_community(i.id, i.id)")
+    for call in (*calls, "khop(i.id, 5)", "subgraph_edges(i.id, 2)", "connection_path(i.id, i.other)"):
+        asked = spark.sql(f"SELECT i.id, f.* FROM (SELECT entity_id id, community_id c, entity_id other FROM kg_communities) i, LATERAL {call} f")
         assert asked.count() > 0
         assert "NestedLoop" not in plan(asked) and "Cartesian" not in plan(asked), call
 

@@ -63,8 +63,10 @@ def test_khop(spark, hand, k, expected):
     register_functions(spark, hand)
     call = "SELECT * FROM khop('a', %s) ORDER BY hops, neighbor_id" % ("NULL" if k is None else k)
     if k == 9:
-        with pytest.raises(Exception, match="3 hops at most"):
+        with pytest.raises(Exception, match="registered for 6 hops"):
             spark.sql(call).collect()
+        register_functions(spark, hand, max_hops=9)
+        assert tuples(spark.sql(call)) == expected
     else:
         assert tuples(spark.sql(call)) == expected
 
@@ -90,6 +92,24 @@ def test_connection_paths(spark, hand):
         assert by_sql == tuples(traversal.connection_paths(hand, a, b))
 
 
+def test_functions_take_columns(spark, hand):
+    register_functions(spark, hand, max_path_hops=5)
+    ids = spark.createDataFrame([("a",), ("m",), ("d",), ("nobody",)], "entity_id string")
+    ids.createOrReplaceTempView("asked")
+    for k in (1, 3, 5):
+        got = spark.sql(f"SELECT i.entity_id, n.* FROM asked i, LATERAL khop(i.entity_id, {k}) n")
+        assert sorted(tuples(got)) == sorted(tuples(traversal.khop_of(hand, ids, k)))
+        got = spark.sql(f"SELECT i.entity_id, n.* FROM asked i, LATERAL subgraph_edges(i.entity_id, {k}) n")
+        assert sorted(tuples(got), key=str) == sorted(tuples(traversal.subgraph_edges_of(hand, ids, k)), key=str)
+    pairs = spark.createDataFrame([("a", "d"), ("a", "m"), ("c", "c"), ("x", "g1")], "a string, b string")
+    pairs.createOrReplaceTempView("pairs")
+    got = spark.sql("SELECT p.a, p.b, n.* FROM pairs p, LATERAL connection_path(p.a, p.b) n")
+    assert sorted(tuples(got)) == sorted(tuples(traversal.connection_paths_of(hand, pairs, 5)))
+    spark.sql("SELECT entity_id, IF(entity_id = 'a', 2, 1) AS k FROM asked").createOrReplaceTempView("depths")
+    got = spark.sql("SELECT i.entity_id, n.* FROM depths i, LATERAL khop(i.entity_id, i.k) n WHERE i.entity_id IN ('a', 'm')")
+    assert sorted(tuples(got)) == sorted([("a", *r) for r in THREE[:-1]] + [("m", "n", 1)])
+
+
 def test_longer_paths_and_many_pairs(spark, hand):
     chain = spark.createDataFrame([(f"p{i}", f"p{i + 1}") for i in range(6)], "subject_id string, object_id string")
     assert tuples(traversal.connection_paths(chain, "p0", "p5", 5)) == [(5, " -> ".join(f"p{i}" for i in range(6)))]
