@@ -142,6 +142,36 @@ def _(spark, sf):
     return _triplets(extraction.fk_triplets(table(spark, sf, "lineitem"), table(spark, sf, "part"), spec))
 
 
+def _all_fk_sql() -> str:
+    """What the tables' foreign keys, named alike but for the prefix, must give."""
+    links = [
+        ("customer", "c_custkey", "customer", "c_nationkey", "nation", "n_nationkey"),
+        ("supplier", "s_suppkey", "supplier", "s_nationkey", "nation", "n_nationkey"),
+        ("nation", "n_nationkey", "nation", "n_regionkey", "region", "r_regionkey"),
+        ("orders", "o_orderkey", "orders", "o_custkey", "customer", "c_custkey"),
+        ("lineitem", "l_orderkey", "orders", "l_partkey", "part", "p_partkey"),
+        ("lineitem", "l_orderkey", "orders", "l_suppkey", "supplier", "s_suppkey"),
+    ]
+    return "\nUNION ALL ".join(
+        f"""SELECT DISTINCT '{owner}:' || {key} AS subject_id, '{owner}' AS subject_type, '{column.upper()}' AS predicate,
+'{parent}:' || {column} AS object_id, '{parent}' AS object_type, CAST(1 AS DOUBLE) AS confidence,
+'relationship' AS source_agent, 'fk_join' AS source_method FROM {child}
+WHERE {key} IS NOT NULL AND {column} IN (SELECT {parent_key} FROM {parent})"""
+        for child, key, owner, column, parent, parent_key in links
+    )
+
+
+@query("k4_all_foreign_keys", _all_fk_sql())
+def _(spark, sf):
+    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+    tables = {name: table(spark, sf, name) for name in names}
+    keys = saved(profiling.entity_keys(profiling.profile(tables)))
+    found = profiling.foreign_keys(tables, keys)
+    # Small numbers are contained in many keys; those meant are named alike.
+    alike = F.substring_index("child_column", "_", -1) == F.substring_index("parent_column", "_", -1)
+    return _triplets(extraction.all_fk_triplets(tables, keys.filter("id_like"), saved(found.filter(alike))))
+
+
 @query(
     "k5_shared_attribute_triplets",
     """WITH d AS (SELECT DISTINCT 'P' || p_partkey AS id, CAST(to_json([p_name, p_brand]) AS VARCHAR) AS v FROM part),
@@ -239,6 +269,24 @@ def _(spark, sf):
     )
 
 
+@query(
+    "k8_nearest_centre",
+    """WITH x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+c AS (SELECT label, i, avg(x) AS c FROM x GROUP BY 1, 2),
+d AS (SELECT x.vec_id, c.label, sum((x.x - c.c) * (x.x - c.c)) AS far,
+sum(x.x * c.c) / (sqrt(sum(x.x * x.x)) * sqrt(sum(c.c * c.c))) AS cos FROM x JOIN c USING (i) GROUP BY 1, 2),
+best AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY far, label) AS nth FROM d)
+SELECT 'V' || vec_id AS subject_id, 'Vector' AS subject_type, 'IN_CLUSTER' AS predicate, 'CLUSTER:' || label AS object_id,
+'Cluster' AS object_type, round(greatest(0, least(1, cos)), 6) AS confidence, 'ml_clustering' AS source_agent,
+'nearest_centre' AS source_method FROM best WHERE nth = 1""",
+)
+def _(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    centres = extraction.group_centres(vectors, "label", "embedding").withColumnRenamed("label", "cluster")
+    vec_id = F.concat(F.lit("V"), F.col("vec_id").cast("string"))
+    return _triplets(extraction.placed_triplets(vectors, vec_id, "Vector", "embedding", centres))
+
+
 @query(
     "k9_cosine_triplets",
     """WITH x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i
@@ -256,6 +304,22 @@ def _(spark, sf):
     return _triplets(extraction.cosine_triplets(vectors, vec_id, "Vector", "embedding", "label", 0.25))
 
 
+@query(
+    "k9_pairs",
+    """WITH x AS (SELECT 'V' || vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL),
+r AS (SELECT v, min(id) AS rep FROM x GROUP BY v),
+p AS (SELECT a.rep AS one, b.rep AS two, list_cosine_similarity(a.v, b.v) AS cos FROM r a JOIN r b ON a.rep < b.rep)
+SELECT one AS subject_id, 'Vector' AS subject_type, 'SIMILAR_TO' AS predicate, two AS object_id, 'Vector' AS object_type,
+round(least(1, cos), 6) AS confidence, 'ml_clustering' AS source_agent, 'cosine_similarity' AS source_method
+FROM p WHERE cos >= 0.3
+UNION ALL
+SELECT rep, 'Vector', 'SAME_VECTOR', id, 'Vector', 1.0, 'ml_clustering', 'cosine_similarity' FROM x JOIN r USING (v) WHERE id <> rep""",
+)
+def _(spark, sf):
+    vec_id = F.concat(F.lit("V"), F.col("vec_id").cast("string"))
+    return _triplets(extraction.similar_pair_triplets(table(spark, sf, "embeddings"), vec_id, "Vector", "embedding", 0.3))
+
+
 @query(
     "k10_topology_triplets",
     f"""WITH {FOREST},

@@ -1,8 +1,9 @@
 """Turning source tables into triplets.
 
 Every function returns rows of the triplet contract. Groups are never paired up
-member by member: entities link to a node standing for what they share, so the
-number of triplets stays linear in the input.
+member by member: entities link to a node standing for what they share, or to one
+of those equal to them, so that the number of triplets stays linear in the input; only
+similarity lists pairs, between distinct vectors.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from edgeline.operators.similarity import BUCKET_ROWS, distinct_vectors, similar_vectors, sound_vectors
 from edgeline.runtime import broadcast_if_small, lookup, materialize
 from edgeline.schema import TRIPLET_SCHEMA, conform
 
@@ -334,6 +336,95 @@ def cosine_triplets(
     )
 
 
+def similar_pair_triplets(
+    df: DataFrame, id: Column, id_type: str, vector: str, threshold: float, bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """Pairs of entities whose vectors reach the cosine threshold, and entities with equal vectors.
+
+    Pairs link the smallest entity of each distinct vector (SIMILAR_TO, the smaller one as
+    subject); every other entity is linked to the one whose vector it has (SAME_VECTOR), so a
+    group of equal vectors has a row for each member, not for each pair. Only vectors of
+    one length are compared; those that are null, zero or not finite take no part.
+    """
+    vectors, copies, n = distinct_vectors(sound_vectors(df, id, vector))
+    pairs, seen = materialize(similar_vectors(vectors, n, threshold, bucket_rows))
+    names = vectors.select("vid", "entity")
+    named = lookup(pairs, "a", names.toDF("a", "one"), by=F.col("b"), rows=seen["rows"], how="inner")
+    named = lookup(named, "b", names.toDF("b", "two"), by=F.col("a"), rows=seen["rows"], how="inner")
+    links = named.select(
+        F.least("one", "two").alias("subject"), F.greatest("one", "two").alias("object"),
+        F.lit("SIMILAR_TO").alias("predicate"), F.least(F.lit(1.0), "cosine").alias("cosine"),
+    )
+    same = copies.select(
+        F.col("same_as").alias("subject"), F.col("entity").alias("object"), F.lit("SAME_VECTOR").alias("predicate"), F.lit(1.0).alias("cosine")
+    )
+    rows = links.unionByName(same)
+    return make_triplets(
+        rows, F.col("subject"), id_type, F.col("predicate"), F.col("object"), id_type, F.col("cosine"), "ml_clustering", "cosine_similarity"
+    )
+
+
+def placed_triplets(df: DataFrame, id: Column, id_type: str, vector: str, centres: DataFrame) -> DataFrame:
+    """Each entity linked to the nearest of the given centres (cluster, centre); equally near ones by the smaller cluster.
+
+    Confidence is the cosine to the centre, at least 0. The centres are a table of a
+    clustering's size, met by every entity.
+    """
+    listed = centres.agg(F.collect_list(F.struct("cluster", "centre")).alias("centres"))
+    rows = df.filter(F.col(vector).isNotNull()).select(id.cast("string").alias("entity"), F.col(vector).cast("array<double>").alias("v"))
+    one = F.lit(1).alias("one")
+    # One row with all centres, met by an equality.
+    met = rows.select("*", one).join(F.broadcast(listed.select("*", one)), "one")
+
+    def far(centre: Column) -> Column:
+        return F.aggregate(F.zip_with("v", centre, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)
+
+    best = F.array_min(F.transform("centres", lambda c: F.struct(far(c["centre"]).alias("far"), c["cluster"].alias("cluster"), c["centre"].alias("centre"))))
+    placed = met.withColumn("best", best).select("entity", "v", "best.cluster", "best.centre")
+    best = placed.withColumn("cosine", cosine(F.col("v"), F.col("centre")))
+    return make_triplets(
+        best, F.col("entity"), id_type, "IN_CLUSTER", F.concat(F.lit("CLUSTER:"), F.col("cluster").cast("string")), "Cluster",
+        F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce("cosine", F.lit(0.0)))), "ml_clustering", "nearest_centre",
+    )
+
+
+def all_fk_triplets(
+    tables: dict[str, DataFrame], keys: DataFrame, found: DataFrame, types: dict[str, str] | None = None
+) -> DataFrame:
+    """Triplets for every foreign key that was found, out of the tables' own keys.
+
+    `keys` is the result of `entity_keys`, `found` that of `foreign_keys`. A table with a key
+    links each of its rows to the rows its foreign keys name; one without (an association) links what its
+    first foreign key names to what the others name. Entities are `<table>:<key>`, typed by
+    `types` or the table's name, and predicates the foreign key's column in capitals.
+    """
+    # Both have a row per column (pair) of the schema.
+    own = {}
+    for r in keys.orderBy(F.desc("id_like"), "table_name", "column_name").collect():
+        own.setdefault(r["table_name"], r["column_name"])
+    links: dict[str, list] = {}
+    for r in found.collect():
+        links.setdefault(r["child_table"], []).append(r)
+    parts = []
+    for child, rows in sorted(links.items()):
+        order = {c: i for i, c in enumerate(tables[child].columns)}
+        rows.sort(key=lambda r: (order[r["child_column"]], r["parent_table"], r["parent_column"]))
+        if child in own:
+            subject, subject_of, targets = own[child], child, [r for r in rows if r["child_column"] != own[child]]
+        else:
+            subject, subject_of, targets = rows[0]["child_column"], rows[0]["parent_table"], rows[1:]
+        for r in targets:
+            spec = ForeignKey(
+                subject, (types or {}).get(subject_of, subject_of), r["child_column"], r["parent_column"],
+                (types or {}).get(r["parent_table"], r["parent_table"]), r["child_column"].upper(),
+                f"{subject_of}:", f"{r['parent_table']}:",
+            )
+            parts.append(fk_triplets(tables[child], tables[r["parent_table"]], spec))
+    if not parts:
+        raise ValueError("no foreign keys")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def topology_triplets(centrality: DataFrame, communities: DataFrame, n: int = 10) -> DataFrame:
     """The n best connected and the n most bridging entities, and everyone's community."""
 
