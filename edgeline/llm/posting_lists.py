@@ -18,12 +18,18 @@ from edgeline.runtime import materialize
 SAMPLE_ROWS = 20_000
 MAX_LISTS = 4096
 ROWS_PER_LIST = 200
-# A vector goes into every list whose centroid is at most this many times as far as the
-# nearest one, unless a nearer centroid already taken is closer to it; 8 lists at most.
-REPLICA_RATIO = 1.12
+# Boundary vectors go into further lists, MEAN_REPLICAS lists a vector on average over the
+# sample and MAX_REPLICAS at most.
+MEAN_REPLICAS = 2.0
 MAX_REPLICAS = 8
-# A query reads every list whose centroid is at most this many times as far as the nearest.
-SEARCH_RATIO = 1.12
+# A further list is left out only if its centroid is nearer to that of a list already taken
+# than this part of the usual distance between neighbouring centroids.
+SAME_PLACE = 0.5
+# Share of the sample's true neighbours that the lists read must hold. Neighbours among all
+# rows are nearer than those in a sample, so that more of them are found.
+TARGET_RECALL = 0.95
+# Sampled rows asked for their neighbours in the sample when the ratios are chosen.
+HELD_OUT = 400
 # Rows of one list that are compared with rows of queries in one step.
 BLOCK_ROWS = 20_000
 
@@ -35,6 +41,9 @@ class Index:
     entries: np.ndarray  # where a search begins
     norm: float  # the largest norm of an indexed vector
     dims: int
+    spacing: float = 0.0  # the median distance of a centroid from its nearest one
+    replica_ratio: float = 1.0  # lists up to so many times as far as the nearest one hold a vector too
+    search_ratio: float = 1.0  # and are read for a query
 
     def lift(self, vectors: np.ndarray) -> np.ndarray:
         """Indexed vectors with one more coordinate that gives all the same norm: nearest is then largest inner product."""
@@ -87,22 +96,53 @@ class Index:
         return found[rows, order], far[rows, order]
 
     def postings(self, vectors: np.ndarray) -> list[list[int]]:
-        """The lists of each indexed vector."""
-        found, far = self.search(self.lift(vectors), 2 * MAX_REPLICAS)
+        """The lists of each indexed vector: the nearest one and, for those between several, the others."""
+        return self.spread(*self.search(self.lift(vectors), 2 * MAX_REPLICAS))
+
+    def spread(self, found: np.ndarray, far: np.ndarray) -> list[list[int]]:
         out = []
         for near, distances in zip(found, far):
             taken: list[int] = []
             for c, d in zip(near.tolist(), distances.tolist()):
-                if c < 0 or d > REPLICA_RATIO * distances[0] or len(taken) == MAX_REPLICAS:
+                if c < 0 or d > self.replica_ratio * distances[0] or len(taken) == MAX_REPLICAS:
                     break
                 apart = ((self.centroids[taken] - self.centroids[c]) ** 2).sum(axis=1)
-                if not len(apart) or (apart >= d * d).all():
+                if not len(apart) or (apart >= (SAME_PLACE * self.spacing) ** 2).all():
                     taken.append(c)
             out.append(taken)
         return out
 
-    def probes(self, vectors: np.ndarray, ratio: float) -> list[list[int]]:
+    def tune(self, sample: np.ndarray, k: int, target: float, rng: np.random.Generator) -> None:
+        """Choose both ratios by the sample: so many replicas on average, and the least search that finds so many neighbours."""
+        points = self.lift(sample)
+        found, far = self.search(points, 2 * MAX_REPLICAS)
+        if len(self.centroids) < 2:
+            return
+        ratios = np.where(found >= 0, far, np.inf) / np.maximum(far[:, :1], 1e-300)
+        # Of all further lists of the sample, nearest first, so many that the average is met.
+        wanted = int((MEAN_REPLICAS - 1) * len(sample))
+        further = np.sort(ratios[:, 1:MAX_REPLICAS].ravel())
+        self.replica_ratio = float(further[min(wanted, len(further) - 1)])
+        lists = self.spread(found, far)
+        asked = rng.choice(len(sample), min(HELD_OUT, len(sample)), replace=False)
+        asked = asked[(sample[asked] != 0).any(axis=1)]
+        centres = self.lift_queries(sample[asked])
+        apart = np.sqrt(
+            np.maximum((self.centroids**2).sum(axis=1) - 2 * centres @ self.centroids.T + (centres**2).sum(axis=1)[:, None], 0)
+        )
+        apart /= np.maximum(apart.min(axis=1, keepdims=True), 1e-300)
+        scores = sample[asked] @ sample.T
+        scores[np.arange(len(asked)), asked] = -np.inf
+        k = min(k, len(sample) - 1)
+        best = np.argpartition(-scores, k - 1, axis=1)[:, :k] if k else np.zeros((len(asked), 0), int)
+        # The ratio at which a search comes to a list of each true neighbour.
+        needed = np.array([apart[i, lists[row]].min() for i, rows in enumerate(best) for row in rows])
+        if len(needed):
+            self.search_ratio = float(np.quantile(needed, target, method="higher")) * (1 + 1e-9)
+
+    def probes(self, vectors: np.ndarray) -> list[list[int]]:
         """The lists each query reads; the walk widens until it has passed the ratio or seen every list."""
+        ratio = self.search_ratio
         points, lists = self.lift_queries(vectors), len(self.centroids)
         out: list[list[int]] = [[] for _ in vectors]
         left, width = np.arange(len(vectors)), 32
@@ -162,19 +202,24 @@ def reached(neighbours: np.ndarray, entries: list[int]) -> np.ndarray:
     return seen
 
 
-def fit(sample: np.ndarray, rows: int, norm: float, seed: int = 1) -> Index:
-    """Lists for `rows` vectors from a sample of them."""
+def fit(sample: np.ndarray, rows: int, norm: float, k: int = 20, target: float = TARGET_RECALL, seed: int = 1) -> Index:
+    """Lists for `rows` vectors from a sample of them, with ratios chosen for the k nearest."""
     index = Index(np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0), norm, sample.shape[1])
     points = index.lift(sample)
     wanted = min(MAX_LISTS, max(1, rows // ROWS_PER_LIST), len(points))
     lists = 1 << wanted.bit_length() - 1
-    groups = halves(points, np.arange(len(points)), lists, np.random.default_rng(seed))
+    rng = np.random.default_rng(seed)
+    groups = halves(points, np.arange(len(points)), lists, rng)
     index.centroids = np.stack([points[g].mean(axis=0) for g in groups])
     index.neighbours = graph_of(index.centroids)
+    if len(groups) > 1:
+        nearest_one = index.centroids[index.neighbours[:, 0]]
+        index.spacing = float(np.median(np.sqrt(((index.centroids - nearest_one) ** 2).sum(axis=1))))
     entries = list(range(0, len(groups), max(1, len(groups) // 16)))
     while not (seen := reached(index.neighbours, entries)).all():
         entries.append(int(np.flatnonzero(~seen)[0]))
     index.entries = np.array(entries)
+    index.tune(sample, k, target, rng)
     return index
 
 
@@ -211,24 +256,45 @@ def dealt(rows: DataFrame, lists_of, dims: int) -> DataFrame:
     return rows.mapInArrow(deal, LISTED)
 
 
-def best_of_block(ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, query_id: int, scores: np.ndarray, k: int):
-    """The k best rows of a block by exact score, then id; an id counts once, the query's own never."""
-    allowed = np.flatnonzero(ids != query_id)
-    scores = scores[allowed]
-    if len(allowed) > 4 * k:
-        least = np.partition(scores, len(scores) - 4 * k)[len(scores) - 4 * k]
-        allowed = allowed[scores >= least - 1e-9 * (1 + abs(least))]
-    exact = np.einsum("ij,j->i", vectors[allowed], query)
-    order = np.lexsort((ids[allowed], -exact))
-    chosen, seen = [], set()
-    for i in order.tolist():
-        name = int(ids[allowed[i]])
-        if name not in seen:
-            seen.add(name)
-            chosen.append((name, float(exact[i])))
-            if len(chosen) == k:
-                break
-    return chosen, len(allowed) == np.count_nonzero(ids != query_id)
+def best_of_block(ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int):
+    """For each query the k best rows of a block by exact score, then id; ids are distinct, the query's own is left out.
+
+    Products of matrices choose a few more rows than k, as far as rounding could matter;
+    those are scored by themselves.
+    """
+    rough = queries @ vectors.T
+    own = ids[None, :] == query_ids[:, None]
+    rough[own] = -np.inf
+    wide = min(len(ids), 2 * k + 8)
+    near = np.argpartition(-rough, wide - 1, axis=1)[:, :wide]
+    if wide < len(ids):
+        least = np.take_along_axis(rough, near, 1).min(axis=1)
+        kth = -np.sort(-np.take_along_axis(rough, near, 1), axis=1)[:, k - 1]
+        unclear = np.isfinite(kth) & (kth - least <= 1e-9 * (1 + np.abs(kth)))
+    else:
+        unclear = np.zeros(len(queries), bool)
+    exact = np.einsum("qwd,qd->qw", vectors[near], queries)
+    exact[np.take_along_axis(own, near, 1)] = -np.inf
+    order = np.lexsort((ids[near], -exact), axis=1)[:, :k]
+    names, scores = np.take_along_axis(ids[near], order, 1), np.take_along_axis(exact, order, 1)
+    for q in range(len(queries)):
+        if unclear[q]:  # many rows as good as the last one
+            all_exact = np.einsum("nd,d->n", vectors, queries[q])
+            all_exact[own[q]] = -np.inf
+            best = np.lexsort((ids, -all_exact))[:k]
+            yield ids[best][np.isfinite(all_exact[best])], all_exact[best][np.isfinite(all_exact[best])]
+        else:
+            sound = np.isfinite(scores[q])
+            yield names[q][sound], scores[q][sound]
+
+
+def rows_apart(ids: np.ndarray) -> list[np.ndarray]:
+    """Rows in parts within which no id repeats; one part where none does."""
+    order = np.argsort(ids, kind="stable")
+    firsts = np.flatnonzero(np.diff(ids[order], prepend=ids[order][:1] - 1)) if len(ids) else order
+    nth = np.empty(len(ids), np.int64)
+    nth[order] = np.arange(len(ids)) - np.repeat(firsts, np.diff(firsts, append=len(ids)))
+    return [np.flatnonzero(nth == i) for i in range(int(nth.max(initial=-1)) + 1)]
 
 
 def search_blocks(stored: DataFrame, asked: DataFrame, dims: int, k: int, block_rows: int) -> DataFrame:
@@ -255,19 +321,18 @@ def search_blocks(stored: DataFrame, asked: DataFrame, dims: int, k: int, block_
         names = ["query_id", "vec_ids", "scores"]
         out: list[list] = [[], [], []]
         if left.num_rows and right.num_rows:
-            ids = left["vec_id"].to_numpy()
-            vectors = matrix(left["vector"].combine_chunks(), dims)
+            all_ids = left["vec_id"].to_numpy()
+            all_vectors = matrix(left["vector"].combine_chunks(), dims)
             asked_ids = right["vec_id"].to_numpy()
             points = matrix(right["vector"].combine_chunks(), dims)
-            for at in range(0, len(points), 256):
-                scores = points[at : at + 256] @ vectors.T
-                for q, query in enumerate(points[at : at + 256]):
-                    chosen, whole = best_of_block(ids, vectors, query, int(asked_ids[at + q]), scores[q], k)
-                    if len(chosen) < k and not whole:  # ids that repeat: look at all rows
-                        chosen, _ = best_of_block(ids, vectors, query, int(asked_ids[at + q]), scores[q], len(ids))
-                    out[0].append(int(asked_ids[at + q]))
-                    out[1].append([c for c, _ in chosen[:k]])
-                    out[2].append([s for _, s in chosen[:k]])
+            for part in rows_apart(all_ids):
+                ids, vectors = all_ids[part], all_vectors[part]
+                for at in range(0, len(points), 256):
+                    own = asked_ids[at : at + 256]
+                    out[0] += own.tolist()
+                    for found, scores in best_of_block(ids, vectors, points[at : at + 256], own, k):
+                        out[1].append(found)
+                        out[2].append(scores)
         kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()))
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
 
@@ -302,16 +367,20 @@ def nearest(
     k: int = 20,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
-    ratio: float = SEARCH_RATIO,
+    target_recall: float = TARGET_RECALL,
     sample_rows: int = SAMPLE_ROWS,
     block_rows: int = BLOCK_ROWS,
+    report: dict | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query the k rows of largest inner product that its lists hold.
 
     Scores are exact, on the original vectors in double precision; equal ones are ranked
     by vec_id. A query's own id is no neighbour. Lists are fitted on about `sample_rows`
-    rows and hold every row; which ones a query reads is decided by distance alone. A
-    query whose lists hold under k rows reads all lists. Rows with a null id, and vectors
+    rows and hold every row, boundary vectors several times; a query reads the lists up to
+    a ratio of distances, the least at which the lists of held-out sampled rows hold
+    `target_recall` of their neighbours in the sample. `report` is given the mean number of
+    lists of a row, both ratios, and the share of the rows that a query reads on average.
+    A query whose lists hold under k rows reads all lists. Rows with a null id, and vectors
     that are null, zero, empty, of another length than most, or hold null or non-finite
     components take no part. A repeated id counts once, by its best score. Other columns
     are ignored.
@@ -332,12 +401,18 @@ def nearest(
     sample = rows.filter(chance).select("vector").limit(2 * sample_rows).toArrow()
     if not sample.num_rows:
         sample = rows.select("vector").limit(1).toArrow()
-    index = fit(matrix(sample["vector"].combine_chunks(), dims), count, norm)
+    index = fit(matrix(sample["vector"].combine_chunks(), dims), count, norm, k, target_recall)
     shared = spark.sparkContext.broadcast(index)
 
     asked = usable(queries, id_col, vec_col).filter(F.size("vector") == dims)
-    stored, _ = materialize(dealt(rows, lambda v: shared.value.postings(v), dims))
-    probes, _ = materialize(dealt(asked, lambda v: shared.value.probes(v, ratio), dims))
+    stored, held = materialize(dealt(rows, lambda v: shared.value.postings(v), dims))
+    probes, read = materialize(dealt(asked, lambda v: shared.value.probes(v), dims))
+    if report is not None:
+        sizes = stored.groupBy("list").agg(F.count(F.lit(1)).alias("n"))
+        met = probes.join(F.broadcast(sizes), "list").agg(F.sum("n").alias("met"), F.count_distinct("vec_id").alias("queries")).first()
+        report |= {"lists": len(index.centroids), "replicas": held["rows"] / count, "probes": read["rows"] / max(met["queries"], 1)}
+        report |= {"replica_ratio": index.replica_ratio, "search_ratio": index.search_ratio}
+        report["share_read"] = (met["met"] or 0) / max(met["queries"], 1) / count
     scored, _ = materialize(search_blocks(stored, probes, dims, k, block_rows))
     counts = scored.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
     short = asked.join(counts, asked["vec_id"] == counts["query_id"], "left_anti")

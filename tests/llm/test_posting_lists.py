@@ -48,6 +48,41 @@ def test_recall_and_exact_scores(spark):
     assert got[0][0][1] == pytest.approx(want[0][0][1], abs=1e-12)
 
 
+def families(n, dims=64, centres=80, spread=0.35, seed=4):
+    """Unit vectors around centres, and a quarter of them between two."""
+    rng = np.random.default_rng(seed)
+    means = rng.normal(size=(centres, dims))
+    one, two = rng.integers(centres, size=(2, n))
+    part = np.where(rng.random(n) < 0.25, rng.uniform(0.3, 0.5, n), 0)[:, None]
+    points = means[one] * (1 - part) + means[two] * part + spread * rng.normal(size=(n, dims))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    return [(i, [float(x) for x in v]) for i, v in enumerate(points.astype(np.float32))]
+
+
+def check_64(spark, rows):
+    report = {}
+    got = found(spark, rows, report=report)
+    points = np.array([v for _, v in rows])
+    queries = np.arange(0, len(rows), 20)
+    scores = points[queries] @ points.T
+    scores[np.arange(len(queries)), queries] = -np.inf
+    truth = np.argsort(-scores, axis=1)[:, :20]
+    hits = [len({i for i, _ in got[int(q)]} & set(best.tolist())) / 20 for q, best in zip(queries, truth)]
+    return np.mean(hits), report
+
+
+def test_64_dimensions_read_a_tenth(spark):
+    share, report = check_64(spark, families(20_000))
+    assert share >= 0.9 and report["share_read"] <= 0.1 and report["replicas"] > 1.5, (share, report)
+
+
+def test_64_dimensions_without_families(spark):
+    """Independent directions: no list tells much about a neighbour, so more are read for the same recall."""
+    rows = vectors(4000, 7, 64)
+    share, report = check_64(spark, rows)
+    assert share >= 0.9 and report["replicas"] > 1.5 and report["probes"] < report["lists"], (share, report)
+
+
 def test_odd_vectors_and_ties(spark):
     rows = vectors(60, 1)
     rows += [(100, rows[3][1]), (101, rows[3][1]), (102, None), (103, [0.0] * 8), (104, [float("nan")] * 8), (105, []), (106, [1.0])]
@@ -74,5 +109,6 @@ def test_graph_search_finds_the_nearest_centroids():
     hits = [len(set(found_[i]) & set(np.argsort(exact[i])[:10])) / 10 for i in range(100)]
     assert np.mean(hits) > 0.95
     assert np.allclose(far, np.take_along_axis(exact, found_, 1), atol=1e-6)
+    assert 1.5 < np.mean([len(x) for x in index.postings(points)]) < 2.5
     groups = np.bincount([x[0] for x in index.postings(points)], minlength=len(index.centroids))
     assert groups.max() < 6 * groups.mean()
