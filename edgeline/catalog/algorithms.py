@@ -188,6 +188,59 @@ def _(spark, sf):
     )
 
 
+HUBS = 10
+PLANTED = f"""planted AS (
+  SELECT 'C' || c_custkey AS id, c_nationkey AS nation FROM customer
+  UNION ALL SELECT 'H' || n_nationkey || '_' || h, n_nationkey FROM nation, range({HUBS}) t(h)
+)"""
+
+
+def planted(spark, sf):
+    """Ten hubs a nation, all joined with each other and with its customers; one edge from nation to nation."""
+    nation = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_nationkey").alias("nation"))
+    customer = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_nationkey").alias("nation"), "c_custkey")
+    hubs = F.sequence(F.lit(0), F.lit(HUBS - 1))
+
+    def hub(n, h):
+        return F.concat(F.lit("H"), n.cast("string"), F.lit("_"), h.cast("string"))
+
+    pairs = nation.withColumn("g", F.explode(hubs)).withColumn("h", F.explode(hubs)).filter("g < h")
+    among = pairs.select(hub(F.col("nation"), F.col("g")).alias("src"), hub(F.col("nation"), F.col("h")).alias("dst"))
+    own = customer.withColumn("h", F.explode(hubs)).select(
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("src"), hub(F.col("nation"), F.col("h")).alias("dst")
+    )
+    zero = F.lit(0)
+    bridges = nation.select(hub(F.col("nation"), zero).alias("src"), hub((F.col("nation") + 1) % 25, zero).alias("dst"))
+    rows = among.unionByName(own).unionByName(bridges)
+    return rows.select(
+        F.col("src").alias("subject_id"), F.lit("Node").alias("subject_type"), F.lit("LINKED").alias("predicate"),
+        F.col("dst").alias("object_id"), F.lit("Node").alias("object_type"), F.lit(1.0).alias("confidence"),
+    )
+
+
+@query(
+    "g10_louvain_planted",
+    f"""WITH {PLANTED}, first AS (SELECT nation, min(id) AS first FROM planted GROUP BY nation)
+SELECT id, CAST(dense_rank() OVER (ORDER BY first) - 1 AS BIGINT) AS community_id FROM planted JOIN first USING (nation)""",
+)
+def _(spark, sf):
+    """Communities that any good partition must find, across edges that join them all into one component."""
+    graph = index_graph(planted(spark, sf))
+    return graph.name(louvain.louvain(graph))
+
+
+@query("g10_louvain_moves")
+def _(spark, sf):
+    """No statement: which of several equally good partitions is found depends on the order of moves."""
+    graph = index_graph(_structural(spark, sf))
+    return graph.name(louvain.louvain(graph))
+
+
+@query("g17_entity_communities_moves")
+def _(spark, sf):
+    return results.entity_communities(moves(spark, sf))
+
+
 @query(
     "g11_modularity",
     f"""WITH {STRUCTURAL},
@@ -322,3 +375,12 @@ SELECT id, CAST(dense_rank() OVER (ORDER BY label) - 1 AS BIGINT) AS component_i
 def _(spark, sf):
     graph = index_graph(fk(spark, sf))
     return graph.name(components.connected_components(graph))
+
+
+@query(
+    "g12_betweenness_fk",
+    f"WITH {FK_TABLES}, {betweenness_ctes(pivots=2, levels=12)} SELECT id, round(betweenness, 9) AS betweenness FROM bt",
+)
+def _(spark, sf):
+    graph = index_graph(fk(spark, sf))
+    return graph.name(bt.betweenness(graph, pivots=2)).withColumn("betweenness", F.round("betweenness", 9))

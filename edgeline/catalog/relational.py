@@ -22,7 +22,7 @@ from edgeline.operators.vertices import index_graph
 from edgeline.runtime import scratch_path
 from edgeline.schema import Graph, GraphColumns, conform_registry, conform_triplets, empty_results
 from edgeline.sources import registry as reg
-from edgeline.sources.tables import append_triplets, load_graph, write_result
+from edgeline.sources.tables import append_triplets, load_graph, read_table, write_result
 from edgeline.streaming import incremental
 
 BRIEF = ("subject_id", "predicate", "object_id", "confidence")
@@ -163,7 +163,7 @@ def _(spark, sf):
     communities = results.components_as_communities(index_graph(forest(spark, sf)))
     write_result(communities.select("entity_id"), target)
     write_result(communities, target)
-    return spark.read.parquet(target).select("entity_id", "community_id", "community_size")
+    return read_table(spark, target).select("entity_id", "community_id", "community_size")
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +16,33 @@ def _is_path(ref: str) -> bool:
     return "/" in ref
 
 
+# The file in a published folder that names its current version.
+POINTER = "_current"
+
+
+def _path(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def current_version(spark: SparkSession, target: str) -> str | None:
+    """The folder of a published path that holds its current rows; None where nothing was published."""
+    place, files = _path(spark, f"{target}/{POINTER}")
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        name = bytes(b & 0xFF for b in stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+    return f"{target}/{name}"
+
+
 def read_table(spark: SparkSession, ref: str, format: str = "parquet") -> DataFrame:
-    """A catalog table by qualified name, or files when `ref` is a path."""
-    return spark.read.format(format).load(ref) if _is_path(ref) else spark.table(ref)
+    """A catalog table by qualified name, or files when `ref` is a path; of a published path its current version."""
+    if not _is_path(ref):
+        return spark.table(ref)
+    return spark.read.format(format).load(current_version(spark, ref) or ref)
 
 
 def load_graph(
@@ -35,30 +61,54 @@ def _write(df: DataFrame, target: str, mode: str, partition_by) -> None:
         writer.saveAsTable(target)
 
 
-def write_result(df: DataFrame, target: str, partition_by=()) -> None:
-    """Replace the target; its schema may change.
+def write_result(df: DataFrame, target: str, partition_by=(), keep: int = 2) -> None:
+    """Publish `df` as the new version of the target; its schema may change.
 
-    The rows are written beside the target first and take its place when they are whole,
-    so a failed write leaves the old table as it was.
+    Every version is a folder (or table) of its own that never changes once written. The
+    target is a pointer to one of them: a small file that is replaced in one step, or a
+    view. `read_table` follows it, so a reader finds the old rows or the new ones, always
+    whole, and one that has begun goes on reading the version it found. The `keep` newest
+    versions stay, the older ones go. A failed write publishes nothing.
     """
     spark = df.sparkSession
-    fresh = f"{target}_{uuid.uuid4().hex}"
-    _write(df, fresh, "errorifexists", partition_by)
-    if not _is_path(target):
-        old = f"{target}_{uuid.uuid4().hex}"
-        if spark.catalog.tableExists(target):
-            spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {target}")
-        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    version = f"v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    if _is_path(target):
+        _write(df, f"{target}/{version}", "errorifexists", partition_by)
+        _point(spark, target, version)
+        _forget(spark, target, keep)
         return
-    place, new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (target, fresh, f"{fresh}_old"))
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.exists(place) and not files.rename(place, old):
-        raise OSError(f"{target} can't be replaced")
-    if not files.rename(new, place):
-        files.rename(old, place)
-        raise OSError(f"{target} can't be replaced")
-    files.delete(old, True)
+    _write(df, f"{target}_{version}", "errorifexists", partition_by)
+    known = spark.catalog.tableExists(target)
+    if known and spark.catalog.getTable(target).tableType != "VIEW":
+        # A table from before versions: it becomes the oldest one.
+        spark.sql(f"ALTER TABLE {target} RENAME TO {target}_v{0:020d}_{uuid.uuid4().hex[:8]}")
+    spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {target}_{version}")
+    own = target.split(".")
+    listed = spark.catalog.listTables(".".join(own[:-1]) or None, f"{own[-1]}_v*")
+    names = sorted(t.name for t in listed if re.fullmatch(rf"{re.escape(own[-1])}_v\d{{20}}_[0-9a-f]{{8}}", t.name, re.I))
+    for name in names[:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {'.'.join([*own[:-1], name])}")
+
+
+def _point(spark: SparkSession, target: str, version: str) -> None:
+    """Replace the pointer in one step: written beside it, then renamed over it."""
+    fresh, files = _path(spark, f"{target}/_{uuid.uuid4().hex}")
+    stream = files.create(fresh, False)
+    stream.write(bytearray(version.encode()))
+    stream.close()
+    place, _ = _path(spark, f"{target}/{POINTER}")
+    fs = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    options[0] = fs.Options.Rename.OVERWRITE
+    fs.FileContext.getFileContext(fresh.toUri(), spark._jsc.hadoopConfiguration()).rename(files.makeQualified(fresh), files.makeQualified(place), options)
+
+
+def _forget(spark: SparkSession, target: str, keep: int) -> None:
+    place, files = _path(spark, target)
+    names = sorted(f.getPath().getName() for f in files.listStatus(place) if f.isDirectory())
+    versions = [name for name in names if re.fullmatch(r"v\d{20}_[0-9a-f]{8}", name)]
+    for name in versions[:-keep]:
+        files.delete(_path(spark, f"{target}/{name}")[0], True)
 
 
 def append_triplets(df: DataFrame, target: str, partition_by=()) -> None:

@@ -1,6 +1,9 @@
 """Contracts, sources, registry, streaming and plan shapes."""
 
 import json
+import os
+import threading
+import uuid
 
 import pytest
 from conftest import SF, tuples
@@ -13,7 +16,7 @@ from edgeline.plans.batch import refresh_results
 from edgeline.runtime import broadcast_if_small, ensure_checkpoint_dir, lookup, materialize, scratch_path
 from edgeline.schema import TRIPLET_SCHEMA, Graph, GraphColumns, conform_triplets
 from edgeline.sources.registry import enabled_datasets, registry_upsert
-from edgeline.sources.tables import append_triplets, load_graph, write_result
+from edgeline.sources.tables import append_triplets, load_graph, read_table, write_result
 from edgeline.streaming.incremental import stream_triplets
 
 REGISTRY = (
@@ -86,7 +89,7 @@ def test_registry(spark):
 def test_stream_drops_repeats(spark, hand, tmp_path):
     source, target, state = (str(tmp_path / name) for name in ("in", "out", "state"))
     rows = hand.withColumn("created_at", F.lit("2024-01-01").cast("timestamp"))
-    write_result(rows.unionByName(rows), source)
+    append_triplets(rows.unionByName(rows), source)
     stream_triplets(spark, source, target, state).awaitTermination()
     assert spark.read.parquet(target).count() == 11
     append_triplets(rows.limit(0), source)
@@ -97,8 +100,8 @@ def test_stream_drops_repeats(spark, hand, tmp_path):
 def test_batch_run(spark, hand, tmp_path):
     centrality, communities = str(tmp_path / "centrality"), str(tmp_path / "communities")
     refresh_results(hand, centrality, communities)
-    assert spark.read.parquet(centrality).filter("entity_id = 'b' AND degree = 3").count() == 1
-    sizes = tuples(spark.read.parquet(communities).select("community_id", "community_size").distinct())
+    assert read_table(spark, centrality).filter("entity_id = 'b' AND degree = 3").count() == 1
+    sizes = tuples(read_table(spark, communities).select("community_id", "community_size").distinct())
     assert sorted(sizes) == [(0, 3), (1, 2), (2, 2)]
 
 
@@ -211,6 +214,79 @@ def test_a_failed_refresh_leaves_the_old_table(spark, tmp_path):
     write_result(spark.range(3), target)
     with pytest.raises(Exception):
         write_result(spark.range(3).withColumn("x", F.raise_error(F.lit("stop"))), target)
-    assert spark.read.parquet(target).count() == 3
+    assert read_table(spark, target).count() == 3
     write_result(spark.range(5), target)
-    assert spark.read.parquet(target).count() == 5
+    assert read_table(spark, target).count() == 5
+
+
+def test_a_reader_finds_one_whole_table_through_refreshes(spark, tmp_path):
+    """Readers that begin at any moment, and one that began before the refresh."""
+    target = str(tmp_path / "table")
+    write_result(spark.range(10).withColumn("round", F.lit(0)), target)
+    begun = read_table(spark, target)
+    stop, found = threading.Event(), []
+
+    def read():
+        while not stop.is_set():
+            rows = read_table(spark, target).groupBy("round").count().collect()
+            found.append([(r["round"], r["count"]) for r in rows])
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(1, 6):
+        write_result(spark.range(10 + n).withColumn("round", F.lit(n)), target, keep=3)
+        if n == 1:
+            assert begun.count() == 10
+    stop.set()
+    reader.join()
+    assert found and all(len(rows) == 1 and rows[0][1] == 10 + rows[0][0] for rows in found)
+    assert len(os.listdir(target)) - len([f for f in os.listdir(target) if f.startswith((".", "_"))]) == 3
+
+
+def test_published_tables_are_views_of_versions(spark):
+    name = f"published_{uuid.uuid4().hex[:8]}"
+    try:
+        spark.range(2).write.saveAsTable(name)  # from before versions
+        for n in (3, 4, 5):
+            write_result(spark.range(n).withColumn("n", F.lit(n)), name)
+            assert read_table(spark, name).count() == n
+        assert len([t for t in spark.catalog.listTables() if t.name.startswith(f"{name}_v")]) == 2
+    finally:
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
+        for t in spark.catalog.listTables():
+            if t.name.startswith(f"{name}_v"):
+                spark.sql(f"DROP TABLE {t.name}")
+
+
+def test_stream_keeps_its_state_over_restarts(spark, hand, tmp_path):
+    source, target, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+
+    def dated(day, method):
+        return hand.withColumns({"created_at": F.lit(day).cast("timestamp"), "source_method": F.lit(method)})
+
+    before, new, late = dated("2024-01-01", "before"), dated("2024-01-05", "new"), dated("2023-01-01", "late")
+    undated = dated(None, "undated")
+    append_triplets(before, target)
+    append_triplets(new.unionByName(before), source)
+    stream_triplets(spark, source, target, state).awaitTermination()
+    assert spark.read.parquet(target).count() == 22
+    # The state, not the target, knows what came: take the target away.
+    os.rename(target, target + "_away")
+    append_triplets(new.unionByName(late).unionByName(undated).unionByName(undated).unionByName(before), source)
+    stream_triplets(spark, source, target, state).awaitTermination()
+    assert spark.read.parquet(target).count() == 22
+    assert sorted(r[0] for r in spark.read.parquet(target).select("source_method").distinct().collect()) == ["late", "undated"]
+
+
+def test_a_batch_that_is_run_again_adds_nothing_twice(spark, hand, tmp_path):
+    source, target, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    rows = hand.withColumn("created_at", F.lit("2024-01-01").cast("timestamp"))
+    append_triplets(rows, source)
+    stream_triplets(spark, source, target, state).awaitTermination()
+    assert spark.read.parquet(target).count() == 11
+    # As after a failure between writing and committing.
+    os.remove(f"{state}/commits/0")
+    if os.path.exists(f"{state}/commits/.0.crc"):
+        os.remove(f"{state}/commits/.0.crc")
+    stream_triplets(spark, source, target, state).awaitTermination()
+    assert spark.read.parquet(target).count() == 11
