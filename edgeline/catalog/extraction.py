@@ -62,7 +62,7 @@ TABLES = {
         "props": "string",
     },
     "documents": {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"},
-    "embeddings": {"vec_id": "bigint", "label": "int"},
+    "embeddings": {"vec_id": "bigint", "embedding": "array<float>", "label": "int"},
     "pages": {"page_id": "bigint", "url": "string", "html": "string"},
     "benchmark": {"item_id": "bigint", "text": "string"},
     "labels": {"doc_id": "bigint", "quality": "int", "toxic": "int"},
@@ -73,10 +73,13 @@ TRIPLET_NAMES = TRIPLET_TEXT.split(", ")
 
 
 def _profile_sql() -> str:
+    def end(which: str, column: str, kind: str) -> str:
+        return "CAST(NULL AS VARCHAR)" if kind.startswith("array") else f"CAST({which}({column}) AS VARCHAR)"
+
     parts = [
         f"""SELECT '{name}' AS table_name, '{column}' AS column_name, '{kind}' AS data_type, count(*) AS n_rows,
 count(*) - count({column}) AS n_nulls, count(DISTINCT {column}) AS n_distinct,
-CAST(min({column}) AS VARCHAR) AS min_value, CAST(max({column}) AS VARCHAR) AS max_value FROM {name}"""
+{end('min', column, kind)} AS min_value, {end('max', column, kind)} AS max_value FROM {name}"""
         for name, columns in TABLES.items()
         for column, kind in columns.items()
     ]
@@ -101,7 +104,6 @@ FROM met JOIN sizes ON sizes.t = child_table AND sizes.c = child_column WHERE n_
 
 
 def _tables(spark, sf):
-    """The vectors are left out: a mean or a largest vector says nothing."""
     return {name: table(spark, sf, name).select(*columns) for name, columns in TABLES.items()}
 
 
@@ -126,7 +128,7 @@ def _(spark, sf):
 @query("k3_foreign_keys", _foreign_key_sql())
 def _(spark, sf):
     tables = _tables(spark, sf)
-    keys = saved(profiling.entity_keys(profiling.profile(tables)))
+    keys = saved(profiling.key_columns(tables))
     return rounded(profiling.foreign_keys(tables, keys), "containment")
 
 
@@ -165,7 +167,7 @@ WHERE {key} IS NOT NULL AND {column} IN (SELECT {parent_key} FROM {parent})"""
 def _(spark, sf):
     names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
     tables = {name: table(spark, sf, name) for name in names}
-    keys = saved(profiling.entity_keys(profiling.profile(tables)))
+    keys = saved(profiling.key_columns(tables))
     found = profiling.foreign_keys(tables, keys)
     # Small numbers are contained in many keys; those meant are named alike.
     alike = F.substring_index("child_column", "_", -1) == F.substring_index("parent_column", "_", -1)
