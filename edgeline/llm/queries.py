@@ -49,7 +49,7 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+    return quotes.reply_ordered(quotes.link_quotes(table(spark, sf_dir, "conversations")))
 
 
 def op4_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,11 @@
-"""Quotation linking: quoted lines find the messages they come from, and conversations lose their quotes."""
+"""Quotation linking: quoted passages find the messages they come from, and conversations lose their quotes."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from edgeline.runtime import materialize
+from edgeline.runtime import lookup, materialize
 
 SPACE = r"\x20\x09-\x0D"
 # How a quoted line begins, and the line that announces a quotation.
@@ -44,18 +44,103 @@ def with_lines(messages: DataFrame, text: str) -> DataFrame:
     return split.withColumn("__lines", marked).drop("__split")
 
 
-def linked_lines(lines: DataFrame) -> DataFrame:
-    """(conv, turn, level, n, source): of each quoted line the latest earlier turn whose own lines have it, or null.
+# Turns of a conversation that are put in order together.
+RANGE_TURNS = 1024
 
-    `lines` has conv, turn, level, own and line. Own and quoted lines of one hash are put
-    in order of turn, and each quoted one takes the last own one before it, so no pairs
-    are made; copies of a line in one turn count as one row before they are dealt out.
+
+def with_passages(messages: DataFrame) -> DataFrame:
+    """Add `own`, the hashes of a message's own lines, and `passages`: quote level and line hashes of each quotation.
+
+    A passage is a run of lines of one level; lines without words are left out of it. Every
+    step stands in a projection of its own, since what a lambda refers to would otherwise
+    be worked out anew for each element.
+    """
+    normal_lines = F.transform("__lines", lambda x: F.struct(x["level"].alias("level"), x["own"].alias("own"), normal(x["body"]).alias("line")))
+    hashed = F.transform(
+        "__normal",
+        lambda x: F.struct(
+            x["level"].alias("level"),
+            x["own"].alias("own"),
+            F.when((x["line"] != "") & (x["own"] | (x["level"] > 0)), F.xxhash64(x["line"])).alias("hash"),
+        ),
+    )
+    begins = F.filter(
+        F.sequence(F.lit(0), F.size("__hashed") - 1),
+        lambda i: (i == 0) | (F.get("__hashed", i)["level"] != F.get("__hashed", i - 1)["level"]),
+    )
+
+    def run(start: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("__begins", k + 1), F.size("__hashed"))
+        worded = F.filter(F.slice("__hashed", start + 1, end - start), lambda x: x["hash"].isNotNull())
+        return F.struct(F.get("__hashed", start)["level"].alias("level"), F.transform(worded, lambda x: x["hash"]).alias("lines"))
+
+    own = F.transform(F.filter("__hashed", lambda x: x["own"] & x["hash"].isNotNull()), lambda x: x["hash"])
+    keyed = messages.withColumn("__normal", normal_lines).withColumn("__hashed", hashed).withColumn("__begins", begins)
+    keyed = keyed.withColumns({"own": own, "__runs": F.transform("__begins", run)})
+    passages = F.filter("__runs", lambda x: (x["level"] > 0) & (F.size(x["lines"]) > 0))
+    return keyed.withColumn("passages", passages).drop("__normal", "__hashed", "__begins", "__runs")
+
+
+def last_before(keyed: DataFrame) -> DataFrame:
+    """(conv, turn, level, n, key, lines, source): for each quoted key the latest earlier turn that has it as its own, or null.
+
+    `keyed` has conv, turn, key, own, level, n and lines. Own and quoted rows of one key are
+    put in order of turn, and each quoted one takes the last own one before it, so no pairs
+    are made. The turns of a conversation are ordered by ranges, and what earlier ranges end
+    with is carried over, so a key that most of its messages have is dealt over tasks.
+    """
+    ranged = keyed.withColumn("range", F.floor(F.col("turn") / RANGE_TURNS))
+    place = ["conv", "key", "range"]
+    inside = Window.partitionBy(*place).orderBy("turn", "own").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = ranged.withColumn("near", F.max(F.when(F.col("own"), F.col("turn"))).over(inside))
+    ends = ranged.filter("own").groupBy(*place).agg(F.max("turn").alias("end"))
+    wanted = ranged.filter(~F.col("own")).select(*place).distinct().withColumn("end", F.lit(None).cast("long"))
+    # One row per key and range.
+    steps = ends.unionByName(wanted).groupBy(*place).agg(F.max("end").alias("end"))
+    earlier = Window.partitionBy("conv", "key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    carried, _ = materialize(steps.select(*place, F.max("end").over(earlier).alias("carried")).filter("carried IS NOT NULL"))
+    quoted = ranged.filter(~F.col("own")).join(carried, place, "left")
+    return quoted.select("conv", "turn", "level", "n", "key", "lines", F.coalesce("near", "carried").alias("source"))
+
+
+def linked_passages(messages: DataFrame) -> DataFrame:
+    """(conv, turn, level, n, source): numbers of quoted lines by the latest earlier turn that they come from, or null.
+
+    `messages` has conv, turn, own and passages, written. A passage comes from a message whose
+    own lines hold it in one piece; the messages of a conversation give the hashes of
+    their runs of just the lengths that its passages have. The lines of a passage that is
+    found nowhere are looked up one by one.
     """
-    keyed = lines.withColumn("hash", F.xxhash64("line"))
-    counted = keyed.groupBy("conv", "hash", "turn", "own", "level").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("conv", "hash").orderBy("turn", "own").rowsBetween(Window.unboundedPreceding, -1)
-    source = F.max(F.when(F.col("own"), F.col("turn"))).over(before)
-    return counted.withColumn("source", source).filter(~F.col("own")).select("conv", "turn", "level", "n", "source")
+    blank = F.lit(None).cast("array<long>")
+    passages = messages.select("conv", "turn", F.inline("passages").alias("level", "lines"))
+    counted = passages.groupBy("conv", "turn", "level", "lines").agg(F.count(F.lit(1)).alias("times"))
+    quoted = counted.select(
+        "conv", "turn", F.xxhash64("lines").alias("key"), F.lit(False).alias("own"), "level",
+        (F.col("times") * F.size("lines")).alias("n"), "lines",
+    )
+    quoted, _ = materialize(quoted)
+    # One row per conversation, with the different lengths of its passages.
+    lengths, _ = materialize(quoted.groupBy("conv").agg(F.collect_set(F.size("lines")).alias("lengths")))
+    texts = messages.filter(F.size("own") > 0).select("conv", "turn", F.col("own").alias("whole"))
+    met = lookup(texts, "conv", lengths, by=F.col("turn"), how="inner")
+    each = met.select("conv", "turn", "whole", F.explode("lengths").alias("m")).filter(F.size("whole") >= F.col("m"))
+    keys = F.transform(F.sequence(F.lit(1), F.size("whole") - F.col("m") + 1), lambda i: F.xxhash64(F.slice("whole", i, F.col("m"))))
+    zero = F.lit(0)
+    windows = each.select("conv", "turn", F.explode(keys).alias("key")).distinct()
+    windows = windows.select("conv", "turn", "key", F.lit(True).alias("own"), zero.alias("level"), zero.cast("long").alias("n"), blank.alias("lines"))
+    found, seen = materialize(last_before(windows.unionByName(quoted)), left=F.count_if(F.col("source").isNull()))
+    linked = found.filter("source IS NOT NULL").select("conv", "turn", "level", "n", "source")
+    if not seen["left"]:
+        return linked
+    times = F.col("n") / F.size("lines")
+    lost = found.filter("source IS NULL").select("conv", "turn", "level", times.cast("long").alias("times"), F.explode("lines").alias("key"))
+    lost = lost.groupBy("conv", "turn", "level", "key").agg(F.sum("times").alias("n"))
+    lost = lost.select("conv", "turn", "key", F.lit(False).alias("own"), "level", "n", blank.alias("lines"))
+    singles = texts.select("conv", "turn", F.explode("whole").alias("key")).distinct()
+    singles = singles.join(lost.select("conv", "key").distinct(), ["conv", "key"], "left_semi")
+    singles = singles.select("conv", "turn", "key", F.lit(True).alias("own"), zero.alias("level"), zero.cast("long").alias("n"), blank.alias("lines"))
+    by_line = last_before(singles.unionByName(lost)).select("conv", "turn", "level", "n", "source")
+    return linked.unionByName(by_line)
 
 
 def thread_places(parents: DataFrame) -> DataFrame:
@@ -80,14 +165,15 @@ def link_quotes(
     """One row per row of `messages`: where it stands in its thread, and its text without quotes.
 
     conv_id, turn, role; parent_turn: the earlier message it quotes, by its outermost level
-    with a line that is known, then by most lines, then the latest; root_turn and depth:
+    with a passage or line that is known, then by most lines, then the latest; root_turn and depth:
     the start of its thread and its distance from it; n_quoted_lines and n_linked_lines;
     text: its own lines, without announcements of quotations and outer white space; chat:
     the text after its role's mark. In order of conv_id, root_turn, depth and turn every
     message follows the one it replies to.
 
-    Quoted lines are compared by hash within their conversation, without regard to case
-    and white space. A null or empty text has no lines. Rows with a null conversation or
+    Quoted passages are looked up by hash within their conversation, without regard to case,
+    white space and lines without words; lines by themselves only where no message has the
+    whole passage. A null or empty text has no lines. Rows with a null conversation or
     turn, and messages that quote nothing known, start threads. Rows that share a
     conversation and turn are one place in the thread, whose lines count together; each
     keeps its own text. Further columns are ignored.
@@ -99,10 +185,9 @@ def link_quotes(
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
     parsed = with_lines(rows, "text")
-    each = parsed.filter("conv IS NOT NULL AND turn IS NOT NULL").select("conv", "turn", F.explode("__lines").alias("x"))
-    each = each.select("conv", "turn", F.col("x.level").alias("level"), F.col("x.own").alias("own"), normal(F.col("x.body")).alias("line"))
-    known = each.filter((F.col("line") != "") & (F.col("own") | (F.col("level") > 0)))
-    links, _ = materialize(linked_lines(known))
+    hashed = with_passages(parsed.filter("conv IS NOT NULL AND turn IS NOT NULL")).select("conv", "turn", "own", "passages")
+    hashed, _ = materialize(hashed)
+    links, _ = materialize(linked_passages(hashed))
     by_source = links.groupBy("conv", "turn", "level", "source").agg(F.sum("n").alias("n"))
     best = F.max_by("source", F.when(F.col("source").isNotNull(), F.struct(-F.col("level"), F.col("n"), F.col("source"))))
     found = by_source.groupBy("conv", "turn").agg(
@@ -160,14 +245,40 @@ lines AS (
          trim(regexp_replace(lower(body), '[\x20\x09-\x0D]+', ' ', 'g')) AS normal
   FROM split
 ),
-known AS (SELECT * FROM lines WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND normal <> ''),
+known AS (SELECT * FROM lines WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+runs AS (
+  SELECT *, sum(starts) OVER (PARTITION BY r ORDER BY i) AS run
+  FROM (SELECT *, CASE WHEN level = lag(level) OVER (PARTITION BY r ORDER BY i) THEN 0 ELSE 1 END AS starts FROM known)
+),
+passages AS (
+  SELECT r, run, conv_id, turn, level, list(normal ORDER BY i) AS normals
+  FROM runs WHERE level > 0 AND normal <> '' GROUP BY ALL
+),
+wholes AS (SELECT r, conv_id, turn, list(normal ORDER BY i) AS normals FROM known WHERE own AND normal <> '' GROUP BY ALL),
+lengths AS (SELECT DISTINCT conv_id, len(normals) AS m FROM passages),
+pieces AS (
+  SELECT DISTINCT conv_id, turn, normals[s:s + m - 1] AS normals
+  FROM (SELECT w.conv_id, w.turn, w.normals, m, unnest(range(1, len(w.normals) - m + 2)) AS s FROM wholes w JOIN lengths USING (conv_id))
+),
+placed AS (
+  SELECT q.r, q.run, q.conv_id, q.turn, q.level, q.normals, max(o.turn) AS source
+  FROM passages q LEFT JOIN pieces o ON o.conv_id = q.conv_id AND o.normals = q.normals AND o.turn < q.turn GROUP BY ALL
+),
+singles AS (
+  SELECT r, run, conv_id, turn, level, unnest(normals) AS normal, generate_subscripts(normals, 1) AS at FROM placed WHERE source IS NULL
+),
 sources AS (
-  SELECT q.conv_id, q.turn, q.level, q.r, q.i, max(o.turn) AS source
-  FROM known q LEFT JOIN known o
+  SELECT q.r, q.run, q.at, q.conv_id, q.turn, q.level, max(o.turn) AS source
+  FROM singles q LEFT JOIN known o
     ON o.own AND o.conv_id = q.conv_id AND o.normal = q.normal AND o.turn < q.turn
-  WHERE q.level > 0 GROUP BY ALL
+  GROUP BY ALL
+),
+votes AS (
+  SELECT conv_id, turn, level, source, sum(n) AS n FROM (
+    SELECT conv_id, turn, level, source, len(normals) AS n FROM placed WHERE source IS NOT NULL
+    UNION ALL SELECT conv_id, turn, level, source, 1 FROM sources
+  ) GROUP BY ALL
 ),
-votes AS (SELECT conv_id, turn, level, source, count(*) AS n FROM sources GROUP BY ALL),
 chosen AS (
   SELECT conv_id, turn, source AS parent FROM votes WHERE source IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, n DESC, source DESC) = 1

@@ -60,6 +60,30 @@ def test_thread(spark):
     assert rows[1, 1]["chat"] == "<|assistant|>\nUse two files.\nThen join."
 
 
+PASSAGES = [
+    (1, 0, "user", "ok\nfirst point\nsecond point\n\nthird point"),
+    (1, 1, "assistant", "ok\nsomething else"),
+    (1, 2, "user", "second point\nok"),
+    (1, 3, "user", "> ok\n> First  point\n>\n> second point\nreply to the first"),  # not the latest ok
+    (1, 4, "user", "> second point\n> ok\n\n> something else\nboth"),
+    (1, 5, "user", "> third point\n> ok\n>> ok\nnowhere in one piece"),
+    (1, 2000, "user", "> ok\nfar away"),
+    (1, 5000, "user", "> first point\n> second point\n> third point\nfarther"),
+]
+
+
+def test_passages_come_before_lines(spark, monkeypatch):
+    df = spark.createDataFrame(PASSAGES, MESSAGES)
+    conversations = df.toPandas()  # noqa: F841
+    want = sorted(map(repr, duckdb.connect().execute(quotes.ORACLE).fetchall()))
+    for turns in (quotes.RANGE_TURNS, 2):
+        monkeypatch.setattr(quotes, "RANGE_TURNS", turns)
+        rows = quotes.link_quotes(df).collect()
+        assert sorted(map(repr, map(tuple, rows))) == want
+    parents = {r["turn"]: (r["parent_turn"], r["n_linked_lines"]) for r in rows}
+    assert parents == {0: (None, 0), 1: (None, 0), 2: (None, 0), 3: (0, 3), 4: (2, 3), 5: (2, 3), 2000: (2, 1), 5000: (0, 3)}
+
+
 def test_long_chain(spark):
     rows = [(1, i, "user", f"> line {i - 1}\nline {i}") for i in range(70)]
     got = {r["turn"]: (r["root_turn"], r["depth"]) for r in quotes.link_quotes(spark.createDataFrame(rows, MESSAGES)).collect()}
