@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgeline.runtime import materialize
+from edgeline.runtime import lookup, materialize
 
 # Every repeated run of whole lines with this many words is found and deleted.
 MIN_WORDS = 50
@@ -171,8 +171,9 @@ def runs_of_firsts(windows: DataFrame) -> DataFrame:
     place = F.struct("doc", "version", "first", "last", "left", "right")
     firsts = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "version", "first")).alias("o"))
     firsts = firsts.filter("n > 1").select("key", "o.*")
-    source = windows.join(firsts, ["key", "doc", "version", "first"]).select("key", place.alias("o"))
-    pairs = windows.join(source, "key").filter(
+    # Written before the join, which can then split the rows of a passage that very many documents have.
+    source, _ = materialize(windows.join(firsts, ["key", "doc", "version", "first"]).select("key", place.alias("o")))
+    pairs = lookup(windows, "key", source.hint("merge"), by=F.col("doc"), how="inner").filter(
         (F.col("doc") != F.col("o.doc")) | (F.col("version") != F.col("o.version")) | (F.col("first") != F.col("o.first"))
     )
     pairs = pairs.withColumns({"up": shared_lines("left", "o.left"), "down": shared_lines("right", "o.right")})
@@ -196,11 +197,12 @@ def runs_elsewhere(windows: DataFrame) -> DataFrame:
         "doc", "version", "first", "last", F.posexplode("longer").alias("lines", "key")
     )
     grown = grown.select("key", "doc", "version", "first", (F.col("last") + F.col("lines") + 1).alias("last"))
-    grown, _ = materialize(grown)
+    grown, seen = materialize(grown)
     firsts = grown.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "version", "first", "last")).alias("o")
     )
-    pairs = grown.join(firsts.filter("n > 1").select("key", "o"), "key")
+    firsts, _ = materialize(firsts.filter("n > 1").select("key", "o"))
+    pairs = lookup(grown, "key", firsts.hint("merge"), by=F.col("doc"), rows=seen["rows"], how="inner")
     own = (F.col("doc") == F.col("o.doc")) & (F.col("version") == F.col("o.version"))
     pairs = pairs.filter(~(own & (F.col("first") == F.col("o.first"))))
     # Inside one text the earlier run itself stays.
