@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeline.llm import tokenizer
-from edgeline.llm.pieces import END_ID, cut, token_ids
+from edgeline.llm.pieces import END_ID, SPECIAL, cut, token_ids
 
 CAPACITY = 2048
 # A task packs whole documents in blocks of about this many tokens, which it holds in memory.
@@ -88,7 +88,7 @@ def packed_matrices(
     position_ids: as many 16-bit positions, which begin at 0 again with every piece and in
     the padding; cu_seqlens: 0 and the running sum of the pieces' lengths; doc_ids, pieces
     and starts: where each piece comes from, so that every document can be put together
-    again. Ids must be under 65,536 and `capacity` at most 65,536.
+    again. A vocabulary with larger ids, an `end_id` or a `capacity` beyond 16 bits is refused.
 
     A document is its ids and `end_id`; one of more than `capacity` tokens is cut into
     pieces of `capacity` after a first one that may be shorter. A null or empty text is
@@ -97,6 +97,10 @@ def packed_matrices(
     shuffled; a block wastes less than half of its sequences' last one on average.
     """
 
+    largest = max(tokenizer.rank_encoder(ranks, SPECIAL).max_token_value, end_id)
+    if largest >= 1 << 16 or capacity > 1 << 16:
+        raise ValueError(f"ids up to {largest} and positions up to {capacity - 1} do not fit in 16 bits")
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence_id = TaskContext.get().partitionId() << 32
         ids: list[np.ndarray] = []

@@ -19,7 +19,10 @@ KINDS = ("assign", "access", "hex", "random")
 
 LEAST = 16
 CANDIDATE = rf"[A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}}"
-# Hexadecimal digests of the usual hash functions have these many digits.
+# Random strings also come in groups joined by dots, and with symbols that passwords take.
+DOTTED = rf"[A-Za-z0-9_-]{{8,}}(?:\.[A-Za-z0-9_-]{{8,}})+"
+MIXED = rf"[A-Za-z0-9+/_=!@%^*~-]{{{LEAST},}}"
+# Hexadecimal digests of the usual hash functions have these many digits, in lower case.
 DIGEST_DIGITS = frozenset({32, 40, 56, 64, 96, 128})
 UUID = r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
 
@@ -28,7 +31,10 @@ _access = re.compile(ACCESS)
 _hex = re.compile(HEX[:-1] + "{16,}")
 _candidate = re.compile(CANDIDATE)
 _uuid = re.compile(UUID)
-_hexadecimal = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+_hexadecimal = re.compile(r"[0-9a-f]+")
+_dotted = re.compile(DOTTED)
+_mixed = re.compile(MIXED)
+_symbol = re.compile(r"[!@%^*~]")
 _part = re.compile(r"[+/_=-]+")
 _unit = re.compile(rf"(?<![A-Za-z0-9]){UUID}(?![A-Za-z0-9])|[A-Za-z0-9]+")
 _plain_part = re.compile(r"[A-Za-z]?[a-z]*[0-9]{0,4}|[A-Z]+[0-9]{0,4}|[0-9]+")
@@ -113,9 +119,43 @@ def inefficient_spans(text: str, encoder, max_ratio: float) -> list[tuple[int, i
             found += [(m.start() + a, 3, m.start() + b) for a, b in costly_parts(string, encoder, max_ratio)]
         elif not is_known(string, encoder, max_ratio):
             found.append((m.start(), 3, m.end()))
+    for pattern, joint in ((_dotted, "."), (_mixed, None)):
+        if _symbol.search(text) if joint is None else joint in text:
+            found = with_joined(text, encoder, max_ratio, found, pattern, joint)
     return found
 
 
+def with_joined(
+    text: str, encoder, max_ratio: float, found: list[tuple[int, int, int]], pattern: re.Pattern, joint: str | None
+) -> list[tuple[int, int, int]]:
+    """`found`, and groups joined by dots, or strings with symbols, that hold letters and digits and cost too many tokens.
+
+    Each group must be dear by itself, since names of packages and hosts hold cheap ones. A
+    string takes the place of what was found inside it.
+    """
+    out: list[tuple[int, int, int]] = []
+    rest = iter(sorted(found))
+    following = next(rest, None)
+    for m in pattern.finditer(text):
+        string = m.group()
+        while following and following[2] <= m.start():
+            out.append(following)
+            following = next(rest, None)
+        inside = []
+        while following and following[0] < m.end():
+            inside.append(following)
+            following = next(rest, None)
+        whole = all(m.start() <= start and end <= m.end() for start, _, end in inside)
+        mixed = any(map(str.isdigit, string)) and any(map(str.isalpha, string)) and (joint is not None or _symbol.search(string))
+        groups = string.split(joint) if joint else [string]
+        if whole and mixed and all(
+            len(g) <= max_ratio * len(encoder.encode_ordinary(g)) and not is_known(g, encoder, max_ratio) for g in groups
+        ):
+            inside = [(m.start(), 3, m.end())]
+        out += inside
+    return out + ([following] if following else []) + list(rest)
+
+
 def spans_text(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 

@@ -94,3 +94,10 @@ def test_matrices_give_documents_back(spark, library, rows, block):
     assert len(back) == len(rows)
     for doc, text, *_ in rows:
         assert [i for start in sorted(back[doc]) for i in back[doc][start]] == ids_of(library, text)
+
+
+def test_ids_beyond_16_bits_are_refused(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="16 bits"):
+        best_fit.packed_matrices(documents(spark, [(1, "a")]), end_id=70_000)

@@ -106,6 +106,39 @@ def test_costly_stretches_leave_no_better_one():
             assert max(sum(scores[i:j]) for i, j in got) == max(sums)
 
 
+@pytest.mark.parametrize(
+    ("letters", "groups", "joint"),
+    [
+        ("0123456789ABCDEF", [32], ""),
+        (string.ascii_letters + string.digits, [13, 12, 14], "."),
+        (string.ascii_letters + string.digits + "!@%^*~", [32], ""),
+    ],
+)
+def test_dots_symbols_and_capital_digits(letters, groups, joint):
+    encoder = tokenizer.rank_encoder(tokenizer.BYTE_BPE_RANKS)
+    rng = random.Random(7)
+    found = 0
+    for _ in range(300):
+        key = joint.join("".join(rng.choices(letters, k=n)) for n in groups)
+        found += (4, 3, 4 + len(key)) in secret_scan.inefficient_spans(f"key {key} end", encoder, 2.0)
+    assert found >= 270
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "import org.apache.spark.sql.catalyst.expressions2.Expression",
+        "released as library-name-2.13.0.jar and version1.2.3-build.20240101",
+        "mail somebody.surname2024@university.example.com today!",
+        "it costs 100%, 200% or 300%^2 * 5 ~ 1000000000000000 items",
+        "A sentence ends here.Another begins2 there.And goes on",
+    ],
+)
+def test_names_with_dots_and_symbols_stay(text):
+    encoder = tokenizer.rank_encoder(tokenizer.BYTE_BPE_RANKS)
+    assert secret_scan.inefficient_spans(text, encoder, 2.0) == []
+
+
 def test_digests_and_ids_in_paths_stay(spark):
     encoder = tokenizer.rank_encoder(tokenizer.BYTE_BPE_RANKS)
     for text in (
