@@ -244,3 +244,22 @@ def test_functions_answer_before_any_result_exists(spark, hand):
 def test_empty_structural_graph_is_an_error(hand):
     with pytest.raises(ValueError):
         index_graph(hand.filter("confidence > 5"))
+
+
+@pytest.mark.parametrize("delta", [None, 0.05, 100.0])
+def test_shortest_paths_agree_at_any_step(spark, delta):
+    import heapq
+    import random
+
+    rng = random.Random(4)
+    rows = [(f"v{rng.randrange(40)}", f"v{rng.randrange(40)}", rng.choice([0.05, 0.3, 0.9, 1.0])) for _ in range(160)]
+    df = spark.createDataFrame(rows, "subject_id string, object_id string, confidence double")
+    best, heap = {}, [(0.0, "v0")]
+    while heap:
+        d, v = heapq.heappop(heap)
+        if v not in best:
+            best[v] = d
+            heap += [(d + w, b) for a, b, w in rows if a == v and b != v]
+            heapq.heapify(heap)
+    got = dict(tuples(shortest_paths.sssp(df, "v0", delta=delta)))
+    assert {v: round(d, 9) for v, d in got.items()} == {v: round(d, 9) for v, d in best.items()}
