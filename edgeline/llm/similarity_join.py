@@ -4,25 +4,28 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgeline.llm.components import min_labels
-from edgeline.runtime import materialize
+from edgeline.runtime import BROADCAST_BYTES, broadcast_if_small, lookup, materialize
 
 SLOTS = 128
-# Of 128 slots that agree with the similarity of a pair, under 82 do so in about three of a
-# million pairs at 0.8; such pairs are not looked at further.
-LEAST_AGREEING = 82
+# A sketch has two bits of each slot, so of a pair at 0.8 each agrees with a chance of 0.85;
+# under 89 of 128 do so in about three of a million such pairs, which are not looked at further.
+LEAST_AGREEING = 89
 # From here on a pair is almost surely a link, so it is confirmed first.
-LIKELY_AGREEING = 112
+LIKELY_AGREEING = 117
 TREES = 14
 SMALL_NODE = 3000
 LEVELS = 12
+# Pairs of a node that are turned into Python numbers at once.
+PAIRS_AT_ONCE = 50_000
 
 _seeds = np.random.default_rng(20240229)
 _scale = _seeds.integers(1 << 62, 1 << 63, SLOTS, dtype=np.uint64) | np.uint64(1)
@@ -63,24 +66,47 @@ def minwise(shingles: np.ndarray) -> np.ndarray:
     return best.astype(np.uint32)
 
 
+def sketched(slots: np.ndarray) -> bytes:
+    """The lowest two bits of each slot."""
+    bits = (slots & np.uint32(3)).astype(np.uint64).reshape(-1, 32) << (2 * np.arange(32, dtype=np.uint64))
+    return np.bitwise_or.reduce(bits, axis=1).tobytes()
+
+
+def same_slots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many slots agree, of rows of sketches read as SLOTS / 32 numbers of 64 bits."""
+    differ = a ^ b
+    differ = (differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)
+    return SLOTS - np.bitwise_count(differ).sum(axis=-1, dtype=np.int64)
+
+
+def row_keys(id_col: str, text_col: str) -> dict[str, Column]:
+    """Two hashes, equal for rows of the same id and text."""
+    doc, text = F.col(id_col).cast("long"), F.col(text_col)
+    return {"k1": F.xxhash64(doc, text), "k2": F.xxhash64(F.lit(1), doc, text)}
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (16 bytes, equal for equal sets; null for empty ones), slots (SLOTS 4-byte tokens)."""
+    """doc_id, k1, k2, n_shingles, set_key (16 bytes, equal for equal sets; null for empty ones), slots (SLOTS 4-byte
+    tokens) and their sketch."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, slots = [], [], []
-            for text in batch.column(1).to_pylist():
+            sizes, keys, slots, sketches = [], [], [], []
+            for text in batch.column(3).to_pylist():
                 shingles = shingle_set(text, size)
                 sizes.append(len(shingles))
+                best = minwise(shingles) if len(shingles) else None
                 keys.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
-                slots.append(minwise(shingles).tobytes() if len(shingles) else None)
+                slots.append(best.tobytes() if len(shingles) else None)
+                sketches.append(sketched(best) if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(slots, pa.binary())],
-                names=["doc_id", "n_shingles", "set_key", "slots"],
+                [*batch.columns[:3], pa.array(sizes, pa.int64()), *(pa.array(c, pa.binary()) for c in (keys, slots, sketches))],
+                names=["doc_id", "k1", "k2", "n_shingles", "set_key", "slots", "sketch"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, n_shingles long, set_key binary, slots binary")
+    keys = row_keys(id_col, text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *(c.alias(n) for n, c in keys.items()), F.col(text_col).alias("text"))
+    return rows.mapInArrow(sign, "doc_id long, k1 long, k2 long, n_shingles long, set_key binary, slots binary, sketch binary")
 
 
 def branch(rows: DataFrame, threshold: float, roots: int = 0, first: int = 0) -> DataFrame:
@@ -111,10 +137,15 @@ def branch(rows: DataFrame, threshold: float, roots: int = 0, first: int = 0) ->
     return rows.mapInArrow(choose, "node long, rep long")
 
 
+def grows(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input, so that it is never broadcast, however small it is here."""
+    return side.hint("merge")
+
+
 def sized(members: DataFrame) -> DataFrame:
     """Nodes with two members or more: (node, rep, members)."""
     counts = members.groupBy("node").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    return members.join(counts, "node")
+    return members.join(grows(counts), "node")
 
 
 def trees_for(levels: int, miss: float = 0.001) -> int:
@@ -129,26 +160,15 @@ def trees_for(levels: int, miss: float = 0.001) -> int:
     return math.ceil(math.log(miss) / math.log1p(-chance))
 
 
-def in_blocks(large: DataFrame) -> DataFrame:
-    """(node, rep, members): large nodes cut into blocks by a hash of rep, each two blocks of a node being a node of their own.
-
-    Every two members of a large node meet, in nodes of about SMALL_NODE members.
-    """
-    blocks = F.ceil(2 * F.col("members") / SMALL_NODE).cast("int")
-    dealt = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other <> block")
-    node = F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other"))
-    return met.select(node.alias("node"), "rep", F.lit(SMALL_NODE).cast("long").alias("members"))
-
+def small_nodes(slots: DataFrame, threshold: float, roots: int, first: int = 0) -> tuple[DataFrame, DataFrame | None, int]:
+    """(node, rep, members) of the nodes that `roots` trees end in, those still large, and the number of levels.
 
-def small_nodes(sets: DataFrame, threshold: float, roots: int, first: int = 0) -> tuple[DataFrame, int]:
-    """(node, rep, members) of the nodes that `roots` trees end in, and the number of levels they took.
-
-    Nodes above SMALL_NODE members branch further; after LEVELS levels, which their members
-    share as many random minwise tokens for, they meet block by block.
+    `slots` has rep and slots of every set.
+    Nodes above SMALL_NODE members branch further; after LEVELS levels, for which their
+    members share as many random minwise tokens, they are given back as large ones.
     """
     members, seen = materialize(
-        sized(branch(sets.select("rep", "slots"), threshold, roots, first)),
+        sized(branch(slots, threshold, roots, first)),
         large=F.count_if(F.col("members") > SMALL_NODE),
     )
     small = members.filter(F.col("members") <= SMALL_NODE)
@@ -156,14 +176,68 @@ def small_nodes(sets: DataFrame, threshold: float, roots: int, first: int = 0) -
     while seen["large"]:
         large = members.filter(F.col("members") > SMALL_NODE)
         if level == LEVELS:
-            return small.unionByName(in_blocks(large)), level
-        rows = large.select("node", "rep").join(sets.select("rep", "slots"), "rep")
+            return small, large, level
+        # Only the members of large nodes take their slots along.
+        wanted, size = materialize(large.select("rep").distinct())
+        theirs = slots.join(broadcast_if_small(wanted, size["bytes"]), "rep", "left_semi")
+        rows = large.select("node", "rep").join(grows(theirs), "rep")
         members, seen = materialize(
             sized(branch(rows, threshold)), large=F.count_if(F.col("members") > SMALL_NODE)
         )
         small = small.unionByName(members.filter(F.col("members") <= SMALL_NODE))
         level += 1
-    return small, level
+    return small, None, level
+
+
+def around_hubs(large: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of a large node's smallest member with every other one that its sketch agrees with."""
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            one, two = (read_sketches(table[c]) for c in ("sketch", "hub_sketch"))
+            sizes, others = table["size"].to_numpy(), table["hub_size"].to_numpy()
+            near = (same_slots(one, two) >= LEAST_AGREEING) & (np.minimum(sizes, others) >= threshold * np.maximum(sizes, others) - 1e-9)
+            found = table.filter(pa.array(near)).select(["hub", "rep"]).rename_columns(["a", "b"])
+            yield from found.to_batches()
+
+    hubs, seen = materialize(large.groupBy("node").agg(F.min(F.struct("rep", "size", "sketch")).alias("first")))
+    named = hubs.select(
+        "node", F.col("first.rep").alias("hub"), F.col("first.size").alias("hub_size"), F.col("first.sketch").alias("hub_sketch")
+    )
+    if seen["bytes"] <= BROADCAST_BYTES:
+        met = large.join(F.broadcast(named), "node")
+    else:
+        met = lookup(large, "node", named, F.col("rep"))
+    return met.filter("rep <> hub").mapInArrow(agree, "a long, b long")
+
+
+def in_blocks(large: DataFrame) -> DataFrame:
+    """(node, rep, label, size, sketch): nodes in which each member outside a large node's main component meets all.
+
+    `large` has labels. Members of the component that holds most of a node are connected
+    already, so they only meet the rest, in blocks of half of SMALL_NODE of either.
+    """
+    half = max(SMALL_NODE // 2, 1)
+    per_label = large.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
+    per_node = per_label.groupBy("node").agg(
+        F.max(F.struct("n", "label"))["label"].alias("main"),
+        F.ceil(F.sum("n") / half).cast("int").alias("blocks"),
+        F.ceil((F.sum("n") - F.max("n")) / half).cast("int").alias("rests"),
+    )
+    open_nodes, seen = materialize(per_node.filter("rests > 0"))
+    if seen["bytes"] <= BROADCAST_BYTES:
+        rows = large.join(F.broadcast(open_nodes), "node")
+    else:
+        rows = lookup(large, "node", open_nodes, F.col("rep"), how="inner")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    rows = rows.withColumn("rest", F.when(F.col("label") != F.col("main"), F.pmod(F.xxhash64("rep"), "rests").cast("int")))
+    node = F.xxhash64("node", "block", "met")
+    everyone = rows.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("rests") - 1)))
+    others = rows.filter("rest IS NOT NULL").withColumn("met", F.col("rest")).withColumn("own", F.col("block"))
+    others = others.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter(F.col("block") != F.col("own"))
+    columns = [node.alias("node"), "rep", "label", "size", "sketch"]
+    return everyone.select(*columns).unionByName(others.select(*columns))
 
 
 def agreeing(sketches: np.ndarray, sizes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -171,18 +245,21 @@ def agreeing(sketches: np.ndarray, sizes: np.ndarray, threshold: float) -> tuple
     left, right, score = [], [], []
     for i in range(len(sketches) - 1):
         low, high = np.minimum(sizes[i], sizes[i + 1 :]), np.maximum(sizes[i], sizes[i + 1 :])
-        near = np.flatnonzero(low >= threshold * high - 1e-9) + i + 1
-        same = (sketches[near] == sketches[i]).sum(axis=1)
-        near, same = near[same >= LEAST_AGREEING], same[same >= LEAST_AGREEING]
-        left.append(np.full(len(near), i))
-        right.append(near)
-        score.append(same)
+        same = same_slots(sketches[i + 1 :], sketches[i])
+        near = np.flatnonzero((same >= LEAST_AGREEING) & (low >= threshold * high - 1e-9))
+        left.append(np.full(len(near), i, np.int32))
+        right.append((near + i + 1).astype(np.int32))
+        score.append(same[near].astype(np.int16))
     return np.concatenate(left), np.concatenate(right), np.concatenate(score)
 
 
-def tree_of(n: int, left: np.ndarray, right: np.ndarray, score: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs that connect what all given pairs connect, likely links first and around few members."""
-    parent = list(range(n))
+def tree_of(labels: np.ndarray, left: np.ndarray, right: np.ndarray, score: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs that connect what all given pairs connect, likely links first and around few members.
+
+    Members of the same label are connected from the start.
+    """
+    _, first = np.unique(labels, return_inverse=True)
+    parent = list(range(int(first.max(initial=-1)) + 1))
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -193,13 +270,15 @@ def tree_of(n: int, left: np.ndarray, right: np.ndarray, score: np.ndarray) -> l
     likely = score >= LIKELY_AGREEING
     order = np.concatenate([np.flatnonzero(likely), (rest := np.flatnonzero(~likely))[np.argsort(-score[rest], kind="stable")]])
     kept = []
-    for i, j in zip(left[order].tolist(), right[order].tolist()):
-        a, b = root(i), root(j)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            kept.append((i, j))
-            if len(kept) == n - 1:
-                break
+    for at in range(0, len(order), PAIRS_AT_ONCE):
+        i, j = left[order[at : at + PAIRS_AT_ONCE]], right[order[at : at + PAIRS_AT_ONCE]]
+        for i, j, x, y in zip(i.tolist(), j.tolist(), first[i].tolist(), first[j].tolist()):
+            a, b = root(x), root(y)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                kept.append((i, j))
+                if len(kept) == len(parent) - 1:
+                    return kept
     return kept
 
 
@@ -226,9 +305,12 @@ def by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[
         yield bounded(held)
 
 
+def read_sketches(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SLOTS // 32)
+
+
 def columns_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SLOTS)
-    return *(table[c].to_numpy() for c in ("rep", "label", "size")), sketches
+    return *(table[c].to_numpy() for c in ("rep", "label", "size")), read_sketches(table["sketch"])
 
 
 def dealt_by_node(leaves: DataFrame, *columns: str) -> DataFrame:
@@ -238,41 +320,56 @@ def dealt_by_node(leaves: DataFrame, *columns: str) -> DataFrame:
 LEAF = ("rep", "label", "size", "sketch")
 
 
-def connecting_pairs(leaves: DataFrame, threshold: float) -> DataFrame:
-    """Distinct pairs (a, b) that connect what the candidates of each node connect.
+def candidates(leaves: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) that connect what the candidates of each node connect; and, with b null, members to look at again.
 
     `leaves` has node, rep, label, size and sketch, at most SMALL_NODE rows a node. Every
-    pair of a node is compared by its sketches.
+    pair of a node with different labels is compared by its sketches. Where a node has more
+    candidates than the pairs that connect them, its members come with node, a, size and
+    sketch.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts, ends in by_node(batches):
-            reps, _, sizes, sketches = columns_of(table)
+            reps, labels, sizes, sketches = columns_of(table)
             out: set[tuple[int, int]] = set()
             # Nodes of two are the bulk; they are compared together.
             two = np.array([s for s, e in zip(starts, ends) if e - s == 2], np.int64)
             low, high = np.minimum(sizes[two], sizes[two + 1]), np.maximum(sizes[two], sizes[two + 1])
             two = two[
-                ((sketches[two] == sketches[two + 1]).sum(axis=1) >= LEAST_AGREEING)
+                (same_slots(sketches[two], sketches[two + 1]) >= LEAST_AGREEING)
                 & (low >= threshold * high - 1e-9)
-                & (reps[two] != reps[two + 1])
+                & (labels[two] != labels[two + 1])
             ]
             low, high = np.minimum(reps[two], reps[two + 1]), np.maximum(reps[two], reps[two + 1])
             out.update(zip(low.tolist(), high.tolist()))
+            again: list[np.ndarray] = [np.zeros(0, np.int64)]
             for start, end in zip(starts, ends):
-                if end - start > 2:
+                if end - start > 2 and (labels[start:end] != labels[start]).any():
                     # In order of rep, so that different nodes choose the same pairs.
                     order = start + np.argsort(reps[start:end], kind="stable")
                     left, right, score = agreeing(sketches[order], sizes[order], threshold)
+                    differ = labels[order[left]] != labels[order[right]]
+                    left, right, score = left[differ], right[differ], score[differ]
                     if len(left):
                         own = reps[order].tolist()
-                        out.update((own[i], own[j]) for i, j in tree_of(len(own), left, right, score) if own[i] != own[j])
-            pairs = list(out)
+                        tree = tree_of(labels[order], left, right, score)
+                        out.update((own[i], own[j]) for i, j in tree if own[i] != own[j])
+                        if len(tree) < len(left):
+                            again.append(order[np.union1d(left, right)])
+            pairs, rows = list(out), np.concatenate(again)
+            left, right = [a for a, _ in pairs], [b for _, b in pairs]
+            n = len(pairs)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], names=["a", "b"]
+                [pa.nulls(n, pa.int64()), pa.array(left, pa.int64()), pa.array(right, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())],
+                names=["node", "a", "b", "size", "sketch"],
             )
+            kept = table.take(pa.array(rows)).combine_chunks()
+            kept = kept.select(["node", "rep", "size", "sketch"]).rename_columns(["node", "a", "size", "sketch"])
+            kept = kept.add_column(2, "b", pa.nulls(len(rows), pa.int64()))
+            yield from kept.to_batches()
 
-    return dealt_by_node(leaves, *LEAF).mapInArrow(compare, "a long, b long").groupBy("a", "b").agg(F.lit(1)).select("a", "b")
+    return dealt_by_node(leaves, *LEAF).mapInArrow(compare, "node long, a long, b long, size long, sketch binary")
 
 
 def unsettled(leaves: DataFrame, threshold: float) -> DataFrame:
@@ -293,7 +390,7 @@ def unsettled(leaves: DataFrame, threshold: float) -> DataFrame:
                 differ = labels[part][left] != labels[part][right]
                 left, right = left[differ], right[differ]
                 parent = {i: i for i in np.union1d(left, right).tolist()}
-                for i, j in tree_of(end - start, left, right, score[differ]):
+                for i, j in tree_of(np.arange(end - start), left, right, score[differ]):
                     while parent[i] != i:
                         i = parent[i]
                     while parent[j] != j:
@@ -376,17 +473,24 @@ def remaining_links(rows: DataFrame, texts: DataFrame, size: int, threshold: flo
             )
 
     wanted = rows.select(F.col("rep").alias("id")).distinct()
-    sets, _ = materialize(texts.join(wanted, "id", "left_semi").mapInArrow(shingled, "rep long, shingles binary"))
-    dealt = dealt_by_node(rows.join(sets, "rep"), "rep", "label", "cluster", "shingles")
+    sets, _ = materialize(texts.join(grows(wanted), "id", "left_semi").mapInArrow(shingled, "rep long, shingles binary"))
+    dealt = dealt_by_node(rows.join(grows(sets), "rep"), "rep", "label", "cluster", "shingles")
     return dealt.mapInArrow(link, "a long, b long").distinct()
 
 
-def texts_of(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text) of the documents in pairs, written once."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    # Ends and pairs grow with the input, so none of them is broadcast, however small it is here.
-    return materialize(texts.join(ends.hint("merge"), "id", "left_semi"))[0]
+def texts_of(ids: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text) of the sets whose rep is in `ids` (column id), written once; the text is that of the row a set is named by."""
+    wanted = sets.select(F.col("rep").alias("id"), "k1", "k2").join(grows(ids.distinct()), "id", "left_semi")
+    wanted, seen = materialize(wanted)
+    texts = docs.select(*(c.alias(n) for n, c in row_keys(id_col, text_col).items()), F.col(text_col).alias("text"))
+    found = texts.join(broadcast_if_small(wanted, seen["bytes"]), ["k1", "k2"]).select("id", "text")
+    written, got = materialize(found)
+    # Rows that repeat an id with its text stand for the same set.
+    return written if got["rows"] == seen["rows"] else materialize(written.dropDuplicates(["id"]))[0]
+
+
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
@@ -409,11 +513,107 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -
                 [pa.array(ids, pa.int64()).filter(mask), pa.array(others, pa.int64()).filter(mask)], names=["a", "b"]
             )
 
-    joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
-    joined = joined.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+    joined = pairs.join(grows(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))), "a")
+    joined = joined.join(grows(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))), "b")
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
+def labelled(rows: DataFrame, labels: DataFrame | None, name: str = "rep") -> DataFrame:
+    """Add label_<name>, the label of the vertex in a column; without one, its own number."""
+    if labels is None:
+        return rows.withColumn(f"label_{name}", F.col(name))
+    joined = rows.join(grows(labels.select(F.col("rep").alias(name), "label")), name, "left")
+    return joined.withColumn(f"label_{name}", F.coalesce("label", name)).drop("label")
+
+
+def components(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float, trees: int) -> DataFrame:
+    """(set_key, component_id, keeper): the smallest doc_id of each set's component, and the number of the row that has it.
+
+    `signed` has the rows of `signatures`, with ids and shingles, and their numbers (row).
+    """
+    # A set is named by the number of a row, which no other set has, whatever the ids are.
+    named = F.min(F.struct("doc_id", "row", "k1", "k2", "n_shingles", "sketch")).alias("named")
+    sets, seen = materialize(
+        signed.groupBy("set_key").agg(named).select(
+            "set_key", "named.doc_id", F.col("named.row").alias("rep"), "named.k1", "named.k2",
+            F.col("named.n_shingles").alias("size"), "named.sketch",
+        )
+    )
+    reps, seen = materialize(sets.select("rep"))
+    slots = signed.select(F.col("row").alias("rep"), "slots").join(broadcast_if_small(reps, seen["bytes"]), "rep", "left_semi")
+    slots, _ = materialize(slots)
+
+    small, still, levels = small_nodes(slots, threshold, trees)
+    large, grown = [still], trees
+    while trees_for(levels) > grown:
+        # Deeper nodes part more pairs; the trees that this takes may be deeper themselves.
+        more = trees_for(levels)
+        others, still, deepest = small_nodes(slots, threshold, more - grown, grown)
+        small, grown, levels = small.unionByName(others), more, max(levels, deepest)
+        large.append(still)
+    sketches = sets.select("rep", "size", "sketch")
+    leaves = small.select("node", "rep").join(grows(sketches), "rep").withColumn("label", F.col("rep"))
+    found, _ = materialize(candidates(leaves, threshold))
+    pairs = found.filter("b IS NOT NULL").select("a", "b")
+    large = [nodes for nodes in large if nodes is not None]
+    if large:
+        rows = reduce(DataFrame.unionByName, large).select("node", "rep")
+        large_nodes, _ = materialize(rows.join(grows(sketches), "rep"))
+        pairs = pairs.unionByName(around_hubs(large_nodes, threshold))
+    pairs, _ = materialize(pairs.groupBy("a", "b").agg(F.lit(1)).select("a", "b"))
+    texts = texts_of(ends_of(pairs), sets, docs, id_col, text_col)
+
+    # Each set with one other first; what that connects leaves few of the other pairs open.
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links, seen = materialize(confirmed(first, texts, size, threshold))
+    labels = min_labels(links) if seen["rows"] else None
+    rest = labelled(labelled(pairs, labels, "a"), labels, "b").filter("label_a <> label_b").select("a", "b")
+    rest, seen = materialize(rest.join(grows(first), ["a", "b"], "left_anti"))
+    if seen["rows"]:
+        more_links, seen = materialize(confirmed(rest, texts, size, threshold))
+        if seen["rows"]:
+            links = links.unionByName(more_links)
+            labels = min_labels(links)
+
+    again = found.filter("b IS NULL").select("node", F.col("a").alias("rep"), "size", "sketch")
+    open_nodes = labelled(again, labels).withColumnRenamed("label_rep", "label")
+    if large:
+        met = in_blocks(labelled(large_nodes, labels).withColumnRenamed("label_rep", "label"))
+        open_nodes = open_nodes.unionByName(met)
+    open_rows, seen = materialize(unsettled(open_nodes, threshold))
+    if seen["rows"]:
+        if large:  # members of blocks may have been in no pair
+            missing = open_rows.select(F.col("rep").alias("id")).distinct().join(grows(texts.select("id")), "id", "left_anti")
+            texts = texts.unionByName(texts_of(missing, sets, docs, id_col, text_col))
+        more_links, seen = materialize(remaining_links(open_rows, texts, size, threshold))
+        if seen["rows"]:
+            labels = min_labels(links.unionByName(more_links))
+
+    own = sets.select("set_key", "rep", "doc_id")
+    if labels is None:
+        return own.select("set_key", F.col("doc_id").alias("component_id"), F.col("rep").alias("keeper"))
+    # Only sets with links have a label; of these the smallest id names the component.
+    linked = own.join(grows(labels), "rep")
+    first = linked.groupBy("label").agg(F.min(F.struct("doc_id", "rep")).alias("first"))
+    of_linked = linked.join(grows(first), "label").select("set_key", "first")
+    named = own.join(grows(of_linked), "set_key", "left").withColumn("first", F.coalesce("first", F.struct("doc_id", "rep")))
+    return named.select("set_key", F.col("first.doc_id").alias("component_id"), F.col("first.rep").alias("keeper"))
+
+
+def judged(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, threshold: float, trees: int) -> DataFrame:
+    """Per row of `docs`: doc_id, k1, k2, n_shingles, component_id, and whether it is the one row its component keeps."""
+    rows = signatures(docs, id_col, text_col, shingle_words).withColumn("row", F.monotonically_increasing_id())
+    signed, seen = materialize(rows)
+    takes_part = F.col("set_key").isNotNull() & F.col("doc_id").isNotNull()
+    named = components(signed.filter(takes_part), docs, id_col, text_col, shingle_words, threshold, trees)
+    # A set of which there are many copies is met by rows of that many; its key is 16 bytes.
+    joined = lookup(signed.filter(takes_part).drop("slots", "sketch"), "set_key", grows(named), F.col("row"), rows=seen["rows"])
+    columns = ["doc_id", "k1", "k2", "n_shingles", "component_id", "keeper"]
+    linked = joined.withColumn("keeper", F.col("row") == F.col("keeper")).select(*columns)
+    alone = signed.filter(~takes_part).withColumns({"component_id": F.col("doc_id"), "keeper": F.lit(True)})
+    return linked.unionByName(alone.select(*columns))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -426,63 +626,52 @@ def near_duplicates(
 
     Documents are linked when their sets of word shingles have a Jaccard similarity of at
     least `threshold`; component_id is the smallest id reachable over links, and `kept`
-    marks the document that has it. Equal sets are one vertex, so copies make no pairs.
+    marks the rows that have it. Equal sets are one vertex, so copies make no pairs.
     `trees` independent trees bring two linked documents into one small node: at
     similarity 0.8 a tree does so with a chance of about 0.63 after one level and 0.47 after
     two, so 14 trees miss fewer than one pair in a thousand, and components close over
     what is missed. Where large nodes take more levels, trees are added until that holds
-    again. Candidates that connect each node are confirmed on whole sets first;
-    then, inside each node, all candidates that are still between different components.
+    again. Candidates that connect each node are confirmed on whole sets, one for each set
+    first, then those that these leave open; in the end, inside each node, all candidates
+    that are still between different components.
 
     A null or empty text has no shingles and is linked with nothing. Rows with a null id
     take no part: component_id is null and kept true. Rows that repeat an id are each
-    judged by their own text. Other columns are ignored. A node above SMALL_NODE members
-    branches further; after LEVELS levels its members, which then share as many random
-    minwise tokens, meet in blocks, each with each.
+    judged by their own text: two texts of one id are in one component only if links
+    connect them. Other columns are ignored. A node above SMALL_NODE members branches
+    further; after LEVELS levels its members, which then share as many random minwise
+    tokens, meet its smallest one first, and those outside the component that holds most of
+    the node then meet all, in blocks.
     """
-    signed, _ = materialize(signatures(docs, id_col, text_col, shingle_words))
-    full = signed.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-    sets, _ = materialize(
-        full.groupBy("set_key").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("slots").alias("slots")
-        )
-    )
-    low_bytes = F.unhex(F.regexp_replace(F.hex("slots"), "(..)......", "$1"))
-    sketches = sets.select("rep", "size", low_bytes.alias("sketch"))
-
-    small, levels = small_nodes(sets, threshold, trees)
-    grown = trees
-    while trees_for(levels) > grown:
-        # Deeper nodes part more pairs; the trees that this takes may be deeper themselves.
-        more = trees_for(levels)
-        others, deepest = small_nodes(sets, threshold, more - grown, grown)
-        small, grown, levels = small.unionByName(others), more, max(levels, deepest)
-
-    leaves, _ = materialize(small.select("node", "rep").join(sketches, "rep"))
-    pairs = connecting_pairs(leaves.withColumn("label", F.col("rep")), threshold)
-    pairs, _ = materialize(pairs)
-    texts = texts_of(pairs, docs, id_col, text_col)
-    links, _ = materialize(confirmed(pairs, texts, shingle_words, threshold))
-    labels = min_labels(links)
-
-    labelled = leaves.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    open_rows, seen = materialize(unsettled(labelled, threshold))
-    if seen["rows"]:
-        more, seen = materialize(remaining_links(open_rows, texts, shingle_words, threshold))
-        if seen["rows"]:
-            labels = min_labels(links.unionByName(more))
-
-    by_set = sets.select("set_key", "rep").join(labels, "rep", "left")
-    by_set = by_set.select("set_key", F.coalesce("label", "rep").alias("component_id"))
-    linked = full.select("doc_id", "n_shingles", "set_key").join(by_set, "set_key").drop("set_key")
-    alone = signed.filter(F.col("set_key").isNull() | F.col("doc_id").isNull())
-    alone = alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
-    return linked.unionByName(alone).select("doc_id", "n_shingles", "component_id", kept)
+    found = judged(docs, id_col, text_col, shingle_words, threshold, trees)
+    return found.select("doc_id", "n_shingles", "component_id", kept)
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of `docs` without those whose component has a smaller id; all columns stay."""
-    judged, _ = materialize(near_duplicates(docs, id_col, text_col, **how))
-    gone = judged.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = 5,
+    threshold: float = 0.8,
+    trees: int = TREES,
+) -> DataFrame:
+    """The rows of `docs` without those whose component keeps another row; all columns stay.
+
+    A component keeps the row of its smallest id. Rows are told apart by id and text; of
+    rows that repeat both one stays. Rows that share an id but no link stay side by side.
+    """
+    found = judged(docs, id_col, text_col, shingle_words, threshold, trees)
+    # Rows of one key have one component, and either one keeper or none.
+    keys = found.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("k1", "k2")
+    gone = keys.agg(F.max("keeper").alias("stays"), F.count(F.lit(1)).alias("copies")).filter("NOT stays OR copies > 1")
+    gone = gone.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("stays").alias("__stays"))
+    gone, seen = materialize(gone, repeated=F.count_if("__stays"))
+    listed = broadcast_if_small(gone, seen["bytes"])
+    keys = row_keys(id_col, text_col)
+    same = (keys["k1"] == listed["__k1"]) & (keys["k2"] == listed["__k2"])
+    left = docs.join(listed, same, "left_anti")
+    if not seen["repeated"]:
+        return left
+    one_each = docs.join(listed.filter("__stays"), same).dropDuplicates(["__k1", "__k2"])
+    return left.unionByName(one_each.select(*docs.columns))

@@ -78,13 +78,50 @@ def test_members_of_a_large_node_meet_without_its_smallest(spark, monkeypatch):
     assert {tuple(r) for r in got} == want
 
 
-def test_every_two_members_meet_in_blocks(spark, monkeypatch):
+def test_members_outside_the_main_component_meet_all(spark, monkeypatch):
     monkeypatch.setattr(similarity_join, "SMALL_NODE", 8)
-    large = spark.createDataFrame([(7, rep, 30) for rep in range(30)], "node long, rep long, members long")
+    label = {rep: 0 if rep % 3 else rep for rep in range(30)}
+    rows = [(7, rep, label[rep], 5, b"x") for rep in range(30)] + [(8, rep, 0, 5, b"x") for rep in range(30)]
+    large = spark.createDataFrame(rows, "node long, rep long, label long, size long, sketch binary")
     nodes = {}
     for r in similarity_join.in_blocks(large).collect():
-        nodes.setdefault(r["node"], set()).add(r["rep"])
-    assert {(a, b) for n in nodes.values() for a in n for b in n} == {(a, b) for a in range(30) for b in range(30)}
+        assert r["rep"] not in nodes.setdefault(r["node"], set())
+        nodes[r["node"]].add(r["rep"])
+    met = {(a, b) for n in nodes.values() for a in n for b in n}
+    assert met >= {(a, b) for a in range(30) for b in range(30) if label[a] != label[b]}
+    assert max(map(len, nodes.values())) < 20  # and the second node, of one component, is left out
+
+
+def test_sketches_count_agreeing_slots():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(0, 1 << 32, (2, 50, similarity_join.SLOTS), dtype=np.uint32)
+    b[:, :90] = a[:, :90]
+    want = ((a & 3) == (b & 3)).sum(axis=1)
+    one, two = (np.frombuffer(b"".join(map(similarity_join.sketched, x)), np.uint64).reshape(50, -1) for x in (a, b))
+    assert (similarity_join.same_slots(one, two) == want).all()
+
+
+def long_text(key, n=60):
+    return " ".join(f"{key}{i}" for i in range(n))
+
+
+def test_repeated_ids_are_told_apart(spark):
+    a, b = long_text("a"), long_text("b")
+    rows = [(3, a + " more"), (5, a), (5, b), (7, a), (9, b + " more"), (5, a), (None, a), (5, None), (5, "")]
+    got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"], r["kept"]) for r in similarity_join.near_duplicates(documents(spark, rows)).collect())
+    assert [g[::2] + g[3:] for g in got] == [
+        (0, None, True), (3, 3, True), (5, 5, True), (5, 5, True), (5, 3, False), (5, 3, False), (5, 5, True), (7, 3, False), (9, 5, False),
+    ]
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b = long_text("a"), long_text("b")
+    rows = [(3, a + " more"), (5, a), (5, b), (7, a), (9, b + " more"), (5, b), (None, a), (None, a), (5, ""), (5, None), (5, None)]
+    left = similarity_join.drop_near_duplicates(clashing(documents(spark, rows)))
+    want = [(3, a + " more"), (5, b), (None, a), (None, a), (5, ""), (5, None), (5, None)]
+    assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in left.collect()))) == sorted(map(repr, want))
 
 
 def test_deeper_nodes_take_more_trees():
