@@ -35,6 +35,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="edgeline-tests-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="edgeline-warehouse-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")

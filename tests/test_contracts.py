@@ -9,7 +9,7 @@ import pytest
 from conftest import SF, tuples
 from pyspark.sql import functions as F
 
-from edgeline.functions.sql_functions import register_functions
+from edgeline.functions.sql_functions import register_functions, register_persistent_functions
 from edgeline.operators import profiling, traversal, views
 from edgeline.operators.validation import validate_triplets
 from edgeline.plans.batch import refresh_results
@@ -219,6 +219,29 @@ def test_a_failed_refresh_leaves_the_old_table(spark, tmp_path):
     assert read_table(spark, target).count() == 5
 
 
+def test_persistent_functions_over_published_tables(spark, hand):
+    triplets, centrality, communities = (f"{name}_{uuid.uuid4().hex[:8]}" for name in ("triplets", "centrality", "communities"))
+    names = ()
+    try:
+        hand.write.saveAsTable(triplets)
+        refresh_results(hand, centrality, communities)
+        names = register_persistent_functions(spark, triplets, centrality, communities)
+        for name in names:  # those of other tests come first
+            spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
+        top = spark.sql("SELECT entity_id, pagerank FROM top_central_entities(2)").collect()
+        best = spark.table(centrality).orderBy(F.desc("pagerank"), "entity_id").limit(2)
+        assert sorted(tuple(r) for r in top) == sorted(tuples(best.select("entity_id", "pagerank")))
+        assert spark.sql("SELECT * FROM khop('a', 2)").count() == 4
+        asked = "SELECT f.* FROM (SELECT DISTINCT subject_id AS id FROM %s) i, LATERAL shared_community(i.id, 'b') f"
+        assert spark.sql(asked % triplets).count() == 6
+    finally:
+        for name in names:
+            spark.sql(f"DROP FUNCTION IF EXISTS default.{name}")
+        for t in spark.catalog.listTables():
+            if any(t.name.startswith(x) for x in (triplets, centrality, communities)):
+                spark.sql(f"DROP {'VIEW' if t.tableType == 'VIEW' else 'TABLE'} IF EXISTS {t.name}")
+
+
 def test_a_reader_finds_one_whole_table_through_refreshes(spark, tmp_path):
     """Readers that begin at any moment, and one that began before the refresh."""
     target = str(tmp_path / "table")
