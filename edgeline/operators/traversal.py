@@ -73,8 +73,11 @@ def _pairs(df: DataFrame) -> DataFrame:
     return df.select(both_directions(F.col("subject_id"), F.col("object_id")))
 
 
-def _levels(df: DataFrame, first: DataFrame, depth: float) -> list[DataFrame]:
-    """Breadth-first levels (anchor, node, hops); `first` holds the distinct pairs one hop away."""
+def _levels(df: DataFrame, first: DataFrame, depth: float, back: bool = False) -> list[DataFrame]:
+    """Breadth-first levels (anchor, node, hops); `first` holds the distinct pairs one hop away.
+
+    An anchor does not reach itself, unless walks may come `back` to it.
+    """
     level, seen = materialize(first.withColumn("hops", F.lit(1)))
     levels = [level]
     while seen["rows"] and len(levels) < depth:
@@ -84,7 +87,7 @@ def _levels(df: DataFrame, first: DataFrame, depth: float) -> list[DataFrame]:
         reached = (
             _pairs(df)
             .join(broadcast_if_small(frontier, seen["bytes"]), "src")
-            .filter(F.col("dst").isNotNull() & (F.col("dst") != F.col("anchor")))
+            .filter(F.col("dst").isNotNull() & (F.lit(back) | (F.col("dst") != F.col("anchor"))))
             .select("anchor", F.col("dst").alias("node"))
             .distinct()
         )
@@ -110,58 +113,63 @@ def khop(df: DataFrame, entity: str, k: int | None = None, limit: int | None = N
     return _first(found.orderBy("hops", "neighbor_id"), limit)
 
 
-def khop_of(df: DataFrame, ids: DataFrame, k: int | None = None) -> DataFrame:
-    """(entity_id, neighbor_id, hops) for a table of ids, complete for every anchor."""
-    if _depth(k) <= 0:
-        return df.sparkSession.createDataFrame([], "entity_id string, neighbor_id string, hops int")
-    anchors, seen = materialize(ids.select(F.col("entity_id").alias("src")).distinct())
-    first = (
+def _first_hops(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """Distinct (anchor, node) one hop away from a table of ids (column `src`), written once."""
+    anchors, seen = materialize(ids.select("src").distinct())
+    near = (
         _pairs(df)
         .join(broadcast_if_small(anchors, seen["bytes"]), "src")
         .filter(F.col("dst") != F.col("src"))
         .select(F.col("src").alias("anchor"), F.col("dst").alias("node"))
         .distinct()
     )
-    return _union(_levels(df, first, _depth(k))).select(
-        F.col("anchor").alias("entity_id"), F.col("node").alias("neighbor_id"), "hops"
-    )
+    return materialize(near)[0]
 
 
-def _half_paths(df: DataFrame, ends: DataFrame, hops: int) -> list[DataFrame]:
-    """Simple half-paths of 1 .. `hops` hops away from one end of each pair, through neither end.
+def _alike(near: DataFrame) -> tuple[DataFrame, int]:
+    """(anchor, like) and its bytes: anchors next to the same nodes, and one of them for all.
 
-    `ends` has pair, near and far. Each result has pair, nodes (the inner nodes, from the
-    end outwards) and last, the node where the other half has to meet it.
+    Hashes propose who is alike; the sets themselves are then compared.
     """
-    steps = _pairs(df).filter(F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
-    seen_ends, size = materialize(ends)
-    start = broadcast_if_small(seen_ends.withColumnRenamed("near", "src"), size["bytes"])
-    inner = (F.col("dst") != F.col("near")) & (F.col("dst") != F.col("far"))
-    half = (
-        steps.join(start.withColumn("near", F.col("src")), "src")
-        .filter(inner)
-        .select("pair", "near", "far", F.array("dst").alias("nodes"), F.col("dst").alias("last"))
+    hashes = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"h{seed}") for seed in (0, 1)]
+    sets = near.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), *hashes)
+    firsts = sets.groupBy("n", "h0", "h1").agg(F.min("anchor").alias("like"))
+    proposed, seen = materialize(sets.join(firsts, ["n", "h0", "h1"]).select("anchor", "like", "n"))
+    others = broadcast_if_small(proposed.filter("anchor <> like"), seen["bytes"])
+    shared = near.join(others, "anchor").join(near.withColumnRenamed("anchor", "like"), ["like", "node"])
+    same = shared.groupBy("anchor", "n").agg(F.count(F.lit(1)).alias("both")).filter("n = both").select("anchor")
+    checked = proposed.join(same.withColumn("same", F.lit(True)), "anchor", "left")
+    alike, seen = materialize(checked.select("anchor", F.when(F.col("same"), F.col("like")).otherwise(F.col("anchor")).alias("like")))
+    return alike, seen["bytes"]
+
+
+def khop_of(df: DataFrame, ids: DataFrame, k: int | None = None) -> DataFrame:
+    """(entity_id, neighbor_id, hops) for a table of ids, complete for every anchor.
+
+    Anchors next to the same nodes reach the same entities, but for themselves: their levels
+    are searched once, and copied to each of them in the result.
+    """
+    if _depth(k) <= 0:
+        return df.sparkSession.createDataFrame([], "entity_id string, neighbor_id string, hops int")
+    near = _first_hops(df, ids.select(F.col("entity_id").alias("src")))
+    alike, size = _alike(near)
+    first = near.join(alike.filter("anchor = like").select("anchor"), "anchor", "left_semi")
+    reached = _union(_levels(df, first, _depth(k), back=True)).withColumnRenamed("anchor", "like")
+    return (
+        reached.join(broadcast_if_small(alike, size), "like")
+        .filter(F.col("node") != F.col("anchor"))
+        .select(F.col("anchor").alias("entity_id"), F.col("node").alias("neighbor_id"), "hops")
     )
-    halves = []
-    for hop in range(1, hops + 1):
-        if hop > 1:
-            frontier = broadcast_if_small(half.withColumnRenamed("last", "src"), size["bytes"])
-            half = (
-                steps.join(frontier, "src")
-                .filter(inner & ~F.array_contains("nodes", F.col("dst")))
-                .select("pair", "near", "far", F.array_append("nodes", F.col("dst")).alias("nodes"), F.col("dst").alias("last"))
-            )
-        half, size = materialize(half.distinct())
-        halves.append(half.select("pair", "nodes", "last"))
-    return halves
 
 
 def _paths(df: DataFrame, pairs: DataFrame, max_hops: int, limit: int | None = None) -> DataFrame:
     """(pair, hops, path) of the simple undirected paths between the ends a and b of each pair.
 
-    Halves grow from both ends and meet on their last node, so the edge table is read about
-    once per hop of half the length. With a `limit`, which is for a single pair, longer
-    paths are only built while shorter ones do not fill it.
+    Paths grow from one end, after their first hop only over nodes that can still reach the
+    other end in time. The side with fewer different ends is the one whose
+    distances are searched. A node is asked for its neighbours once per far end, however
+    many paths stand on it. With a `limit`, which is for a single pair, longer paths are only
+    built while shorter ones do not fill it.
     """
     if max_hops < 1:
         raise ValueError("a path has at least one hop")
@@ -169,21 +177,44 @@ def _paths(df: DataFrame, pairs: DataFrame, max_hops: int, limit: int | None = N
     found = direct.select("pair", F.lit(1).alias("hops"), path_text(F.col("a"), F.col("b")).alias("path")).distinct()
     if max_hops == 1:
         return found
-    one_way = pairs.select("pair", F.col("a").alias("near"), F.col("b").alias("far"))
-    other_way = pairs.select("pair", F.col("b").alias("near"), F.col("a").alias("far"))
-    from_a = _half_paths(df, one_way, (max_hops + 1) // 2)
-    from_b = _half_paths(df, other_way, max_hops // 2)
+    sides = pairs.agg(F.count_distinct("a").alias("a"), F.count_distinct("b").alias("b")).first()
+    turned = sides["b"] > sides["a"]
+    start, end = ("b", "a") if turned else ("a", "b")
+    steps = _pairs(df).filter(F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
+    searched = max(max_hops - 2, 1)
+    levels = _levels(df, _first_hops(df, pairs.select(F.col(end).alias("src"))), searched)
+    left = _union(levels).select(F.col("anchor").alias("end"), F.col("node").alias("dst"), F.col("hops").alias("left"))
+    left, left_size = materialize(left)
+    tips, size = materialize(
+        pairs.select("pair", F.col(start).alias("start"), F.col(end).alias("end"), F.col(start).alias("tip"),
+                     F.array().cast("array<string>").alias("inner"))
+    )
     for hops in range(2, max_hops + 1):
-        left, right = from_a[(hops + 1) // 2 - 1], from_b[hops // 2 - 1]
-        met = left.join(right.withColumnRenamed("nodes", "back"), ["pair", "last"])
-        met = met.filter(F.size(F.array_intersect("nodes", "back")) == 1).join(pairs, "pair")
-        inner = F.concat("nodes", F.slice(F.reverse("back"), 2, F.greatest(F.size("back") - 1, F.lit(0))))
-        nodes = F.concat(F.array("a"), inner, F.array("b"))
-        found = found.unionByName(met.select("pair", F.lit(hops).alias("hops"), F.array_join(nodes, " -> ").alias("path")))
+        # Paths whose last inner node is `hops - 1` away from their start.
+        asked, asked_size = materialize(tips.select("end", F.col("tip").alias("src")).distinct())
+        onward = steps.join(broadcast_if_small(asked, asked_size["bytes"]), "src").filter(F.col("dst") != F.col("end"))
+        in_time = left.filter(F.col("left") <= max_hops - hops + 1)
+        onward = onward.join(
+            broadcast_if_small(in_time, left_size["bytes"]), ["end", "dst"], "inner" if max_hops - hops + 1 <= searched else "left"
+        )
+        onward, onward_size = materialize(onward.select("end", F.col("src").alias("tip"), "dst", "left").distinct())
+        tips, size = materialize(
+            broadcast_if_small(tips.drop("left"), size["bytes"])
+            .join(broadcast_if_small(onward, onward_size["bytes"]), ["end", "tip"])
+            .filter((F.col("dst") != F.col("start")) & ~F.array_contains("inner", F.col("dst")))
+            .select("pair", "start", "end", F.col("dst").alias("tip"), F.array_append("inner", F.col("dst")).alias("inner"), "left")
+        )
+        nodes = F.concat(F.array("start"), "inner", F.array("end"))
+        arrived = tips.filter("left = 1").select(
+            "pair", F.lit(hops).alias("hops"), F.array_join(F.reverse(nodes) if turned else nodes, " -> ").alias("path")
+        )
+        found = found.unionByName(arrived)
         if limit is not None:
             found, seen = materialize(found.orderBy("hops", "path").limit(limit))
             if seen["rows"] == limit:
                 break
+        if not size["rows"]:
+            break
     return found
 
 
