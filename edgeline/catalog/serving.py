@@ -87,7 +87,7 @@ WHERE node <> entity_id GROUP BY ALL""",
 )
 def _(spark, sf):
     statement = """SELECT n.id AS entity_id, k.neighbor_id, k.hops
-FROM kg_nodes n, LATERAL khop(n.id, 3) k WHERE n.type = 'Nation'"""
+FROM (SELECT id FROM kg_nodes WHERE type = 'Nation') n, LATERAL khop(n.id, 3) k"""
     return _call(spark, statement, forest(spark, sf))
 
 
@@ -113,7 +113,7 @@ FROM near JOIN forest ON node IN (subject_id, object_id) WHERE hops < 2 GROUP BY
 )
 def _(spark, sf):
     statement = """SELECT n.id AS entity_id, e.subject_id, e.predicate, e.object_id, e.hop
-FROM kg_nodes n, LATERAL subgraph_edges(n.id, 2) e WHERE n.type = 'Nation'"""
+FROM (SELECT id FROM kg_nodes WHERE type = 'Nation') n, LATERAL subgraph_edges(n.id, 2) e"""
     return _call(spark, statement, forest(spark, sf))
 
 
