@@ -44,13 +44,14 @@ RETURN
 MAX_HOPS = 6
 MAX_PATH_HOPS = 4
 
-# Distinct neighbours in either direction.
+# Neighbours in either direction, a row per edge: every level and step takes distinct rows itself, after it
+# has kept the few it needs. All joins are on `src`, so the pairs are shuffled once for all of them.
 PAIRS = """pair AS (
-    SELECT DISTINCT p.src, p.dst FROM {triplets}
+    SELECT p.src, p.dst FROM {triplets}
     LATERAL VIEW inline(array(
       named_struct('src', subject_id, 'dst', object_id), named_struct('src', object_id, 'dst', subject_id)
     )) p
-    WHERE p.dst IS NOT NULL
+    WHERE p.src IS NOT NULL AND p.dst IS NOT NULL
   )"""
 
 
@@ -66,8 +67,8 @@ def _levels(name: str, hops: int, wanted: str) -> str:
     SELECT n.node, min(n.hops) AS hops
     FROM (
       SELECT l.node, l.hops, pair.dst
-      FROM (SELECT node, hops, if(hops = {i - 1}, node, NULL) AS tip, {wanted} >= {i} AS goes_on FROM level{i - 1}) l
-      LEFT JOIN pair ON pair.src = l.tip AND l.goes_on
+      FROM (SELECT node, hops, hops = {i - 1} AND {wanted} >= {i} AS goes_on FROM level{i - 1}) l
+      LEFT JOIN pair ON pair.src = l.node AND l.goes_on
     ) LATERAL VIEW inline(array(named_struct('node', node, 'hops', hops), named_struct('node', dst, 'hops', {i}))) n
     WHERE n.node IS NOT NULL
     GROUP BY n.node
@@ -113,47 +114,70 @@ RETURN
 """
 
 
-def _halves(side: str, hops: int) -> str:
-    """CTEs <side>0 .. <side><hops>: half-paths of up to so many hops away from one end, through neither end.
+def _ways_back(hops: int) -> str:
+    """CTEs back0 .. back<hops>: the nodes that so many hops can take to b, on a way that does not turn round.
 
-    Rows have both ends, the inner nodes in order, the last node and the number of hops.
-    Side a also has the direct step to b, which ends there.
+    `lo` and `hi` are the least and the largest node that such a way goes to next: who comes from the only one
+    cannot go on. b itself is among the rows, without a next node. They depend on b alone, so calls with
+    the same b share them.
     """
-    ctes = [f"{side}0 AS (SELECT a, b, CAST(array() AS ARRAY<STRING>) AS inner, {side} AS tip, 0 AS steps FROM ends)"]
+    ctes = ["back0 AS (SELECT connection_path.b AS b, connection_path.b AS node, "
+            "CAST(NULL AS STRING) AS lo, CAST(NULL AS STRING) AS hi)"]
     for i in range(1, hops + 1):
-        direct = "if(dst = b, b, NULL)" if (side, i) == ("a", 1) else "NULL"
-        ctes.append(f"""{side}{i} AS (
-    SELECT DISTINCT n.a, n.b, n.inner, n.tip, n.steps
-    FROM (
-      SELECT l.*, pair.dst
-      FROM (SELECT *, if(steps = {i - 1} AND (steps = 0 OR tip <> b), tip, NULL) AS onward FROM {side}{i - 1}) l
-      LEFT JOIN pair ON pair.src = l.onward
-    ) LATERAL VIEW inline(array(
-      named_struct('a', a, 'b', b, 'inner', inner, 'tip', tip, 'steps', steps),
-      named_struct('a', a, 'b', b, 'inner', if(dst = b, inner, array_append(inner, dst)),
-        'tip', CASE WHEN dst IN (a, b) THEN {direct} WHEN array_contains(inner, dst) THEN NULL ELSE dst END, 'steps', {i})
+        ctes.append(f"""back{i} AS (
+    SELECT b, n.node, min(n.next) AS lo, max(n.next) AS hi
+    FROM (SELECT v.b, v.node, v.lo, v.hi, pair.dst FROM back{i - 1} v JOIN pair ON pair.src = v.node)
+    LATERAL VIEW inline(array(
+      named_struct('node', if(dst = b OR (lo = dst AND hi = dst), NULL, dst), 'next', node),
+      named_struct('node', if(node = b, b, NULL), 'next', NULL)
     )) n
-    WHERE n.tip IS NOT NULL
+    WHERE n.node IS NOT NULL
+    GROUP BY b, n.node
+  )""")
+    return ",\n  ".join(ctes)
+
+
+def _paths(hops: int) -> str:
+    """CTEs path1 .. path<hops - 1>: paths from a with as many inner nodes, or fewer where `len` is all they want.
+
+    After the first hop a step only goes to a node with a way back to b in the hops left. Steps are worked out once
+    per b, however many paths take them; one from b to itself is for the paths that go no further.
+    """
+    further = f"sequence(1, {hops - 1})" if hops > 1 else "CAST(array() AS ARRAY<INT>)"
+    ctes = [f"""path1 AS (
+    SELECT a, b, len, dst AS tip, if(len = 0, CAST(array() AS ARRAY<STRING>), array(dst)) AS inner
+    FROM (
+      SELECT DISTINCT e.a, e.b, pair.dst
+      FROM (SELECT connection_path.a AS a, connection_path.b AS b) e JOIN pair ON pair.src = e.a
+      WHERE e.b IS NOT NULL AND (pair.dst = e.b OR pair.dst <> e.a)
+    ) LATERAL VIEW explode(if(dst = b, array(0), {further})) AS len
+  )"""]
+    for i in range(2, hops):
+        ctes.append(f"""step{i} AS (
+    SELECT DISTINCT v.b, if(v.node = v.b, v.b, pair.dst) AS near, v.node AS far
+    FROM back{hops - i} v JOIN pair ON pair.src = v.node
+    WHERE v.node = v.b OR pair.dst <> v.b AND (v.lo <> pair.dst OR v.hi <> pair.dst)
+  ),
+  path{i} AS (
+    SELECT p.a, p.b, p.len, if(p.len < {i}, p.tip, s.far) AS tip, if(p.len < {i}, p.inner, array_append(p.inner, s.far)) AS inner
+    FROM (SELECT a, b, len, tip, inner, if(len < {i}, b, tip) AS near FROM path{i - 1}) p
+    JOIN step{i} s ON s.b = p.b AND s.near = p.near
+    WHERE p.len < {i} OR (s.far <> p.a AND NOT array_contains(p.inner, s.far))
   )""")
     return ",\n  ".join(ctes)
 
 
 def _connection_path(hops: int) -> str:
-    """Halves meet on their last node; the one from a is as long as the other or a hop longer."""
-    one, other = (hops + 1) // 2, hops // 2
+    """Paths grow from a, over nodes that can still reach b, and end next to b."""
     return f"""
 connection_path(a STRING, b STRING)
 RETURNS TABLE (hops INT, path STRING)
 RETURN
   WITH {PAIRS},
-  ends AS (SELECT connection_path.a AS a, connection_path.b AS b),
-  {_halves("a", one)},
-  {_halves("b", other)}
-  SELECT x.steps + y.steps AS hops,
-         array_join(concat(array(x.a), x.inner, slice(reverse(y.inner), 2, {max(other, 1)}), array(x.b)), ' -> ') AS path
-  FROM a{one} x JOIN b{other} y ON x.tip = y.tip
-  WHERE x.steps > 0 AND x.steps - y.steps IN (0, 1)
-    AND size(array_intersect(x.inner, y.inner)) = if(y.steps = 0, 0, 1)
+  {_ways_back(max(hops - 2, 1))},
+  {_paths(hops)}
+  SELECT p.len + 1 AS hops, array_join(concat(array(p.a), p.inner, array(p.b)), ' -> ') AS path
+  FROM path{max(hops - 1, 1)} p JOIN back1 ON back1.b = p.b AND back1.node = p.tip
 """
 
 
