@@ -43,7 +43,8 @@ class IndexedGraph:
 
 def index_graph(df: DataFrame, weighted: bool = False) -> IndexedGraph:
     """Index a structural edge table. With `weighted`, parallel edges add up their weights."""
-    df, rows = require_edges(df)
+    ends = ["subject_id", "subject_type", "object_id", "object_type"]
+    df, rows = require_edges(df.select(*ends, *(["confidence"] if weighted else [])))
     weight = edge_weight(F.col("confidence")) if weighted else F.lit(1.0)
     edges = df.select(F.col("subject_id").alias("src"), F.col("object_id").alias("dst"), weight.alias("weight"))
     return index_vertices_edges(entity_types(df), edges, rows, add_up=weighted)
@@ -56,13 +57,16 @@ def index_vertices_edges(
 
     Self-loops go and parallel edges become one, with the sum or the largest of their
     weights. Ids are replaced first, so that step already works on numbers. `rows` is
-    the number of edges if known.
+    the number of edges if they are already written.
     """
     vertices, n_vertices = dense_index(vertices.select("id", "entity_type"), "id", "vid")
     ids = vertices.select("id", "vid")
     pairs = edges.filter(F.col("src") != F.col("dst"))
-    named = lookup(pairs, "src", ids.toDF("src", "src_vid"), by=F.col("dst"), rows=rows, how="inner")
-    numbered = lookup(named, "dst", ids.toDF("dst", "dst_vid"), by=F.col("src"), rows=rows, how="inner")
+    if rows is None:
+        pairs, seen = materialize(pairs)
+        rows = seen["rows"]
+    named = lookup(pairs, "src", ids.toDF("src", "src_vid"), by=F.col("dst"), rows=rows, how="inner", keys=pairs)
+    numbered = lookup(named, "dst", ids.toDF("dst", "dst_vid"), by=F.col("src"), rows=rows, how="inner", keys=pairs)
     combined = (F.sum if add_up else F.max)("weight").alias("weight")
     edges, seen = materialize(
         numbered.groupBy(F.col("src_vid").alias("src"), F.col("dst_vid").alias("dst")).agg(combined)
