@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeline.functions.expressions import both_directions, path_text
+from edgeline.operators.vertices import Adjacency
 from edgeline.operators.views import walk_hops
 from edgeline.runtime import BROADCAST_BYTES, broadcast_if_small, materialize
 from edgeline.schema import Graph
@@ -79,15 +80,21 @@ def _levels(df: DataFrame, first: DataFrame, depth: float, back: bool = False) -
     An anchor does not reach itself, unless walks may come `back` to it.
     """
     level, seen = materialize(first.withColumn("hops", F.lit(1)))
-    levels = [level]
+    levels, adjacency = [level], None
     while seen["rows"] and len(levels) < depth:
         # A neighbour of the current level lies one level back, here, or one further on.
         visited = _union(levels[-2:]).select("anchor", "node")
         frontier = level.select("anchor", F.col("node").alias("src"))
+        if adjacency is None and seen["bytes"] > BROADCAST_BYTES and len(levels) + 1 < depth:
+            # This hop and later ones would shuffle all pairs: they are shuffled once.
+            pairs = _pairs(df).filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+            adjacency = Adjacency(pairs, pairs.count(), "src", "dst")
+        if adjacency is None or seen["bytes"] <= BROADCAST_BYTES:
+            met = _pairs(df).join(broadcast_if_small(frontier, seen["bytes"]), "src")
+        else:
+            met = adjacency.meet(frontier)
         reached = (
-            _pairs(df)
-            .join(broadcast_if_small(frontier, seen["bytes"]), "src")
-            .filter(F.col("dst").isNotNull() & (F.lit(back) | (F.col("dst") != F.col("anchor"))))
+            met.filter(F.col("dst").isNotNull() & (F.lit(back) | (F.col("dst") != F.col("anchor"))))
             .select("anchor", F.col("dst").alias("node"))
             .distinct()
         )
@@ -95,6 +102,8 @@ def _levels(df: DataFrame, first: DataFrame, depth: float, back: bool = False) -
             reached.join(visited, ["anchor", "node"], "left_anti").withColumn("hops", F.lit(len(levels) + 1))
         )
         levels.append(level)
+    if adjacency is not None:
+        adjacency.release()
     return levels
 
 

@@ -310,3 +310,27 @@ def test_components_halve_each_round(spark, monkeypatch, order):
     assert got == expected_components(ids, pairs)
     assert rounds[0] == len(pairs) and all(2 * b <= a for a, b in zip(rounds, rounds[1:]))
     assert len(rounds) == 1 if order == "line" else len(rounds) <= 8
+
+
+def test_hops_with_large_frontiers_shuffle_the_pairs_once(spark, hub_graph, monkeypatch):
+    """Two or more hops left over a frontier that is not broadcast share one copy of the pairs, kept by node."""
+    nodes, edges, ids, pairs = hub_graph
+    rows = edges.select(F.col("src").alias("subject_id"), F.col("dst").alias("object_id"))
+    rows = rows.unionByName(spark.createDataFrame([("v070", None), (None, "v070")], "subject_id string, object_id string"))
+    want = sorted(tuples(traversal.khop(rows, "v099", 6)))
+    made = []
+    keep = traversal.Adjacency
+
+    def counted(*args):
+        made.append(args[1])
+        return keep(*args)
+
+    monkeypatch.setattr(traversal, "Adjacency", counted)
+    for module in (runtime, traversal):
+        monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(runtime.broadcast_if_small, "__defaults__", (0,))
+    assert sorted(tuples(traversal.khop(rows, "v099", 6))) == want
+    assert made == [2 * len(pairs)]
+    made.clear()
+    traversal.khop(rows, "v099", 2)
+    assert made == []
