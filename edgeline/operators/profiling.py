@@ -25,20 +25,23 @@ def _nested(data_type: T.DataType | None) -> bool:
     return isinstance(data_type, (T.ArrayType, T.MapType, T.StructType))
 
 
-def _profile_table(name: str, df: DataFrame, exact: bool) -> DataFrame:
+def _profile_table(name: str, df: DataFrame, exact: bool, ends: bool) -> DataFrame:
     columns = [F.col(f"`{field.name}`") for field in df.schema]
     measures = []
     kinds = [field.dataType for field in df.schema]
     for i, (column, kind) in enumerate(zip(columns, kinds)):
         # A smallest array says nothing.
-        low, high = (F.lit(None), F.lit(None)) if _nested(kind) else (F.min(column), F.max(column))
+        low, high = (F.lit(None), F.lit(None)) if _nested(kind) or not ends else (F.min(column), F.max(column))
         measures += [
             F.count(column).alias(f"filled{i}"),
             low.cast("string").alias(f"min{i}"),
             high.cast("string").alias(f"max{i}"),
         ]
         if not exact:
-            measures.append(F.approx_count_distinct(_short(column, kind)).alias(f"distinct{i}"))
+            # Plain values are hashed as they are, without being made text.
+            plain = isinstance(kind, (T.NumericType, T.StringType, T.DatetimeType))
+            counted = column if plain else _short(column, kind)
+            measures.append(F.approx_count_distinct(counted).alias(f"distinct{i}"))
     measured = df.agg(F.count(F.lit(1)).alias("n_rows"), *measures)
     rows = [
         F.struct(
@@ -75,13 +78,13 @@ def _profile_table(name: str, df: DataFrame, exact: bool) -> DataFrame:
     )
 
 
-def profile(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:
+def profile(tables: dict[str, DataFrame], exact: bool = True, ends: bool = True) -> DataFrame:
     """One row per column of every table, each table aggregated in one job.
 
     Arrays and other nested columns have no smallest and largest value, and are counted by
-    digest. `exact=False` estimates the distinct counts.
+    digest. `exact=False` estimates the distinct counts, `ends=False` leaves out smallest and largest values.
     """
-    parts = [_profile_table(name, df, exact) for name, df in tables.items()]
+    parts = [_profile_table(name, df, exact, ends) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -98,7 +101,7 @@ FAR_FROM_UNIQUE = 0.8
 
 def key_columns(tables: dict[str, DataFrame]) -> DataFrame:
     """The result of `entity_keys`, with values shuffled only for columns that an estimate leaves possible."""
-    rough = profile(tables, exact=False)
+    rough = profile(tables, exact=False, ends=False)
     possible = rough.filter(
         (F.col("n_rows") > 0) & (F.col("n_nulls") == 0) & (F.col("n_distinct") >= FAR_FROM_UNIQUE * F.col("n_rows"))
     )
@@ -108,7 +111,7 @@ def key_columns(tables: dict[str, DataFrame]) -> DataFrame:
         wanted.setdefault(r["table_name"], []).append(r["column_name"])
     if not wanted:
         return entity_keys(rough.limit(0))
-    return entity_keys(profile({name: tables[name].select(*[f"`{c}`" for c in own]) for name, own in wanted.items()}))
+    return entity_keys(profile({name: tables[name].select(*[f"`{c}`" for c in own]) for name, own in wanted.items()}, ends=False))
 
 
 def _kind(data_type: T.DataType) -> str | None:
@@ -123,6 +126,14 @@ SKETCH_PARTS = 16
 DOUBT = 6.0
 
 
+def _typed_value(column: Column, kind: str, part: bool) -> Column:
+    """A value as text, or NULL where a sketch leaves it out. Integers of any width are hashed as long ones."""
+    if not part:
+        return _short(column)
+    hashed = F.xxhash64(column.cast("long") if kind == "integer" else column)
+    return F.when(F.pmod(hashed, F.lit(SKETCH_PARTS)) == 0, _short(column))
+
+
 def _typed_values(tables: dict[str, DataFrame], columns: dict[str, list[tuple[str, str]]], part: bool) -> DataFrame:
     """Distinct (table_name, column_name, kind, value) of the given columns, or only the part of a sketch."""
     frames = []
@@ -135,15 +146,13 @@ def _typed_values(tables: dict[str, DataFrame], columns: dict[str, list[tuple[st
                             F.lit(name).alias("table_name"),
                             F.lit(column).alias("column_name"),
                             F.lit(kind).alias("kind"),
-                            _short(F.col(f"`{column}`")).alias("value"),
+                            _typed_value(F.col(f"`{column}`"), kind, part).alias("value"),
                         )
                         for column, kind in own
                     ]
                 )
             )
         ).filter(F.col("value").isNotNull())
-        if part:
-            rows = rows.filter(F.pmod(F.xxhash64("value"), F.lit(SKETCH_PARTS)) == 0)
         frames.append(rows.distinct())
     return reduce(DataFrame.unionByName, frames)
 

@@ -313,3 +313,23 @@ def test_a_batch_that_is_run_again_adds_nothing_twice(spark, hand, tmp_path):
         os.remove(f"{state}/commits/.0.crc")
     stream_triplets(spark, source, target, state).awaitTermination()
     assert spark.read.parquet(target).count() == 11
+
+
+def test_foreign_keys_take_no_smallest_values(spark, monkeypatch):
+    """Only keys are asked for; sketches hold the same part of the values whatever the width of the integers."""
+    parent = spark.range(2000).select(F.col("id").cast("int").alias("p_key"), F.col("id").cast("string").alias("p_name"))
+    child = spark.range(4000).select((F.col("id") % 1990).alias("c_ref"), (F.col("id") % 1990).cast("string").alias("c_text"))
+    tables = {"parent": parent, "child": child}
+
+    def refuse(column):
+        raise AssertionError("asked for a smallest value")
+
+    monkeypatch.setattr(profiling.F, "min", refuse)
+    keys = profiling.key_columns(tables)
+    found = profiling.foreign_keys(tables, keys).select("child_column", "parent_column", "n_matched").collect()
+    assert sorted(map(tuple, found)) == [("c_ref", "p_key", 1990), ("c_text", "p_name", 1990)]
+    sketches = {
+        c: {r["value"] for r in profiling._typed_values(tables, {t: [(c, "integer")]}, part=True).collect()}
+        for t, c in (("parent", "p_key"), ("child", "c_ref"))
+    }
+    assert sketches["c_ref"] <= sketches["p_key"] and 60 < len(sketches["c_ref"]) < 200
