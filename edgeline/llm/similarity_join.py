@@ -26,6 +26,8 @@ SMALL_NODE = 3000
 LEVELS = 12
 # Pairs of a node that are turned into Python numbers at once.
 PAIRS_AT_ONCE = 50_000
+# Elements of a cluster's sets that are counted at once.
+ELEMENTS_AT_ONCE = 1_000_000
 
 _seeds = np.random.default_rng(20240229)
 _scale = _seeds.integers(1 << 62, 1 << 63, SLOTS, dtype=np.uint64) | np.uint64(1)
@@ -240,19 +242,37 @@ def in_blocks(large: DataFrame) -> DataFrame:
     return everyone.select(*columns).unionByName(others.select(*columns))
 
 
-def agreeing(sketches: np.ndarray, sizes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All pairs i < j of one node that may be links, with the number of agreeing slots."""
+def agreeing(sketches: np.ndarray, sizes: np.ndarray, labels: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs i < j of one node with different labels that may be links, with the number of agreeing slots.
+
+    A node may have millions of them, so they are held in the smallest numbers that do.
+    """
+    place = np.min_scalar_type(len(sketches))
     left, right, score = [], [], []
     for i in range(len(sketches) - 1):
         low, high = np.minimum(sizes[i], sizes[i + 1 :]), np.maximum(sizes[i], sizes[i + 1 :])
         same = same_slots(sketches[i + 1 :], sketches[i])
-        near = np.flatnonzero((same >= LEAST_AGREEING) & (low >= threshold * high - 1e-9))
-        left.append(np.full(len(near), i, np.int32))
-        right.append((near + i + 1).astype(np.int32))
-        score.append(same[near].astype(np.int16))
+        near = np.flatnonzero((same >= LEAST_AGREEING) & (low >= threshold * high - 1e-9) & (labels[i + 1 :] != labels[i]))
+        left.append(np.full(len(near), i, place))
+        right.append((near + i + 1).astype(place))
+        score.append(same[near].astype(np.uint8))
     return np.concatenate(left), np.concatenate(right), np.concatenate(score)
 
 
+def ends_among(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    """Which of n members are in a pair, in order."""
+    taken = np.zeros(n, bool)
+    taken[left] = taken[right] = True
+    return np.flatnonzero(taken)
+
+
+def likely_first(score: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of all pairs: likely links, then the others, those that agree more first."""
+    yield np.flatnonzero(score >= LIKELY_AGREEING)
+    for least in np.flatnonzero(np.bincount(score, minlength=LIKELY_AGREEING)[:LIKELY_AGREEING])[::-1]:
+        yield np.flatnonzero(score == least)
+
+
 def tree_of(labels: np.ndarray, left: np.ndarray, right: np.ndarray, score: np.ndarray) -> list[tuple[int, int]]:
     """Pairs that connect what all given pairs connect, likely links first and around few members.
 
@@ -267,11 +287,9 @@ def tree_of(labels: np.ndarray, left: np.ndarray, right: np.ndarray, score: np.n
             x = parent[x]
         return x
 
-    likely = score >= LIKELY_AGREEING
-    order = np.concatenate([np.flatnonzero(likely), (rest := np.flatnonzero(~likely))[np.argsort(-score[rest], kind="stable")]])
     kept = []
-    for at in range(0, len(order), PAIRS_AT_ONCE):
-        i, j = left[order[at : at + PAIRS_AT_ONCE]], right[order[at : at + PAIRS_AT_ONCE]]
+    for some in (order[at : at + PAIRS_AT_ONCE] for order in likely_first(score) for at in range(0, len(order), PAIRS_AT_ONCE)):
+        i, j = left[some], right[some]
         for i, j, x, y in zip(i.tolist(), j.tolist(), first[i].tolist(), first[j].tolist()):
             a, b = root(x), root(y)
             if a != b:
@@ -348,15 +366,13 @@ def candidates(leaves: DataFrame, threshold: float) -> DataFrame:
                 if end - start > 2 and (labels[start:end] != labels[start]).any():
                     # In order of rep, so that different nodes choose the same pairs.
                     order = start + np.argsort(reps[start:end], kind="stable")
-                    left, right, score = agreeing(sketches[order], sizes[order], threshold)
-                    differ = labels[order[left]] != labels[order[right]]
-                    left, right, score = left[differ], right[differ], score[differ]
+                    left, right, score = agreeing(sketches[order], sizes[order], labels[order], threshold)
                     if len(left):
                         own = reps[order].tolist()
                         tree = tree_of(labels[order], left, right, score)
                         out.update((own[i], own[j]) for i, j in tree if own[i] != own[j])
                         if len(tree) < len(left):
-                            again.append(order[np.union1d(left, right)])
+                            again.append(order[ends_among(left, right, end - start)])
             pairs, rows = list(out), np.concatenate(again)
             left, right = [a for a, _ in pairs], [b for _, b in pairs]
             n = len(pairs)
@@ -386,11 +402,9 @@ def unsettled(leaves: DataFrame, threshold: float) -> DataFrame:
                 part = slice(start, end)
                 if (labels[part] == labels[start]).all():
                     continue
-                left, right, score = agreeing(sketches[part], sizes[part], threshold)
-                differ = labels[part][left] != labels[part][right]
-                left, right = left[differ], right[differ]
-                parent = {i: i for i in np.union1d(left, right).tolist()}
-                for i, j in tree_of(np.arange(end - start), left, right, score[differ]):
+                left, right, score = agreeing(sketches[part], sizes[part], labels[part], threshold)
+                parent = {i: i for i in ends_among(left, right, end - start).tolist()}
+                for i, j in tree_of(np.arange(end - start), left, right, score):
                     while parent[i] != i:
                         i = parent[i]
                     while parent[j] != j:
@@ -409,29 +423,38 @@ def unsettled(leaves: DataFrame, threshold: float) -> DataFrame:
     return dealt_by_node(leaves, *LEAF).mapInArrow(compare, "node long, rep long, label long, cluster int")
 
 
-def links_among(sets: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Pairs of sets that reach the threshold and connect different labels: one for each two labels that they join.
+def shared_sizes(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of all pairs of sorted sets of hashes.
 
-    All sizes of intersections come from products of 0/1 matrices over the elements that
-    at least two of the sets have.
+    They come from products of 0/1 matrices over the elements that at least two of the
+    sets have, taken a range of hashes at a time, so that memory does not grow with the sets.
     """
     n = len(sets)
-    sizes = np.array([len(s) for s in sets])
-    _, element, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(n), sizes)
-    shared = count >= 2
-    column = np.cumsum(shared) - 1
-    row, element = row[shared[element]], column[element[shared[element]]]
-    order = np.argsort(element, kind="stable")
-    row, element = row[order], element[order]
     both = np.zeros((n, n), np.float32)
-    for at in range(0, int(shared.sum()), 2048):
-        part = slice(*np.searchsorted(element, [at, at + 2048]))
-        block = np.zeros((n, 2048), np.float32)
-        block[row[part], element[part] - at] = 1
-        both += block @ block.T
-    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both) - 1e-3
-    left, right = np.nonzero(np.triu(linked & (labels[:, None] != labels[None, :]), 1))
+    ranges = math.ceil(sum(map(len, sets)) / ELEMENTS_AT_ONCE)
+    cuts = np.array([(1 << 64) * k // ranges for k in range(1, ranges)], np.uint64)
+    places = [[0, *np.searchsorted(s, cuts).tolist(), len(s)] for s in sets]
+    for k in range(ranges):
+        parts = [s[p[k] : p[k + 1]] for s, p in zip(sets, places)]
+        _, element, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(n), [len(p) for p in parts])
+        shared = count >= 2
+        column = np.cumsum(shared) - 1
+        row, element = row[shared[element]], column[element[shared[element]]]
+        order = np.argsort(element, kind="stable")
+        row, element = row[order], element[order]
+        total = int(shared.sum())
+        for at in range(0, total, 2048):
+            part = slice(*np.searchsorted(element, [at, at + 2048]))
+            block = np.zeros((n, min(2048, total - at)), np.float32)
+            block[row[part], element[part] - at] = 1
+            both += block @ block.T
+    return both
+
+
+def links_among(sets: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of sets that reach the threshold and connect different labels: one for each two labels that they join."""
+    sizes, both = np.array([len(s) for s in sets]), shared_sizes(sets)
     found, parent = [], {}
 
     def root(x: int) -> int:
@@ -439,11 +462,14 @@ def links_among(sets: list[np.ndarray], labels: np.ndarray, percent: int) -> lis
             x = up
         return x
 
-    for i, j in zip(left.tolist(), right.tolist()):
-        a, b = root(int(labels[i])), root(int(labels[j]))
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            found.append((i, j))
+    for i in range(len(sets) - 1):
+        same, other = both[i, i + 1 :], labels[i + 1 :] != labels[i]
+        linked = 100 * same >= percent * (sizes[i] + sizes[i + 1 :] - same) - 1e-3
+        for j in (np.flatnonzero(linked & other) + i + 1).tolist():
+            a, b = root(int(labels[i])), root(int(labels[j]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                found.append((i, j))
     return found
 
 
@@ -466,7 +492,7 @@ def remaining_links(rows: DataFrame, texts: DataFrame, size: int, threshold: flo
             for start, end in zip(starts, ends):
                 for cluster in np.unique(clusters[start:end]):
                     some = start + np.flatnonzero(clusters[start:end] == cluster)
-                    sets = [np.frombuffer(table["shingles"][int(i)].as_py(), np.uint64) for i in some]
+                    sets = [np.frombuffer(table["shingles"][int(i)].as_buffer(), np.uint64) for i in some]
                     out += [(int(reps[some[i]]), int(reps[some[j]])) for i, j in links_among(sets, labels[some], percent)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"]

@@ -103,6 +103,95 @@ def test_sketches_count_agreeing_slots():
     assert (similarity_join.same_slots(one, two) == want).all()
 
 
+def near_sets(seed, n, size):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 1 << 64, size, dtype=np.uint64)
+    changes = [(rng.choice(size, k, replace=False), rng.integers(0, 1 << 64, k, dtype=np.uint64)) for k in rng.integers(1, size // 6, n)]
+    return [np.unique(np.concatenate([np.delete(base, at), new])) for at, new in changes]
+
+
+def peak_bytes(work):
+    import tracemalloc
+
+    tracemalloc.start()
+    work()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak
+
+
+@pytest.mark.parametrize("at_once", [50, 1_000_000])
+def test_links_among_sets_taken_in_ranges(monkeypatch, at_once):
+    import numpy as np
+
+    monkeypatch.setattr(similarity_join, "ELEMENTS_AT_ONCE", at_once)
+    sets = near_sets(1, 40, 90) + near_sets(2, 5, 60) + [np.array([7], np.uint64)] * 2
+    plain = [set(s.tolist()) for s in sets]
+    got = similarity_join.shared_sizes(sets)
+    assert all(got[i, j] == len(a & b) for i, a in enumerate(plain) for j, b in enumerate(plain) if i != j)
+    labels = np.arange(len(sets)) // 2
+    parent = list(range(len(sets)))
+
+    def joined(pairs, top):
+        top = list(top)
+        for i, j in pairs:
+            top = [top[i] if x == top[j] else x for x in top]
+        return top
+
+    links = [
+        (i, j)
+        for i, a in enumerate(plain)
+        for j, b in enumerate(plain)
+        if i < j and 100 * len(a & b) >= 80 * len(a | b)
+    ]
+    found = similarity_join.links_among(sets, labels, 80)
+    assert set(found) <= set(links) and all(labels[i] != labels[j] for i, j in found)
+    inside = [(i, j) for i in parent for j in parent if i < j and labels[i] == labels[j]]
+    want, got = (joined(pairs + inside, parent) for pairs in (links, found))
+    assert [want.index(x) for x in want] == [got.index(x) for x in got]
+
+
+def test_longer_sets_of_a_cluster_take_no_more_memory(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(similarity_join, "ELEMENTS_AT_ONCE", 20_000, raising=False)
+    short, long = (peak_bytes(lambda s=near_sets(3, 60, size): similarity_join.links_among(s, np.arange(60), 80)) for size in (1_000, 8_000))
+    assert long < 1.5 * short
+
+
+def test_pairs_of_a_node_are_tried_likely_ones_first_in_little_memory():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    n = 900
+    slots = np.tile(rng.integers(0, 1 << 32, similarity_join.SLOTS, dtype=np.uint32), (n, 1))
+    for row in slots:
+        row[rng.choice(similarity_join.SLOTS, 15, replace=False)] = rng.integers(0, 1 << 32, 15)
+    sketches = np.frombuffer(b"".join(similarity_join.sketched(r[None]) for r in slots), np.uint64).reshape(n, -1)
+    labels, found = np.arange(n) % 450, []
+
+    def work():
+        left, right, score = similarity_join.agreeing(sketches, np.full(n, 50), labels, 0.8)
+        found.append((left, right, score, similarity_join.ends_among(left, right, n)))
+
+    assert peak_bytes(work) < 13 * n * (n - 1) / 2
+    left, right, score, ends = found[0]
+    same = similarity_join.same_slots(sketches[left], sketches[right])
+    assert (same == score).all() and (labels[left] != labels[right]).all() and (left < right).all()
+    assert len(left) == sum(
+        int(((similarity_join.same_slots(sketches[i + 1 :], sketches[i]) >= similarity_join.LEAST_AGREEING) & (labels[i + 1 :] != labels[i])).sum())
+        for i in range(n)
+    )
+    assert ends.tolist() == sorted({*left.tolist(), *right.tolist()})
+    likely = score >= similarity_join.LIKELY_AGREEING
+    rest = np.flatnonzero(~likely)
+    want = [*np.flatnonzero(likely).tolist(), *rest[np.argsort(-score[rest].astype(int), kind="stable")].tolist()]
+    assert np.concatenate(list(similarity_join.likely_first(score))).tolist() == want
+    assert 0 < likely.sum() < len(score)
+
+
 def long_text(key, n=60):
     return " ".join(f"{key}{i}" for i in range(n))
 
