@@ -18,7 +18,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from edgeline.operators.similarity import BUCKET_ROWS, distinct_vectors, similar_vectors, sound_vectors
+from edgeline.operators.similarity import BUCKET_ROWS, distinct_vectors, similar_entities, sound_vectors
 from edgeline.runtime import broadcast_if_small, lookup, materialize
 from edgeline.schema import TRIPLET_SCHEMA, conform
 
@@ -347,11 +347,7 @@ def similar_pair_triplets(
     one length are compared; those that are null, zero or not finite take no part.
     """
     vectors, copies, n = distinct_vectors(sound_vectors(df, id, vector))
-    pairs, seen = materialize(similar_vectors(vectors, n, threshold, bucket_rows))
-    names = vectors.select("vid", "entity")
-    named = lookup(pairs, "a", names.toDF("a", "one"), by=F.col("b"), rows=seen["rows"], how="inner")
-    named = lookup(named, "b", names.toDF("b", "two"), by=F.col("a"), rows=seen["rows"], how="inner")
-    links = named.select(
+    links = similar_entities(vectors, n, threshold, bucket_rows).select(
         F.least("one", "two").alias("subject"), F.greatest("one", "two").alias("object"),
         F.lit("SIMILAR_TO").alias("predicate"), F.least(F.lit(1.0), "cosine").alias("cosine"),
     )

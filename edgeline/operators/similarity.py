@@ -14,6 +14,10 @@ from edgeline.runtime import lookup, materialize
 
 # Vectors compared with each other in one step; buckets with more are cut into blocks.
 BUCKET_ROWS = 2000
+# A block takes several steps, so that there are about GROUPS blocks in a bucket, as far as its vectors stay within
+# BLOCK_BYTES: each vector is copied once for every block that its own one meets.
+GROUPS = 16
+BLOCK_BYTES = 16_000_000
 # Tables of projections at most, so that a vector is copied so often at most.
 MAX_TABLES = 48
 # The chance that a pair at the threshold meets in no table.
@@ -24,7 +28,8 @@ def plan_tables(n: int, threshold: float, bucket_rows: int, miss: float = MISS,
     """(bits, tables): as many signs of projections as bring buckets to size, with tables enough for the chance `miss`.
 
     Two vectors at an angle a have the same sign with a chance of 1 - a / pi. Bits that
-    would take more than `max_tables` tables are left out; buckets are larger then.
+    would take more than `max_tables` tables are left out, and so are those that would have
+    more pairs compared than no bits at all; buckets are larger then.
     """
     same = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
     best = (0, 1)
@@ -33,7 +38,8 @@ def plan_tables(n: int, threshold: float, bucket_rows: int, miss: float = MISS,
         tables = 1 if hit >= 1 else math.ceil(math.log(miss) / math.log1p(-hit)) if hit > 0 else max_tables + 1
         if tables > max_tables:
             break
-        best = (bits, tables)
+        if tables < 2**bits:
+            best = (bits, tables)
     return best
 
 
@@ -56,7 +62,7 @@ def distinct_vectors(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
 
 
 def _buckets(vectors: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
-    """(dims, table, bucket, vid, v): every vector in one bucket of each table."""
+    """(dims, table, bucket, vid, entity, v): every vector in one bucket of each table."""
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[tuple[int, int], np.ndarray] = {}
@@ -75,46 +81,72 @@ def _buckets(vectors: DataFrame, bits: int, tables: int, seed: int) -> DataFrame
                         pa.array(np.full(len(matrix), table, np.int32)),
                         pa.array(bucket.astype(np.int64)),
                         some.column("vid"),
+                        some.column("entity"),
                         some.column("v"),
                     ]
-                    yield pa.RecordBatch.from_arrays(columns, names=["dims", "table", "bucket", "vid", "v"])
+                    yield pa.RecordBatch.from_arrays(columns, names=["dims", "table", "bucket", "vid", "entity", "v"])
 
-    return vectors.select("vid", "v").mapInArrow(project, "dims int, table int, bucket long, vid long, v array<double>")
+    kinds = "dims int, table int, bucket long, vid long, entity string, v array<double>"
+    return vectors.select("vid", "entity", "v").mapInArrow(project, kinds)
 
 
 def similar_vectors(
     vectors: DataFrame, n: int, threshold: float, bucket_rows: int = BUCKET_ROWS, max_tables: int = MAX_TABLES, seed: int = 11
 ) -> DataFrame:
-    """(a, b, cosine) with a < b: pairs of vid whose vectors reach the threshold, each once.
+    """(a, b, cosine) with a < b: pairs of vid whose vectors reach the threshold, each once."""
+    named = vectors.withColumn("entity", F.lit(None).cast("string"))
+    return similar_entities(named, n, threshold, bucket_rows, max_tables, seed).select("a", "b", "cosine")
+
+
+def similar_entities(
+    vectors: DataFrame, n: int, threshold: float, bucket_rows: int = BUCKET_ROWS, max_tables: int = MAX_TABLES, seed: int = 11
+) -> DataFrame:
+    """(a, b, one, two, cosine) with a < b: pairs of vid whose vectors reach the threshold, with their entities, each once.
 
     A pair at the threshold is missed with a chance of MISS at most, nearer ones less;
     with one bucket none is. Buckets above `bucket_rows` are cut into blocks, every two of which meet in
-    a group of their own, so no task holds more than two blocks.
+    a group of their own, so no task holds more than two blocks. With one bucket for all, pairs are handed on
+    as they are found; otherwise those of several tables are made distinct.
     """
     bits, tables = plan_tables(n, threshold, bucket_rows, max_tables=max_tables)
-    rows, _ = materialize(_buckets(vectors, bits, tables, seed))
+    rows = _buckets(vectors, bits, tables, seed) if bits else vectors.select(
+        F.size("v").alias("dims"), F.lit(0).alias("table"), F.lit(0).cast("long").alias("bucket"), "vid", "entity", "v"
+    )
+    if bits:
+        rows, _ = materialize(rows)
     where = ["dims", "table", "bucket"]
-    sizes = rows.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / F.lit(bucket_rows)).cast("int").alias("blocks"))
+    most = F.greatest(F.lit(bucket_rows), F.least(F.count(F.lit(1)) / F.lit(GROUPS), F.lit(BLOCK_BYTES) / (8 * F.col("dims"))))
+    sizes = rows.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("blocks"))
     # At most 2^bits * tables buckets for each length, of bucket_rows rows on average.
-    rows = rows.join(sizes, where).withColumn("block", F.pmod(F.xxhash64("vid"), "blocks").cast("int"))
+    rows = rows.join(F.broadcast(sizes), where).withColumn("block", F.pmod(F.xxhash64("vid"), "blocks").cast("int"))
     rows = rows.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"low": F.least("block", "met"), "high": F.greatest("block", "met")})
+    names = ["a", "b", "one", "two", "cosine"]
 
-    def compare(key, table):
+    def compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
         vid, block = table.column("vid").to_numpy(), table.column("block").to_numpy()
+        entity = table.column("entity").combine_chunks()
         raw = table.column("v").combine_chunks().flatten().to_numpy().reshape(len(vid), -1)
         norms = np.sqrt((raw * raw).sum(axis=1))
         unit = raw / norms[:, None]
         low, high = key[3].as_py(), key[4].as_py()
         one, two = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        i, j = np.nonzero(unit[one] @ unit[two].T >= threshold - 1e-9)
-        i, j = one[i], two[j]
-        keep = i < j if low == high else np.ones(len(i), bool)
-        i, j = i[keep], j[keep]
-        cosine = np.einsum("ij,ij->i", raw[i], raw[j]) / (norms[i] * norms[j])
-        i, j, cosine = i[cosine >= threshold], j[cosine >= threshold], cosine[cosine >= threshold]
-        columns = [np.minimum(vid[i], vid[j]), np.maximum(vid[i], vid[j]), cosine]
-        return pa.table([pa.array(c) for c in columns], ["a", "b", "cosine"])
-
-    found = rows.groupBy(*where, "low", "high").applyInArrow(compare, "a long, b long, cosine double")
-    return found.groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
+        for x in range(0, len(one), bucket_rows):
+            for y in range(x if low == high else 0, len(two), bucket_rows):
+                left, right = one[x : x + bucket_rows], two[y : y + bucket_rows]
+                i, j = np.nonzero(unit[left] @ unit[right].T >= threshold - 1e-9)
+                i, j = left[i], right[j]
+                keep = i < j if low == high else np.ones(len(i), bool)
+                i, j = i[keep], j[keep]
+                cosine = np.einsum("ij,ij->i", raw[i], raw[j]) / (norms[i] * norms[j])
+                i, j, cosine = i[cosine >= threshold], j[cosine >= threshold], cosine[cosine >= threshold]
+                turned = vid[i] > vid[j]
+                i, j = np.where(turned, j, i), np.where(turned, i, j)
+                columns = [pa.array(vid[i]), pa.array(vid[j]), entity.take(pa.array(i)), entity.take(pa.array(j)), pa.array(cosine)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    found = rows.groupBy(*where, "low", "high").applyInArrow(compare, "a long, b long, one string, two string, cosine double")
+    if not bits:
+        return found
+    return found.groupBy("a", "b").agg(*[F.max(c).alias(c) for c in names[2:]])
