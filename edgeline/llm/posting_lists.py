@@ -32,6 +32,10 @@ TARGET_RECALL = 0.95
 HELD_OUT = 400
 # Rows of one list that are compared with rows of queries in one step.
 BLOCK_ROWS = 20_000
+# Rows handed on at once, each with its vector: a query may read thousands of lists.
+BATCH_ROWS = 10_000
+# A query that a walk to so many lists leaves unsettled is compared with all centroids instead.
+WALKED = 128
 
 
 @dataclass
@@ -141,13 +145,19 @@ class Index:
             self.search_ratio = float(np.quantile(needed, target, method="higher")) * (1 + 1e-9)
 
     def probes(self, vectors: np.ndarray) -> list[list[int]]:
-        """The lists each query reads; the walk widens until it has passed the ratio or seen every list."""
+        """The lists each query reads; the walk widens until it has passed the ratio, and beyond WALKED lists all are looked at."""
         ratio = self.search_ratio
         points, lists = self.lift_queries(vectors), len(self.centroids)
         out: list[list[int]] = [[] for _ in vectors]
         left, width = np.arange(len(vectors)), 32
         while len(left):
-            found, far = self.search(points[left], width)
+            if WALKED < width < lists:
+                norms, some = (self.centroids**2).sum(axis=1), points[left]
+                far = np.sqrt(np.maximum(norms - 2 * some @ self.centroids.T + (some**2).sum(axis=1)[:, None], 0))
+                found = np.argsort(far, axis=1, kind="stable")
+                far, width = np.take_along_axis(far, found, 1), lists
+            else:
+                found, far = self.search(points[left], width)
             short = far[:, -1] <= ratio * far[:, 0]
             if width >= lists:
                 short[:] = False
@@ -247,11 +257,17 @@ def dealt(rows: DataFrame, lists_of, dims: int) -> DataFrame:
                 some = batch.slice(at, 1000)
                 lists = lists_of(matrix(some.column("vector"), dims))
                 row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-                flat = pa.array([c for x in lists for c in x], pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [flat, some.column("vec_id").take(pa.array(row)), some.column("vector").take(pa.array(row))],
-                    names=["list", "vec_id", "vector"],
-                )
+                flat = np.array([c for x in lists for c in x], np.int32)
+                for first in range(0, len(row), BATCH_ROWS):
+                    copied = pa.array(row[first : first + BATCH_ROWS])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(flat[first : first + BATCH_ROWS]),
+                            some.column("vec_id").take(copied),
+                            some.column("vector").take(copied),
+                        ],
+                        names=["list", "vec_id", "vector"],
+                    )
 
     return rows.mapInArrow(deal, LISTED)
 
