@@ -45,7 +45,8 @@ MAX_HOPS = 6
 MAX_PATH_HOPS = 4
 
 # Neighbours in either direction, a row per edge: every level and step takes distinct rows itself, after it
-# has kept the few it needs. All joins are on `src`, so the pairs are shuffled once for all of them.
+# has kept the few it needs. All joins are on `src`, so the pairs are shuffled once for all of them. Levels ask for
+# that by a hint: by the size of the files the planner takes two rows per edge for few enough to be broadcast.
 PAIRS = """pair AS (
     SELECT p.src, p.dst FROM {triplets}
     LATERAL VIEW inline(array(
@@ -66,7 +67,7 @@ def _levels(name: str, hops: int, wanted: str) -> str:
         ctes.append(f"""level{i} AS (
     SELECT n.node, min(n.hops) AS hops
     FROM (
-      SELECT l.node, l.hops, pair.dst
+      SELECT /*+ MERGE(pair) */ l.node, l.hops, pair.dst
       FROM (SELECT node, hops, hops = {i - 1} AND {wanted} >= {i} AS goes_on FROM level{i - 1}) l
       LEFT JOIN pair ON pair.src = l.node AND l.goes_on
     ) LATERAL VIEW inline(array(named_struct('node', node, 'hops', hops), named_struct('node', dst, 'hops', {i}))) n
